@@ -14,10 +14,17 @@ from pyspark.sql import functions as F
 from paytrail.config import OPEN_END, SLICE_DAYS
 from paytrail.functions.dates import day_bucket
 
-_LOW, _HIGH = dt.date(1, 1, 1), dt.date(9999, 12, 31)
 _EFF, _EXP, _BKT = "__eff", "__exp", "__bucket"
 
 
+def _low() -> Column:
+    return F.lit("0001-01-01").cast("date")
+
+
+def _high() -> Column:
+    return F.lit("9999-12-31").cast("date")
+
+
 def current(df: DataFrame, to_col: str = "to_date", open_end: dt.date = OPEN_END) -> DataFrame:
     """Rows still valid: ``to_date = open end`` (pushed to the parquet scan)."""
     return df.filter(F.col(to_col) == F.lit(open_end))
@@ -39,8 +46,8 @@ class Period:
 
 def _explode_buckets(df: DataFrame, start: Column, end: Column, lo: Column, hi: Column,
                      days: int) -> DataFrame:
-    s = F.greatest(F.coalesce(start, F.lit(_LOW)), lo)
-    e = F.least(F.coalesce(end, F.lit(_HIGH)), hi)
+    s = F.greatest(F.coalesce(start, _low()), lo)
+    e = F.least(F.coalesce(end, _high()), hi)
     return df.filter(s <= e).withColumn(
         _BKT, F.explode(F.sequence(day_bucket(s, days), day_bucket(e, days))))
 
@@ -79,10 +86,10 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
         lk, rk = p.on or (key, key)
         a = _explode_buckets(acc, F.col(_EFF), F.col(_EXP), lo, hi, bucket_days).alias("a")
         b = _explode_buckets(p.df, F.col(p.start), F.col(p.end), lo, hi, bucket_days).alias("b")
-        a_eff = F.coalesce(F.col(f"a.{_EFF}"), F.lit(_LOW))
-        a_exp = F.coalesce(F.col(f"a.{_EXP}"), F.lit(_HIGH))
-        b_start = F.coalesce(F.col(f"b.{p.start}"), F.lit(_LOW))
-        b_end = F.coalesce(F.col(f"b.{p.end}"), F.lit(_HIGH))
+        a_eff = F.coalesce(F.col(f"a.{_EFF}"), _low())
+        a_exp = F.coalesce(F.col(f"a.{_EXP}"), _high())
+        b_start = F.coalesce(F.col(f"b.{p.start}"), _low())
+        b_end = F.coalesce(F.col(f"b.{p.end}"), _high())
         cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}"))
                 & (F.col(f"a.{_BKT}") == F.col(f"b.{_BKT}"))
                 & before(a_eff, b_end) & before(b_start, a_exp)

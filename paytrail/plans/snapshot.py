@@ -60,9 +60,10 @@ def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
 
 
 def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
-                     with_manager: bool = True) -> DataFrame:
+                     with_manager: bool = True, keep_previous: bool = False) -> DataFrame:
     """``with_manager=True`` is the effective definition (with employee and
-    manager names, inner join on the current manager); ``False`` the first."""
+    manager names, inner join on the current manager); ``False`` the first.
+    ``keep_previous`` appends the previous salary amount."""
     j = _joined(t, with_manager)
     cols = [
         "employee_id", "gender", "title", "salary", "department",
@@ -73,4 +74,6 @@ def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
     ]
     if with_manager:
         cols += [full_name("first_name", "last_name").alias("employee_name"), "manager"]
+    if keep_previous:
+        cols.append("previous_salary")
     return j.select(*cols)
