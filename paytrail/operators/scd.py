@@ -52,6 +52,16 @@ def _explode_buckets(df: DataFrame, start: Column, end: Column, lo: Column, hi:
         _BKT, F.explode(F.sequence(day_bucket(s, days), day_bucket(e, days))))
 
 
+def start_range(inputs: Sequence[Period]):
+    """Earliest and latest start date over all inputs (one small aggregation
+    job returning two dates).  Every valid combination's effective date lies
+    in this range, which bounds the buckets a row has to be copied to."""
+    starts = reduce(lambda x, y: x.unionByName(y),
+                    [p.df.select(F.col(p.start).alias("__s")) for p in inputs])
+    row = starts.agg(F.min("__s").alias("lo"), F.max("__s").alias("hi")).first()
+    return row["lo"], row["hi"]
+
+
 def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
                  bucket_days: int = SLICE_DAYS, effective: str = "effective_date",
                  expiry: str = "expiry_date") -> DataFrame:
@@ -64,7 +74,9 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     inputs are equi-joined on (key, bucket) with the pairwise overlap test, and
     a pair is kept only in the bucket holding its latest start.  So each
     combination is produced once, and a key with many rows spreads over many
-    (key, bucket) tasks.  The pairwise tests are implied by the final one, so
+    (key, bucket) tasks.  The range of start dates is computed first (one
+    small job) so that open-ended periods are only copied up to the latest
+    start.  The pairwise tests are implied by the final one, so
     the result equals the plain join followed by the final filter.
     Column names must be unique across inputs except the shared ``key``.
     """
@@ -75,10 +87,11 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     def before(a: Column, b: Column) -> Column:
         return a < b if strict else a <= b
 
-    starts = reduce(lambda x, y: x.unionByName(y),
-                    [p.df.select(F.col(p.start).alias("__s")) for p in inputs])
-    rng = starts.agg(F.struct(F.min("__s").alias("lo"), F.max("__s").alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
+    lo, hi = start_range(inputs)
+    if lo is None:  # every start is NULL: the final test rejects every row
+        lo = hi = F.lit("1970-01-01").cast("date")
+    else:
+        lo, hi = F.lit(lo), F.lit(hi)
 
     first = inputs[0]
     acc = first.df.withColumn(_EFF, F.col(first.start)).withColumn(_EXP, F.col(first.end))

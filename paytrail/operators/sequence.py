@@ -4,19 +4,19 @@ one key's rows into a single task.
 A plain ``Window.partitionBy(key).orderBy(date)`` sends every row of a key to
 one task; one hot key can then hold a large share of the table.  Here each
 key's rows are cut into time slices of ``slice_days`` on the leading order
-column and the window runs per (key, slice).  What crosses a slice border is
-carried by one synthetic row per (key, slice):
-
-* a *header* row sorted before the slice carries the last values of the
-  previous non-empty slice (for LAG) and the row counts before / after the
-  slice (for ascending / descending ROW_NUMBER);
-* a *trailer* row sorted after the slice carries the first values of the
-  next non-empty slice (for LEAD).
-
-The carried values come from a partial aggregation (one row per key and slice
-per map task) and a window over those summaries, whose partitions hold at most
-one row per slice.  The big input crosses exactly one shuffle, on
-(key, slice).  Results equal the plain window for any total order.
+column:
+
+1. the input is shuffled once on (key, slice) and sorted inside partitions;
+2. the window runs per (key, slice): in-slice LAG / LEAD / ROW_NUMBER;
+3. the first and last row of every slice (read from the same shuffle output,
+   a reused exchange) go through a window per key that holds at most two
+   rows per slice: it gives each slice the last row of the previous non-empty
+   slice, the first row of the next one and the row counts before / after;
+5. the summaries are joined back on (key, slice) - the partitioning and sort
+   prefix the rows already have - and fix the first / last row of each slice.
+
+The big input crosses one shuffle and one sort; results equal the plain window
+for any order that is total within a key.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 from paytrail.config import SLICE_DAYS
 from paytrail.functions.dates import day_bucket
 
-_SLICE, _KIND, _CNT = "__slice", "__kind", "__cnt"
+_KEY, _SLICE, _RN, _CNT, _LASTROW, _ROW = (
+    "__key", "__slice", "__rn", "__cnt", "__lastrow", "__row")
 _BEFORE, _AFTER, _LAST, _FIRST, _PREV, _NEXT = (
     "__before", "__after", "__last", "__first", "__prev", "__next")
+# Slice number of rows whose leading order value is NULL: sorts after all others.
+_NULL_SLICE = 2 ** 62
 
 
 def _order_key(order: Sequence[str]) -> Column:
@@ -69,6 +72,7 @@ def ordered_sequence(
     keys, order = list(keys), list(order)
     lags, leads = dict(lags or {}), dict(leads or {})
     out_cols = df.columns
+    extra = [*lags, *leads] + ([number] if number else []) + ([number_desc] if number_desc else [])
 
     if slice_days is None:
         w = Window.partitionBy(*keys).orderBy(*_sort(order))
@@ -83,68 +87,62 @@ def ordered_sequence(
             wd = Window.partitionBy(*keys).orderBy(
                 *[F.col(c).desc_nulls_first() for c in order])
             res = res.withColumn(number_desc, F.row_number().over(wd).cast("long"))
-        return res
-
-    lag_src = sorted(set(lags.values()))
-    lead_src = sorted(set(leads.values()))
-    header = bool(lag_src) or bool(number) or bool(number_desc)
-    trailer = bool(lead_src)
-
-    sliced = df.withColumn(_SLICE, day_bucket(order[0], slice_days))
-    okey = _order_key(order)
-
-    # Per (key, slice) summary: partial aggregation, one row per slice.
-    aggs = [F.count(F.lit(1)).alias(_CNT)]
-    if lag_src:
-        aggs.append(F.max_by(F.struct(*lag_src), okey).alias(_LAST))
-    if lead_src:
-        aggs.append(F.min_by(F.struct(*lead_src), okey).alias(_FIRST))
-    summary = sliced.groupBy(*keys, _SLICE).agg(*aggs)
-    ws = Window.partitionBy(*keys).orderBy(F.col(_SLICE).asc_nulls_last())
-    if lag_src:
-        summary = summary.withColumn(_PREV, F.lag(_LAST).over(ws))
-    if lead_src:
-        summary = summary.withColumn(_NEXT, F.lead(_FIRST).over(ws))
-    if number:
-        summary = summary.withColumn(_BEFORE, F.coalesce(
-            F.sum(_CNT).over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    if number_desc:
-        summary = summary.withColumn(_AFTER, F.coalesce(
-            F.sum(_CNT).over(ws.rowsBetween(1, Window.unboundedFollowing)), F.lit(0)))
-
-    parts = [sliced.withColumn(_KIND, F.lit(1))]
-    if header:
-        cols = [*keys, _SLICE, F.lit(0).alias(_KIND), _CNT]
-        cols += [F.col(_PREV).getField(c).alias(c) for c in lag_src]
-        if number:
-            cols.append(_BEFORE)
-        if number_desc:
-            cols.append(_AFTER)
-        parts.append(summary.select(*cols))
-    if trailer:
-        cols = [*keys, _SLICE, F.lit(2).alias(_KIND)]
-        cols += [F.col(_NEXT).getField(c).alias(c) for c in lead_src]
-        parts.append(summary.select(*cols))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p, allowMissingColumns=True)
-
-    w = Window.partitionBy(*keys, _SLICE).orderBy(F.col(_KIND).asc(), *_sort(order))
-    res = u
+        return res.select(*out_cols, *extra)
+
+    # A struct of the keys is never NULL and compares NULL fields as equal, so
+    # it groups and joins exactly like PARTITION BY keys.
+    shuffled = (df.withColumn(_KEY, F.struct(*keys))
+                .withColumn(_SLICE, F.coalesce(day_bucket(order[0], slice_days),
+                                               F.lit(_NULL_SLICE).cast("long")))
+                .repartition(_KEY, _SLICE))
+
+    w = Window.partitionBy(_KEY, _SLICE).orderBy(*_sort(order))
+    win = (shuffled.sortWithinPartitions(_KEY, _SLICE, *_sort(order))
+           .withColumn(_RN, F.row_number().over(w).cast("long"))
+           .withColumn(_LASTROW, F.lead(F.lit(1)).over(w).isNull()))
+    rows = win
     for out, src in lags.items():
-        res = res.withColumn(out, F.lag(src).over(w))
+        rows = rows.withColumn(f"__lag_{out}", F.lag(src).over(w))
     for out, src in leads.items():
-        res = res.withColumn(out, F.lead(src).over(w))
-    if number or number_desc:
-        rn = F.row_number().over(w).cast("long")
-        res = res.withColumn("__rn", rn)
-        if number:
-            res = res.withColumn(number, (F.first(_BEFORE).over(w) + F.col("__rn") - 1).cast("long"))
-        if number_desc:
-            res = res.withColumn(number_desc, (F.first(_AFTER).over(w) + F.first(_CNT).over(w)
-                                               - F.col("__rn") + 2).cast("long"))
-    extra = [*lags, *leads] + ([number] if number else []) + ([number_desc] if number_desc else [])
-    return res.filter(F.col(_KIND) == 1).select(*out_cols, *extra)
+        rows = rows.withColumn(f"__lead_{out}", F.lead(src).over(w))
+
+    # Boundary rows (first and last of each slice).  They keep every input
+    # column, so this branch reads the very same shuffle as ``rows`` (a reused
+    # exchange) instead of a column-pruned second one.
+    bnd = win.filter((F.col(_RN) == 1) | F.col(_LASTROW)).select(
+        _KEY, _SLICE, _RN, _LASTROW, F.struct(*out_cols).alias(_ROW))
+    wb = Window.partitionBy(_KEY).orderBy(_SLICE, _RN)
+    size_if_last = F.when(F.col(_LASTROW), F.col(_RN))
+    bnd = bnd.select(
+        _KEY, _SLICE, _RN, _LASTROW,
+        F.lag(_ROW).over(wb).alias(_PREV),
+        F.lead(_ROW).over(wb).alias(_NEXT),
+        F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias(_BEFORE),
+        F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(1, Window.unboundedFollowing)),
+                   F.lit(0)).alias(_AFTER))
+    is_first, is_last = F.col(_RN) == 1, F.col(_LASTROW)
+    summary = bnd.groupBy(_KEY, _SLICE).agg(
+        F.max(F.when(is_last, F.col(_RN))).alias(_CNT),
+        F.first(F.when(is_first, F.col(_PREV)), ignorenulls=True).alias(_PREV),
+        F.first(F.when(is_last, F.col(_NEXT)), ignorenulls=True).alias(_NEXT),
+        F.max(F.when(is_first, F.col(_BEFORE))).alias(_BEFORE),
+        F.max(F.when(is_last, F.col(_AFTER))).alias(_AFTER))
+
+    j = rows.join(summary, [_KEY, _SLICE])
+    first, last = F.col(_RN) == 1, F.col(_LASTROW)
+    res = []
+    for out, src in lags.items():
+        res.append(F.when(first, F.col(_PREV).getField(src))
+                   .otherwise(F.col(f"__lag_{out}")).alias(out))
+    for out, src in leads.items():
+        res.append(F.when(last, F.col(_NEXT).getField(src))
+                   .otherwise(F.col(f"__lead_{out}")).alias(out))
+    if number:
+        res.append((F.col(_BEFORE) + F.col(_RN)).cast("long").alias(number))
+    if number_desc:
+        res.append((F.col(_AFTER) + F.col(_CNT) - F.col(_RN) + 1).cast("long").alias(number_desc))
+    return j.select(*out_cols, *res)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

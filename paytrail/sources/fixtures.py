@@ -10,6 +10,7 @@ next department after their third order day, every fifth employee has left.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,8 +35,14 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
 
-def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS) -> dict[str, DataFrame]:
+def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS,
+               materialize: Callable[[DataFrame], DataFrame] | None = None
+               ) -> dict[str, DataFrame]:
+    """The six raw tables.  ``materialize`` (e.g. ``DataFrame.checkpoint``) is
+    applied to the two intermediates every table is built from, so that
+    writing the six tables does not re-derive them from the orders six times."""
     customer, orders, nation = src["customer"], src["orders"], src["nation"]
+    keep = materialize or (lambda df: df)
 
     # One row per employee and order day (partial aggregation on a
     # (customer, day) key: a busy customer spreads over its days).
@@ -46,8 +53,8 @@ def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS) -
                   F.col("o_orderpriority").alias("title"))
           .groupBy("employee_id", "d")
           .agg(F.max("amount").alias("amount"), F.min("title").alias("title")))
-    ev = ordered_sequence(ev, ["employee_id"], ["d"], leads={"nd": "d"}, number="rn",
-                          slice_days=slice_days)
+    ev = keep(ordered_sequence(ev, ["employee_id"], ["d"], leads={"nd": "d"}, number="rn",
+                               slice_days=slice_days))
 
     emp_end = (ev.groupBy("employee_id")
                .agg(F.min("d").alias("hire"),
@@ -57,6 +64,7 @@ def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS) -
                        F.when(F.col("employee_id") % LEAVER_EVERY == 0,
                               F.date_add("last_d", 365))
                        .otherwise(F.lit(OPEN_END)).alias("e")))
+    emp_end = keep(emp_end)
 
     salary = (ev.join(emp_end.select("employee_id", "e"), "employee_id")
               .select("employee_id", "amount", F.col("d").alias("from_date"),

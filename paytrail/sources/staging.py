@@ -83,7 +83,8 @@ class Warehouse:
     def build(self, force: bool = False) -> None:
         if not force and _exists(self.spark, f"{self.root}/_COMPLETE"):
             return
-        raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir))
+        raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
+                                  materialize=lambda df: df.checkpoint(eager=True))
         for name in TABLES:
             self._write(raw[name], self._path("raw", name), name)
         raw_stored = {n: self._read("raw", n) for n in TABLES}
@@ -112,8 +113,10 @@ class Warehouse:
 _CACHE: dict[tuple[int, str], Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
+    """The warehouse of ``sf_dir`` for this session; ``root`` replaces it with
+    one stored elsewhere (e.g. a fresh folder per benchmark run)."""
     key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _CACHE:
-        _CACHE[key] = Warehouse(spark, sf_dir)
+    if root is not None or key not in _CACHE:
+        _CACHE[key] = Warehouse(spark, sf_dir, root)
     return _CACHE[key]
