@@ -37,11 +37,15 @@ class Period:
     ``on`` = (column of the accumulated result, column of this frame) when this
     input joins on something other than the common key (e.g. department
     managers join on the department of the employee's period).
+    ``broadcast=True`` (only for a side whose size was checked) joins it as a
+    broadcast hash table on the key with the overlap test, without buckets:
+    each row then meets only the few periods stored under its own key.
     """
     df: DataFrame
     start: str
     end: str
     on: tuple[str, str] | None = None
+    broadcast: bool = False
 
 
 def _explode_buckets(df: DataFrame, start: Column, end: Column, lo: Column, hi: Column,
@@ -97,16 +101,22 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     acc = first.df.withColumn(_EFF, F.col(first.start)).withColumn(_EXP, F.col(first.end))
     for p in inputs[1:]:
         lk, rk = p.on or (key, key)
-        a = _explode_buckets(acc, F.col(_EFF), F.col(_EXP), lo, hi, bucket_days).alias("a")
-        b = _explode_buckets(p.df, F.col(p.start), F.col(p.end), lo, hi, bucket_days).alias("b")
+        if p.broadcast:
+            a, b = acc.alias("a"), p.df.alias("b")
+            bucket_cond = F.lit(True)
+        else:
+            a = _explode_buckets(acc, F.col(_EFF), F.col(_EXP), lo, hi, bucket_days).alias("a")
+            b = _explode_buckets(p.df, F.col(p.start), F.col(p.end), lo, hi, bucket_days).alias("b")
         a_eff = F.coalesce(F.col(f"a.{_EFF}"), _low())
         a_exp = F.coalesce(F.col(f"a.{_EXP}"), _high())
         b_start = F.coalesce(F.col(f"b.{p.start}"), _low())
         b_end = F.coalesce(F.col(f"b.{p.end}"), _high())
-        cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}"))
-                & (F.col(f"a.{_BKT}") == F.col(f"b.{_BKT}"))
-                & before(a_eff, b_end) & before(b_start, a_exp)
-                & (day_bucket(F.greatest(a_eff, b_start, lo), bucket_days) == F.col(f"a.{_BKT}")))
+        if not p.broadcast:
+            bucket_cond = ((F.col(f"a.{_BKT}") == F.col(f"b.{_BKT}"))
+                           & (day_bucket(F.greatest(a_eff, b_start, lo), bucket_days)
+                              == F.col(f"a.{_BKT}")))
+        cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}")) & bucket_cond
+                & before(a_eff, b_end) & before(b_start, a_exp))
         keep_a = [F.col(f"a.{c}") for c in acc.columns if c not in (_EFF, _EXP)]
         keep_b = [F.col(f"b.{c}") for c in p.df.columns if not (c == rk and rk == lk)]
         acc = a.join(b, cond, "inner").select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.config import checkpoint_root
+from paytrail.operators.joins import BROADCAST_MAX_ROWS, materialize_small
 
 BENCHMARKS = {
     "tenure": ("company_tenure_years", "tenure_benchmark_salary"),
@@ -33,18 +33,22 @@ def benchmark(snapshot: DataFrame, name: str) -> DataFrame:
     return snapshot.groupBy(col).agg(F.avg("salary").alias(out))
 
 
-def benchmarks(snapshot: DataFrame, materialize: bool = True) -> dict[str, DataFrame]:
-    """Four benchmark frames cut from one grouping-sets aggregation.
-
-    With ``materialize`` the aggregation (one row per distinct tenure, gender,
-    department and title) runs once and is checkpointed to the cluster's
-    checkpoint folder: the four joins that use it then read a small stored
-    table instead of repeating the snapshot's lineage four times.
-    """
-    allb = all_benchmarks(snapshot)
-    if materialize:
-        checkpoint_root(snapshot.sparkSession)
-        allb = allb.checkpoint(eager=True)
+def _split(allb: DataFrame) -> dict[str, DataFrame]:
     return {name: allb.filter(F.col("benchmark") == name)
             .select(col, F.col("benchmark_salary").alias(out))
             for name, (col, out) in BENCHMARKS.items()}
+
+
+def stored_benchmarks(snapshot: DataFrame,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> tuple[dict[str, DataFrame], bool]:
+    """Four benchmark frames cut from one grouping-sets aggregation that runs
+    once and is checkpointed to the cluster's checkpoint folder (the joins that
+    use it read a small stored table instead of repeating the snapshot's
+    lineage), plus whether its counted size allows broadcasting it."""
+    stored, small = materialize_small(all_benchmarks(snapshot), max_rows)
+    return _split(stored), small
+
+
+def benchmarks(snapshot: DataFrame) -> dict[str, DataFrame]:
+    """Four benchmark frames of one grouping-sets aggregation (lazy)."""
+    return _split(all_benchmarks(snapshot))

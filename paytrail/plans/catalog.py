@@ -18,7 +18,7 @@ from paytrail.functions.numeric import full_name, pct_change, round_half_up
 from paytrail.operators import profile
 from paytrail.operators.scd import current
 from paytrail.plans import dashboard, history
-from paytrail.plans.benchmark import benchmark, benchmarks
+from paytrail.plans.benchmark import benchmark, stored_benchmarks
 from paytrail.plans.snapshot import (current_snapshot, manager_periods,
                                      previous_salary_current, salary_with_previous)
 from paytrail.sources.schemas import UNIQUE_KEYS
@@ -301,8 +301,8 @@ _VS_KEY = {"tenure": "company_tenure_years", "title": "title", "department": "de
 
 def _vs(name):
     def q(spark, sf_dir):
-        bm = benchmarks(_snap(spark, sf_dir))[name]
-        rows = history.compare_to(_events(spark, sf_dir), bm, name)
+        bms, small = stored_benchmarks(_snap(spark, sf_dir))
+        rows = history.compare_to(_events(spark, sf_dir), bms[name], name, small)
         return rows.select("employee_id", "event_order", _VS_KEY[name], "salary",
                            f"{history.BENCHMARKS[name][1]}", f"{name}_comparison")
     return q

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT, SLICE_DAYS
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change, round_half_up
+from paytrail.operators.joins import checked_broadcast
 from paytrail.operators.scd import Period, overlap_join
 from paytrail.operators.sequence import latest_per_key, ordered_sequence
-from paytrail.plans.benchmark import BENCHMARKS, benchmarks
+from paytrail.plans.benchmark import BENCHMARKS, stored_benchmarks
 from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_with_previous
 
 # Event labels, checked in this order (first match wins).
@@ -57,18 +58,18 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     dept = t["department_employee"].select("employee_id", "department_id",
                                            F.col("from_date").alias("department_from_date"),
                                            F.col("to_date").alias("department_to_date"))
-    mgr = manager_periods(t).select(F.col("department_id").alias("manager_department_id"),
-                                    "manager_id", "manager", "manager_from_date",
-                                    "manager_to_date")
+    mgr, mgr_small = checked_broadcast(manager_periods(t).select(
+        F.col("department_id").alias("manager_department_id"), "manager_id", "manager",
+        "manager_from_date", "manager_to_date"))
     joined = overlap_join([
         Period(title, "title_from_date", "title_to_date"),
         Period(salary, "salary_from_date", "salary_to_date"),
         Period(dept, "department_from_date", "department_to_date"),
         Period(mgr, "manager_from_date", "manager_to_date",
-               on=("department_id", "manager_department_id")),
+               on=("department_id", "manager_department_id"), broadcast=mgr_small),
     ], key="employee_id", bounds=bounds, bucket_days=bucket_days)
-    names = t["department"].select(F.col("id").alias("department_id"),
-                                   F.col("dept_name").alias("department"))
+    names, _ = checked_broadcast(t["department"].select(
+        F.col("id").alias("department_id"), F.col("dept_name").alias("department")))
     return joined.join(names, "department_id").select(
         "employee_id", "title", "salary", "department_id", "department", "manager_id",
         "manager", "title_from_date", "salary_from_date", "department_from_date",
@@ -129,12 +130,14 @@ def with_events(base: DataFrame) -> DataFrame:
         pct_change("salary", "previous_salary").alias("salary_percentage_change"))
 
 
-def compare_to(base: DataFrame, bench: DataFrame, name: str) -> DataFrame:
+def compare_to(base: DataFrame, bench: DataFrame, name: str, small: bool = False) -> DataFrame:
     """Inner join one benchmark and add the rounded benchmark and the rounded
     percentage difference of the period's salary from it."""
     col, out = BENCHMARKS[name]
     cmp_name = f"{name}_comparison"
     b = bench.select(col, F.col(out).alias("__bench"))
+    if small:
+        b = F.broadcast(b)
     return base.join(b, col).select(
         *base.columns,
         round_half_up(F.col("__bench")).alias(out),
@@ -145,12 +148,12 @@ def historic_employee_records(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DE
                               bounds: str = "closed", max_events: int | None = None,
                               snapshot: DataFrame | None = None) -> DataFrame:
     snap = snapshot if snapshot is not None else current_snapshot(t, as_of)
-    bm = benchmarks(snap)
+    bm, small = stored_benchmarks(snap)
     rows = with_events(history_base(t, as_of, bounds))
     if max_events is not None:
         rows = rows.filter(F.col("event_order") <= max_events)
     for name in ("tenure", "title", "department", "gender"):
-        rows = compare_to(rows, bm[name], name)
+        rows = compare_to(rows, bm[name], name, small)
     return rows.select(*HISTORY_COLUMNS)
 
 

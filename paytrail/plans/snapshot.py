@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import year_diff
 from paytrail.functions.numeric import full_name, pct_change
+from paytrail.operators.joins import checked_broadcast
 from paytrail.operators.scd import current
 from paytrail.operators.sequence import ordered_sequence
 
@@ -51,12 +52,13 @@ def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
         "employee_id", "department_id", F.col("from_date").alias("department_from_date"))
     dept = t["department"].select(F.col("id").alias("department_id"),
                                   F.col("dept_name").alias("department"))
-    j = (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
-         .join(dept_emp, "employee_id").join(dept, "department_id"))
     if with_manager:
+        # Department and its current manager(s) form one small dimension.
         mgr = current(manager_periods(t), "manager_to_date").select("department_id", "manager")
-        j = j.join(mgr, "department_id")
-    return j
+        dept = dept.join(mgr, "department_id")
+    dept, _ = checked_broadcast(dept)
+    return (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
+            .join(dept_emp, "employee_id").join(dept, "department_id"))
 
 
 def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from paytrail.config import SHIFT_YEARS, checkpoint_root
 from paytrail.functions.dates import add_years, shift_date
+from paytrail.operators.joins import materialize
 from paytrail.sources import fixtures, schemas
 
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
@@ -84,7 +85,7 @@ class Warehouse:
         if not force and _exists(self.spark, f"{self.root}/_COMPLETE"):
             return
         raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
-                                  materialize=lambda df: df.checkpoint(eager=True))
+                                  materialize=lambda df: materialize(df, "fixture"))
         for name in TABLES:
             self._write(raw[name], self._path("raw", name), name)
         raw_stored = {n: self._read("raw", n) for n in TABLES}
