@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The analysed workload is a batch job over stored tables; it has no stream,
+watermark, time window or per-key state, so nothing here is built.  Keeping
+the stored copies in step with their sources (which the original only claims)
+is the staging job: ``Warehouse(spark, sf_dir).build(force=True)``.
+"""
