@@ -46,12 +46,28 @@ HISTORY_COLUMNS = [
 ]
 
 
+PERIOD_COLUMNS = [
+    "employee_id", "title", "salary", "department_id", "department", "manager_id", "manager",
+    "title_from_date", "salary_from_date", "department_from_date", "manager_from_date",
+    "effective_date", "expiry_date"]
+
+
 def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
-                    bucket_days: int = SLICE_DAYS) -> DataFrame:
-    """Valid (title x salary x department x manager) combinations per employee."""
+                    bucket_days: int = SLICE_DAYS,
+                    attributes: DataFrame | None = None) -> DataFrame:
+    """Valid (title x salary x department x manager) combinations per employee.
+
+    ``attributes`` (one row per employee, keyed by ``employee_id``) is inner
+    joined to the title periods before the period join, so its columns ride
+    along without a later shuffle of the (much larger) result.
+    """
     title = t["title"].select("employee_id", "title",
                               F.col("from_date").alias("title_from_date"),
                               F.col("to_date").alias("title_to_date"))
+    extra: list[str] = []
+    if attributes is not None:
+        title = title.join(attributes, "employee_id")
+        extra = [c for c in attributes.columns if c != "employee_id"]
     salary = t["salary"].select("employee_id", F.col("amount").alias("salary"),
                                 F.col("from_date").alias("salary_from_date"),
                                 F.col("to_date").alias("salary_to_date"))
@@ -68,12 +84,11 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
         Period(mgr, "manager_from_date", "manager_to_date",
                on=("department_id", "manager_department_id"), broadcast=mgr_small),
     ], key="employee_id", bounds=bounds, bucket_days=bucket_days)
-    names, _ = checked_broadcast(t["department"].select(
-        F.col("id").alias("department_id"), F.col("dept_name").alias("department")))
-    return joined.join(names, "department_id").select(
-        "employee_id", "title", "salary", "department_id", "department", "manager_id",
-        "manager", "title_from_date", "salary_from_date", "department_from_date",
-        "manager_from_date", "effective_date", "expiry_date")
+    # A stored dimension scan: Spark's own size check (file size against the
+    # broadcast threshold) decides the strategy.
+    names = t["department"].select(F.col("id").alias("department_id"),
+                                   F.col("dept_name").alias("department"))
+    return joined.join(names, "department_id").select(*PERIOD_COLUMNS, *extra)
 
 
 def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS) -> DataFrame:
@@ -103,14 +118,25 @@ def previous_latest_salary(salary: DataFrame) -> DataFrame:
 
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
-                 bounds: str = "closed", slice_days: int | None = SLICE_DAYS) -> DataFrame:
+                 bounds: str = "closed", slice_days: int | None = SLICE_DAYS,
+                 carry_attributes: bool = False) -> DataFrame:
     """Periods with lags, event order, employee attributes and tenure; before
-    the benchmark joins (they may drop rows, leaving gaps in event_order)."""
-    lagged = history_lags(history_periods(t, bounds), slice_days)
+    the benchmark joins (they may drop rows, leaving gaps in event_order).
+
+    Employee attributes and the latest previous salary are per-employee
+    constants.  By default they are joined after the windows (one shuffle of
+    the result on employee_id); ``carry_attributes`` joins them to the title
+    periods first instead, which saves that shuffle but widens every row the
+    period join copies into buckets - measured slower at sf0.1.
+    """
     emp = t["employee"].select(F.col("id").alias("employee_id"), "birth_date", "gender",
                                "hire_date", full_name("first_name", "last_name")
                                .alias("employee_name"))
-    base = lagged.join(emp, "employee_id").join(previous_latest_salary(t["salary"]), "employee_id")
+    attributes = emp.join(previous_latest_salary(t["salary"]), "employee_id")
+    if carry_attributes:
+        base = history_lags(history_periods(t, bounds, attributes=attributes), slice_days)
+    else:
+        base = history_lags(history_periods(t, bounds), slice_days).join(attributes, "employee_id")
     return base.select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
