@@ -11,8 +11,9 @@ column:
 3. the first and last row of every slice (read from the same shuffle output,
    a reused exchange) go through a window per key that holds at most two
    rows per slice: it gives each slice the last row of the previous non-empty
-   slice, the first row of the next one and the row counts before / after;
-5. the summaries are joined back on (key, slice) - the partitioning and sort
+   slice, the first row of the next one and the row counts before / after,
+   collected onto one row per slice;
+4. the summaries are joined back on (key, slice) - the partitioning and sort
    prefix the rows already have - and fix the first / last row of each slice.
 
 The big input crosses one shuffle and one sort; results equal the plain window
@@ -121,13 +122,14 @@ def ordered_sequence(
                    F.lit(0)).alias(_BEFORE),
         F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(1, Window.unboundedFollowing)),
                    F.lit(0)).alias(_AFTER))
-    is_first, is_last = F.col(_RN) == 1, F.col(_LASTROW)
-    summary = bnd.groupBy(_KEY, _SLICE).agg(
-        F.max(F.when(is_last, F.col(_RN))).alias(_CNT),
-        F.first(F.when(is_first, F.col(_PREV)), ignorenulls=True).alias(_PREV),
-        F.first(F.when(is_last, F.col(_NEXT)), ignorenulls=True).alias(_NEXT),
-        F.max(F.when(is_first, F.col(_BEFORE))).alias(_BEFORE),
-        F.max(F.when(is_last, F.col(_AFTER))).alias(_AFTER))
+    # A slice's first boundary row is followed by its last one (unless it is
+    # both): move the last row's facts onto the first and keep one row per slice.
+    own_or_next = lambda c: F.when(F.col(_LASTROW), F.col(c)).otherwise(F.lead(c).over(wb))
+    summary = bnd.select(
+        _KEY, _SLICE, _RN, _PREV, _BEFORE,
+        own_or_next(_RN).alias(_CNT), own_or_next(_NEXT).alias(_NEXT),
+        own_or_next(_AFTER).alias(_AFTER),
+    ).filter(F.col(_RN) == 1).drop(_RN)
 
     j = rows.join(summary, [_KEY, _SLICE])
     first, last = F.col(_RN) == 1, F.col(_LASTROW)
