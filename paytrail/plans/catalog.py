@@ -46,6 +46,15 @@ def preview_employee(spark, sf_dir):
     return raw(spark, sf_dir)["employee"].orderBy("id").limit(5)
 
 
+def _preview(name):
+    """Five rows of a raw table; ordered by every column so that the five are
+    always the same ones (the original's unordered LIMIT picks any five)."""
+    def q(spark, sf_dir):
+        df = raw(spark, sf_dir)[name]
+        return df.orderBy(*df.columns).limit(5)
+    return q
+
+
 def _stage(name):
     def q(spark, sf_dir):
         return stage_table(name, raw(spark, sf_dir)[name])
@@ -350,6 +359,8 @@ def department_history_months(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "preview_employee": preview_employee,
+    **{f"preview_{n}": _preview(n) for n in ("title", "salary", "department_employee",
+                                              "department_manager")},
     **{f"stage_{n}": _stage(n) for n in ("department", "department_employee",
                                           "department_manager", "employee", "salary", "title")},
     "records_per_employee_employee": records_per_employee_employee,
