@@ -26,8 +26,10 @@ def materialize(df: DataFrame, label: str = "step") -> DataFrame:
 
 def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       label: str = "dim") -> tuple[DataFrame, bool]:
-    """Store ``df`` and report whether its row count is within ``max_rows``."""
-    stored = materialize(df.coalesce(1), label)
+    """Store ``df`` and report whether its row count is within ``max_rows``.
+    (No coalescing before the write: a side that turns out large still
+    writes in parallel.)"""
+    stored = materialize(df, label)
     return stored, stored.count() <= max_rows
 
 
