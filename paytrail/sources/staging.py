@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from paytrail.config import SHIFT_YEARS, checkpoint_root
 from paytrail.functions.dates import add_years, shift_date
 from paytrail.operators.joins import materialize
+from paytrail.operators import sequence
 from paytrail.sources import fixtures, schemas
 
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
@@ -47,7 +48,7 @@ def stage(raw: dict[str, DataFrame], years: int = SHIFT_YEARS) -> dict[str, Data
 def _version() -> str:
     """Stored tables are keyed by the code that derives them."""
     h = hashlib.sha1()
-    for mod in (fixtures, schemas):
+    for mod in (fixtures, schemas, sequence):
         h.update(inspect.getsource(mod).encode())
     h.update(inspect.getsource(stage_table).encode())
     return h.hexdigest()[:12]
@@ -75,8 +76,12 @@ class Warehouse:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:10]
-        base = root or checkpoint_root(spark)
-        self.root = f"{base}/paytrail-warehouse/{tag}-{_version()}"
+        if root is None:
+            # One warehouse per application: concurrent jobs never write into
+            # each other's folders.
+            app = spark.sparkContext.applicationId
+            root = f"{checkpoint_root(spark)}/paytrail-warehouse/{app}/{tag}-{_version()}"
+        self.root = root
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
