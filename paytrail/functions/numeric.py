@@ -14,10 +14,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def pct_diff(new, old) -> Column:
+    """``100 * (new - old) / old`` in double precision; NULL when old is 0."""
+    n, o = _c(new).cast("double"), _c(old).cast("double")
+    return F.lit(100.0) * (n - o) / F.nullif(o, F.lit(0.0))
+
+
 def pct_change(new, old, scale: int = 2) -> Column:
     """``ROUND(100 * (new - old) / old, scale)``, half away from zero."""
-    n, o = _c(new).cast("double"), _c(old).cast("double")
-    return F.round(F.lit(100.0) * (n - o) / F.nullif(o, F.lit(0.0)), scale)
+    return F.round(pct_diff(new, old), scale)
 
 
 def share_pct(part, whole) -> Column:

@@ -167,7 +167,7 @@ def compare_to(base: DataFrame, bench: DataFrame, name: str, small: bool = False
     return base.join(b, col).select(
         *base.columns,
         round_half_up(F.col("__bench")).alias(out),
-        F.round(pct_change("salary", "__bench", 10), 0).alias(cmp_name))
+        pct_change("salary", "__bench", 0).alias(cmp_name))
 
 
 def historic_employee_records(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
