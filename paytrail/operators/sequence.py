@@ -59,6 +59,7 @@ def ordered_sequence(
     leads: Mapping[str, str] | None = None,
     number: str | None = None,
     number_desc: str | None = None,
+    number_desc_max: int | None = None,
     slice_days: int | None = SLICE_DAYS,
 ) -> DataFrame:
     """Add per-key sequence columns ordered by ``order`` (ASC NULLS LAST).
@@ -68,6 +69,8 @@ def ordered_sequence(
     exact reverse order (DESC NULLS FIRST).  ``order[0]`` must be a date
     column; it defines the slices.  ``order`` must be total within a key for a
     deterministic result, exactly as for the plain window.
+    ``number_desc_max`` keeps only rows whose ``number_desc`` is at most that
+    (the latest rows of each key); whole slices are dropped before the join.
     ``slice_days=None`` computes the same columns with one plain window.
     """
     keys, order = list(keys), list(order)
@@ -88,6 +91,8 @@ def ordered_sequence(
             wd = Window.partitionBy(*keys).orderBy(
                 *[F.col(c).desc_nulls_first() for c in order])
             res = res.withColumn(number_desc, F.row_number().over(wd).cast("long"))
+            if number_desc_max is not None:
+                res = res.filter(F.col(number_desc) <= number_desc_max)
         return res.select(*out_cols, *extra)
 
     # A struct of the keys is never NULL and compares NULL fields as equal, so
@@ -130,6 +135,9 @@ def ordered_sequence(
         own_or_next(_RN).alias(_CNT), own_or_next(_NEXT).alias(_NEXT),
         own_or_next(_AFTER).alias(_AFTER),
     ).filter(F.col(_RN) == 1).drop(_RN)
+    if number_desc and number_desc_max is not None:
+        # Slices followed by at least number_desc_max rows hold no wanted row.
+        summary = summary.filter(F.col(_AFTER) < number_desc_max)
 
     j = rows.join(summary, [_KEY, _SLICE])
     first, last = F.col(_RN) == 1, F.col(_LASTROW)
@@ -144,7 +152,10 @@ def ordered_sequence(
         res.append((F.col(_BEFORE) + F.col(_RN)).cast("long").alias(number))
     if number_desc:
         res.append((F.col(_AFTER) + F.col(_CNT) - F.col(_RN) + 1).cast("long").alias(number_desc))
-    return j.select(*out_cols, *res)
+    out = j.select(*out_cols, *res)
+    if number_desc and number_desc_max is not None:
+        out = out.filter(F.col(number_desc) <= number_desc_max)
+    return out
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],

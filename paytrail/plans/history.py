@@ -91,13 +91,15 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     return joined.join(names, "department_id").select(*PERIOD_COLUMNS, *extra)
 
 
-def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS) -> DataFrame:
-    """Previous title / salary / department / manager and the reverse event order."""
+def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS,
+                 max_events: int | None = None) -> DataFrame:
+    """Previous title / salary / department / manager and the reverse event
+    order (only the latest ``max_events`` periods per employee if given)."""
     return ordered_sequence(
         periods, ["employee_id"], EVENT_ORDER,
         lags={"previous_title": "title", "previous_salary": "salary",
               "previous_department": "department", "previous_manager": "manager"},
-        number_desc="event_order", slice_days=slice_days)
+        number_desc="event_order", number_desc_max=max_events, slice_days=slice_days)
 
 
 def event_name(prefix: str = "") -> F.Column:
@@ -119,7 +121,7 @@ def previous_latest_salary(salary: DataFrame) -> DataFrame:
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                  bounds: str = "closed", slice_days: int | None = SLICE_DAYS,
-                 carry_attributes: bool = False) -> DataFrame:
+                 carry_attributes: bool = False, max_events: int | None = None) -> DataFrame:
     """Periods with lags, event order, employee attributes and tenure; before
     the benchmark joins (they may drop rows, leaving gaps in event_order).
 
@@ -134,9 +136,11 @@ def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                                .alias("employee_name"))
     attributes = emp.join(previous_latest_salary(t["salary"]), "employee_id")
     if carry_attributes:
-        base = history_lags(history_periods(t, bounds, attributes=attributes), slice_days)
+        base = history_lags(history_periods(t, bounds, attributes=attributes), slice_days,
+                            max_events)
     else:
-        base = history_lags(history_periods(t, bounds), slice_days).join(attributes, "employee_id")
+        base = history_lags(history_periods(t, bounds), slice_days, max_events) \
+            .join(attributes, "employee_id")
     return base.select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
@@ -175,9 +179,9 @@ def historic_employee_records(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DE
                               snapshot: DataFrame | None = None) -> DataFrame:
     snap = snapshot if snapshot is not None else current_snapshot(t, as_of)
     bm, small = stored_benchmarks(snap)
-    rows = with_events(history_base(t, as_of, bounds))
-    if max_events is not None:
-        rows = rows.filter(F.col("event_order") <= max_events)
+    # Events are numbered before the benchmark joins; keeping only the latest
+    # ones happens inside the numbering, before any join.
+    rows = with_events(history_base(t, as_of, bounds, max_events=max_events))
     for name in ("tenure", "title", "department", "gender"):
         rows = compare_to(rows, bm[name], name, small)
     return rows.select(*HISTORY_COLUMNS)

@@ -50,3 +50,15 @@ def test_latest_per_key_prefers_null_then_latest(spark):
          (2, dt.date(2030, 1, 1), 6)], "k long, t date, v int")
     got = {r.k: r.v for r in latest_per_key(df, ["k"], ["t"], ["v"]).collect()}
     assert got == {1: 20, 2: 5}
+
+
+def test_latest_rows_only_equals_filtered_plain(spark):
+    df = _frame(spark, 11, 300, 0.1)
+    def top(slice_days):
+        out = ordered_sequence(df, ["k"], ["d", "uid"], lags={"prev_v": "v"},
+                               number_desc="n_desc", number_desc_max=3, slice_days=slice_days)
+        return sorted((tuple(r) for r in out.collect()), key=repr)
+    full = ordered_sequence(df, ["k"], ["d", "uid"], lags={"prev_v": "v"},
+                            number_desc="n_desc", slice_days=None).filter("n_desc <= 3")
+    want = sorted((tuple(r) for r in full.collect()), key=repr)
+    assert top(30) == want and top(None) == want
