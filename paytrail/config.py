@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 OPEN_END = dt.date(9999, 1, 1)
 SHIFT_YEARS = 18
 
-# One explicit "now" for a whole run (the reference evaluates now() per query).
+# One explicit "now" for a whole run (the original views evaluate now() per query).
 AS_OF_DEFAULT = dt.date(2020, 12, 31)
 
 # Width, in days, of the time slices used to split one key's rows across tasks

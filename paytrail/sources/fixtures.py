@@ -5,6 +5,9 @@ The six raw tables (dates before the +18 year repair) are built from
 the input.  Employees are customers with orders, every order day is a salary
 period, every fourth order day starts a new title, some employees move to the
 next department after their third order day, every fifth employee has left.
+The modulo rules assign dates and departments; they never drop input rows
+(every customer with orders becomes an employee, every order day a salary
+period, every fourth order day of a person a title change).
 """
 
 from __future__ import annotations

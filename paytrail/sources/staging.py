@@ -82,12 +82,14 @@ class Warehouse:
             app = spark.sparkContext.applicationId
             root = f"{checkpoint_root(spark)}/paytrail-warehouse/{app}/{tag}-{_version()}"
         self.root = root
+        self._built = False
 
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
     def build(self, force: bool = False) -> None:
-        if not force and _exists(self.spark, f"{self.root}/_COMPLETE"):
+        if not force and (self._built or _exists(self.spark, f"{self.root}/_COMPLETE")):
+            self._built = True
             return
         raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
                                   materialize=lambda df: materialize(df, "fixture"))
@@ -98,6 +100,7 @@ class Warehouse:
             self._write(df, self._path("staged", name), name)
         self.spark.createDataFrame([("ok",)], "s string").coalesce(1) \
             .write.mode("overwrite").text(f"{self.root}/_COMPLETE")
+        self._built = True
 
     def _write(self, df: DataFrame, path: str, name: str) -> None:
         if name in schemas.SCD_TABLES:
