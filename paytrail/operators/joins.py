@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from paytrail.config import checkpoint_root
@@ -14,23 +14,29 @@ from paytrail.config import checkpoint_root
 BROADCAST_MAX_ROWS = 200_000
 
 
+def _store(df: DataFrame, label: str) -> str:
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/paytrail-steps/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
     """Write ``df`` once as parquet under the cluster's checkpoint folder and
     read it back: the lineage is cut (a lost executor recomputes from the
     stored files) and the input is evaluated exactly once."""
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/paytrail-steps/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(_store(df, label))
 
 
 def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       label: str = "dim") -> tuple[DataFrame, bool]:
     """Store ``df`` and report whether its row count is within ``max_rows``.
-    (No coalescing before the write: a side that turns out large still
-    writes in parallel.)"""
-    stored = materialize(df, label)
-    return stored, stored.count() <= max_rows
+    The count is observed while the write runs (no second job), and nothing is
+    coalesced before the write, so a side that turns out large still writes
+    in parallel."""
+    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
+    path = _store(df.observe(obs, F.count(F.lit(1)).alias("rows")), label)
+    return df.sparkSession.read.parquet(path), obs.get["rows"] <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
