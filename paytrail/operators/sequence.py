@@ -103,14 +103,13 @@ def ordered_sequence(
                 .repartition(_KEY, _SLICE))
 
     w = Window.partitionBy(_KEY, _SLICE).orderBy(*_sort(order))
-    win = (shuffled.sortWithinPartitions(_KEY, _SLICE, *_sort(order))
-           .withColumn(_RN, F.row_number().over(w).cast("long"))
-           .withColumn(_LASTROW, F.lead(F.lit(1)).over(w).isNull()))
+    win = shuffled.sortWithinPartitions(_KEY, _SLICE, *_sort(order)).select(
+        "*",
+        F.row_number().over(w).cast("long").alias(_RN),
+        F.lead(F.lit(1)).over(w).isNull().alias(_LASTROW),
+        *[F.lag(src).over(w).alias(f"__lag_{out}") for out, src in lags.items()],
+        *[F.lead(src).over(w).alias(f"__lead_{out}") for out, src in leads.items()])
     rows = win
-    for out, src in lags.items():
-        rows = rows.withColumn(f"__lag_{out}", F.lag(src).over(w))
-    for out, src in leads.items():
-        rows = rows.withColumn(f"__lead_{out}", F.lead(src).over(w))
 
     # Boundary rows (first and last of each slice).  They keep every input
     # column, so this branch reads the very same shuffle as ``rows`` (a reused
@@ -134,7 +133,15 @@ def ordered_sequence(
         _KEY, _SLICE, _RN, _PREV, _BEFORE,
         own_or_next(_RN).alias(_CNT), own_or_next(_NEXT).alias(_NEXT),
         own_or_next(_AFTER).alias(_AFTER),
-    ).filter(F.col(_RN) == 1).drop(_RN)
+    ).filter(F.col(_RN) == 1)
+    # Only the carried fields travel on to the join.
+    lag_src, lead_src = sorted(set(lags.values())), sorted(set(leads.values()))
+    carried = [_KEY, _SLICE, _BEFORE, _CNT, _AFTER]
+    if lag_src:
+        carried.append(F.struct(*[F.col(_PREV).getField(c).alias(c) for c in lag_src]).alias(_PREV))
+    if lead_src:
+        carried.append(F.struct(*[F.col(_NEXT).getField(c).alias(c) for c in lead_src]).alias(_NEXT))
+    summary = summary.select(*carried)
     if number_desc and number_desc_max is not None:
         # Slices followed by at least number_desc_max rows hold no wanted row.
         summary = summary.filter(F.col(_AFTER) < number_desc_max)
