@@ -102,7 +102,7 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     for p in inputs[1:]:
         lk, rk = p.on or (key, key)
         if p.broadcast:
-            a, b = acc.alias("a"), p.df.alias("b")
+            a, b = acc.alias("a"), F.broadcast(p.df).alias("b")
             bucket_cond = F.lit(True)
         else:
             a = _explode_buckets(acc, F.col(_EFF), F.col(_EXP), lo, hi, bucket_days).alias("a")

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT, SLICE_DAYS
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change, round_half_up
-from paytrail.operators.joins import checked_broadcast
 from paytrail.operators.scd import Period, overlap_join
 from paytrail.operators.sequence import latest_per_key, ordered_sequence
 from paytrail.plans.benchmark import BENCHMARKS, stored_benchmarks
-from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_with_previous
+from paytrail.plans.snapshot import (current_snapshot, salary_with_previous,
+                                     stored_manager_periods)
 
 # Event labels, checked in this order (first match wins).
 SALARY_INCREASE = "Salary Increase"
@@ -54,7 +54,8 @@ PERIOD_COLUMNS = [
 
 def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
                     bucket_days: int = SLICE_DAYS,
-                    attributes: DataFrame | None = None) -> DataFrame:
+                    attributes: DataFrame | None = None,
+                    managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """Valid (title x salary x department x manager) combinations per employee.
 
     ``attributes`` (one row per employee, keyed by ``employee_id``) is inner
@@ -74,9 +75,9 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     dept = t["department_employee"].select("employee_id", "department_id",
                                            F.col("from_date").alias("department_from_date"),
                                            F.col("to_date").alias("department_to_date"))
-    mgr, mgr_small = checked_broadcast(manager_periods(t).select(
-        F.col("department_id").alias("manager_department_id"), "manager_id", "manager",
-        "manager_from_date", "manager_to_date"))
+    periods, mgr_small = managers if managers is not None else stored_manager_periods(t)
+    mgr = periods.select(F.col("department_id").alias("manager_department_id"), "manager_id",
+                         "manager", "manager_from_date", "manager_to_date")
     joined = overlap_join([
         Period(title, "title_from_date", "title_to_date"),
         Period(salary, "salary_from_date", "salary_to_date"),
@@ -121,7 +122,8 @@ def previous_latest_salary(salary: DataFrame) -> DataFrame:
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                  bounds: str = "closed", slice_days: int | None = SLICE_DAYS,
-                 carry_attributes: bool = False, max_events: int | None = None) -> DataFrame:
+                 carry_attributes: bool = False, max_events: int | None = None,
+                 managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """Periods with lags, event order, employee attributes and tenure; before
     the benchmark joins (they may drop rows, leaving gaps in event_order).
 
@@ -136,11 +138,11 @@ def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                                .alias("employee_name"))
     attributes = emp.join(previous_latest_salary(t["salary"]), "employee_id")
     if carry_attributes:
-        base = history_lags(history_periods(t, bounds, attributes=attributes), slice_days,
-                            max_events)
+        base = history_lags(history_periods(t, bounds, attributes=attributes,
+                                            managers=managers), slice_days, max_events)
     else:
-        base = history_lags(history_periods(t, bounds), slice_days, max_events) \
-            .join(attributes, "employee_id")
+        base = history_lags(history_periods(t, bounds, managers=managers), slice_days,
+                            max_events).join(attributes, "employee_id")
     return base.select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
@@ -177,11 +179,13 @@ def compare_to(base: DataFrame, bench: DataFrame, name: str, small: bool = False
 def historic_employee_records(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                               bounds: str = "closed", max_events: int | None = None,
                               snapshot: DataFrame | None = None) -> DataFrame:
-    snap = snapshot if snapshot is not None else current_snapshot(t, as_of)
+    managers = stored_manager_periods(t)  # stored once, used by snapshot and periods
+    snap = snapshot if snapshot is not None else current_snapshot(t, as_of, managers=managers)
     bm, small = stored_benchmarks(snap)
     # Events are numbered before the benchmark joins; keeping only the latest
     # ones happens inside the numbering, before any join.
-    rows = with_events(history_base(t, as_of, bounds, max_events=max_events))
+    rows = with_events(history_base(t, as_of, bounds, max_events=max_events,
+                                    managers=managers))
     for name in ("tenure", "title", "department", "gender"):
         rows = compare_to(rows, bm[name], name, small)
     return rows.select(*HISTORY_COLUMNS)

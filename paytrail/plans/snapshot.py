@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import year_diff
 from paytrail.functions.numeric import full_name, pct_change
-from paytrail.operators.joins import checked_broadcast
+from paytrail.operators.joins import materialize_small
 from paytrail.operators.scd import current
 from paytrail.operators.sequence import ordered_sequence
 
@@ -41,7 +41,14 @@ def manager_periods(t: dict[str, DataFrame]) -> DataFrame:
             .join(mgr, "manager_id"))
 
 
-def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
+def stored_manager_periods(t: dict[str, DataFrame]) -> tuple[DataFrame, bool]:
+    """Manager periods with names, stored once under the checkpoint folder and
+    counted while written; the flag says whether they may be broadcast."""
+    return materialize_small(manager_periods(t), label="managers")
+
+
+def _joined(t: dict[str, DataFrame], with_manager: bool,
+            managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
     emp = t["employee"].select(F.col("id").alias("employee_id"), "gender", "hire_date",
                                "first_name", "last_name")
     title = current(t["title"]).select("employee_id", "title",
@@ -50,23 +57,27 @@ def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
     prev = previous_salary_current(t["salary"]).select("employee_id", "previous_salary")
     dept_emp = current(t["department_employee"]).select(
         "employee_id", "department_id", F.col("from_date").alias("department_from_date"))
+    # A stored dimension scan: Spark's own size check picks the join strategy.
     dept = t["department"].select(F.col("id").alias("department_id"),
                                   F.col("dept_name").alias("department"))
+    j = (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
+         .join(dept_emp, "employee_id").join(dept, "department_id"))
     if with_manager:
-        # Department and its current manager(s) form one small dimension.
-        mgr = current(manager_periods(t), "manager_to_date").select("department_id", "manager")
-        dept = dept.join(mgr, "department_id")
-    dept, _ = checked_broadcast(dept)
-    return (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
-            .join(dept_emp, "employee_id").join(dept, "department_id"))
+        # Current managers: a subset of the stored, counted manager periods.
+        periods, small = managers if managers is not None else stored_manager_periods(t)
+        mgr = current(periods, "manager_to_date").select("department_id", "manager")
+        j = j.join(F.broadcast(mgr) if small else mgr, "department_id")
+    return j
 
 
 def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
-                     with_manager: bool = True, keep_previous: bool = False) -> DataFrame:
+                     with_manager: bool = True, keep_previous: bool = False,
+                     managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """``with_manager=True`` is the effective definition (with employee and
     manager names, inner join on the current manager); ``False`` the first.
-    ``keep_previous`` appends the previous salary amount."""
-    j = _joined(t, with_manager)
+    ``keep_previous`` appends the previous salary amount; ``managers`` reuses
+    the result of :func:`stored_manager_periods`."""
+    j = _joined(t, with_manager, managers)
     cols = [
         "employee_id", "gender", "title", "salary", "department",
         pct_change("salary", "previous_salary").alias("salary_percentage_change"),
