@@ -7,6 +7,7 @@ from __future__ import annotations
 import hashlib
 import inspect
 import os
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from paytrail.operators.joins import materialize
 from paytrail.operators import sequence
 from paytrail.sources import fixtures, schemas
 
+_LOCK = threading.RLock()
+
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
 
 
@@ -88,6 +91,10 @@ class Warehouse:
         return f"{self.root}/{layer}/{name}"
 
     def build(self, force: bool = False) -> None:
+        with _LOCK:  # queries running on several driver threads build it once
+            self._build(force)
+
+    def _build(self, force: bool) -> None:
         if not force and (self._built or _exists(self.spark, f"{self.root}/_COMPLETE")):
             self._built = True
             return
@@ -126,6 +133,7 @@ def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> Ware
     """The warehouse of ``sf_dir`` for this session; ``root`` replaces it with
     one stored elsewhere (e.g. a fresh folder per benchmark run)."""
     key = (id(spark), sf_dir.rstrip("/"))
-    if root is not None or key not in _CACHE:
-        _CACHE[key] = Warehouse(spark, sf_dir, root)
-    return _CACHE[key]
+    with _LOCK:
+        if root is not None or key not in _CACHE:
+            _CACHE[key] = Warehouse(spark, sf_dir, root)
+        return _CACHE[key]
