@@ -32,7 +32,8 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app="paytrail-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = session(f"local[{cpus}]", shuffle_partitions=parts, app="paytrail-bench")
     root = f"{checkpoint_root(spark)}/paytrail-bench-{uuid.uuid4().hex[:8]}"
     times: dict[str, float] = {}
 
@@ -59,7 +60,8 @@ def main() -> None:
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus,
+                      "shuffle_partitions": parts}))
 
 
 if __name__ == "__main__":
