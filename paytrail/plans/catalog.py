@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.config import AS_OF_DEFAULT
-from paytrail.functions.dates import age_months_field, completed_months, year_diff
-from paytrail.functions.numeric import full_name, pct_change, round_half_up
+from paytrail.functions.dates import age_months_field, year_diff
+from paytrail.functions.numeric import full_name, pct_change
 from paytrail.operators import profile
 from paytrail.operators.scd import current
-from paytrail.plans import dashboard, history
+from paytrail.plans import dashboard, history, requirements
 from paytrail.plans.benchmark import benchmark, stored_benchmarks
 from paytrail.plans.snapshot import (current_snapshot, manager_periods,
                                      previous_salary_current, salary_with_previous)
@@ -328,33 +328,16 @@ def employee_deep_dive(spark, sf_dir):
 # ---- requirements stated but not computed in the original ----------------
 
 def average_payrise(spark, sf_dir):
-    """Average pay rise amount and percentage of current employees by gender."""
     snap = current_snapshot(staged(spark, sf_dir), AS_OF, keep_previous=True)
-    return snap.groupBy("gender").agg(
-        F.count(F.lit(1)).alias("employee_count"),
-        round_half_up(F.avg(F.col("salary") - F.col("previous_salary")), 2)
-        .alias("avg_payrise_amount"),
-        round_half_up(F.avg("salary_percentage_change"), 2).alias("avg_payrise_percentage"))
-
-
-def _months(start, end):
-    return F.greatest(completed_months(start, F.least(F.col(end), F.lit(AS_OF))), F.lit(0)) \
-        .cast("long")
+    return requirements.average_payrise(snap)
 
 
 def title_history_months(spark, sf_dir):
-    t = staged(spark, sf_dir)["title"]
-    return t.select("employee_id", "title", "from_date", "to_date",
-                    _months("from_date", "to_date").alias("months_in_title"))
+    return requirements.title_months(staged(spark, sf_dir), AS_OF)
 
 
 def department_history_months(spark, sf_dir):
-    t = staged(spark, sf_dir)
-    dept = t["department"].select(F.col("id").alias("department_id"),
-                                  F.col("dept_name").alias("department"))
-    return t["department_employee"].join(dept, "department_id").select(
-        "employee_id", "department", "from_date", "to_date",
-        _months("from_date", "to_date").alias("months_in_department"))
+    return requirements.department_months(staged(spark, sf_dir), AS_OF)
 
 
 QUERIES: dict[str, Query] = {
