@@ -179,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not total:
         return build_index([], {}, np.empty(0))
     counts = chosen.select("text", "toxic").mapInPandas(_term_rows, "term string, n long, toxic long") \
-        .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where("toxic >= 3").toPandas()
+        .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where("toxic >= 3").toArrow().to_pandas()
     counts["g2"] = g2(counts["toxic"].to_numpy(), counts["n"].to_numpy(), toxic, total)
     counts = counts[counts["g2"] >= MIN_G2].sort_values(["g2", "term"], ascending=[False, True]).head(max_terms)
     vocabulary = {t: i for i, t in enumerate(sorted(counts["term"]))}
@@ -205,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pd.DataFrame({"id": b["_k"], "toxic": b["toxic"], "at": [list(c) for c in found],
                                 "n": [list(c.values()) for c in found]})
 
-    kept = chosen.mapInPandas(vectors, "id long, toxic int, at array<int>, n array<int>").toPandas()
+    kept = chosen.mapInPandas(vectors, "id long, toxic int, at array<int>, n array<int>").toArrow().to_pandas()
     examples = [(int(i), int(y), tuple(sorted(zip(map(int, a), map(int, c)))))
                 for i, y, a, c in zip(kept["id"], kept["toxic"], kept["at"], kept["n"])]
     return build_index(examples, vocabulary, idf)
