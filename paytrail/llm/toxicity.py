@@ -69,9 +69,36 @@ def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"term": list(n), "n": list(n.values()), "toxic": [bad[t] for t in n]})
 
 
+class Vocabulary:
+    """Numbers of the known terms of a text.  What a word gives is remembered, as
+    most words of a corpus are repeated."""
+
+    def __init__(self, numbers: dict[str, int]):
+        self.numbers, self.seen = numbers, {}
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def __reduce__(self):
+        return Vocabulary, (self.numbers,)
+
+    def find(self, text: str | None) -> list[int]:
+        out: list[int] = []
+        seen = self.seen
+        for w in _WORD.findall(text.lower()) if text else ():
+            got = seen.get(w)
+            if got is None:
+                if len(seen) > 500_000:
+                    seen.clear()
+                got = seen[w] = [i for t in terms(w) if (i := self.numbers.get(t)) is not None]
+            if got:
+                out += got
+        return out
+
+
 @dataclass
 class Index:
-    vocabulary: dict[str, int]
+    vocabulary: Vocabulary
     idf: np.ndarray
     ids: np.ndarray            # doc ids of the examples
     toxic: np.ndarray
@@ -81,8 +108,7 @@ class Index:
     empty: float               # score of a text without terms
 
     def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        counts = Counter(i for t in terms(text) if (i := self.vocabulary.get(t)) is not None)
-        return tuple(sorted(counts.items()))
+        return tuple(sorted(Counter(self.vocabulary.find(text)).items()))
 
     def weights(self, vector: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
         at = np.array([t for t, _ in vector], dtype=np.int64)
@@ -132,7 +158,7 @@ def build_index(examples: list[tuple[int, int, tuple[tuple[int, int], ...]]], vo
     rate = (sum(empty) + base) / (len(empty) + 1) if examples else 0.0
     full = sorted((e for e in examples if e[2]),
                   key=lambda e: (max((idf[t], t) for t, _ in e[2])[1], e[1], e[0]))
-    index = Index(vocabulary, idf, np.array([e[0] for e in full], dtype=np.int64),
+    index = Index(Vocabulary(vocabulary), idf, np.array([e[0] for e in full], dtype=np.int64),
                   np.array([e[1] for e in full], dtype=float), [], [], base, rate)
     lists: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
     for i, (_, _, v) in enumerate(full):
@@ -162,19 +188,16 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (bucket(key, 4) != held)) \
         .groupBy(F.col(key).alias("_k")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
-    rows = docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("text")).join(marks, "_k") \
-        .where("text is not null")
-    # Only hashes move for the choice of examples; texts are read again for the few that are chosen.
-    named = rows.select("_k", "toxic", F.xxhash64(F.lit(17), "text").alias("h"), F.md5(F.encode("text", "UTF-8")).alias("m"))
-    distinct = cut(named.groupBy("h", "m").agg(F.min("_k").alias("_k"), F.max("toxic").alias("toxic")))
+    named = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("_k"), F.col(text).cast("string").alias("text"))
+    named = named.withColumn("h", F.xxhash64(F.lit(17), "text")).withColumn("m", F.md5(F.encode("text", "UTF-8")))
+    # Only hashes move for the choice of examples; the bounded choice is broadcast to read its texts.
+    distinct = cut(named.select("_k", "h", "m").join(marks, "_k").groupBy("h", "m").agg(
+        F.min("_k").alias("_k"), F.max("toxic").alias("toxic")))
     n = distinct.count()
     if n > max_examples:
-        limit = int(2**32 * max_examples / n)
-        distinct = distinct.where(F.shiftrightunsigned("h", 32) < limit)
-    chosen = cut(docs.select(F.col(key).alias("_k"), F.col(text).cast("string").alias("text"))
-                 .join(distinct.select("_k", "toxic", "m"), "_k")
-                 .where(F.md5(F.encode("text", "UTF-8")) == F.col("m")).dropDuplicates(["_k"])
-                 .select("_k", "text", "toxic"))
+        distinct = distinct.where(F.shiftrightunsigned("h", 32) < int(2**32 * max_examples / n))
+    chosen = cut(named.join(F.broadcast(distinct.select("_k", "toxic", "m")), ["_k", "m"])
+                 .select("_k", "text", "toxic").dropDuplicates(["_k"]))
     total, toxic = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).head()
     if not total:
         return build_index([], {}, np.empty(0))
@@ -184,14 +207,14 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = counts[counts["g2"] >= MIN_G2].sort_values(["g2", "term"], ascending=[False, True]).head(max_terms)
     vocabulary = {t: i for i, t in enumerate(sorted(counts["term"]))}
 
-    sent = spark.sparkContext.broadcast(vocabulary)
+    sent = spark.sparkContext.broadcast(Vocabulary(vocabulary))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         n, df = 0, Counter()
         for b in batches:
             for t in b["text"]:
                 n += 1
-                df.update({i for w in terms(t) if (i := sent.value.get(w)) is not None})
+                df.update(set(sent.value.find(t)))
         yield pd.DataFrame({"term": [-1, *df], "n": [n, *df.values()]})
 
     df = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(frequencies, "term int, n long") \
@@ -201,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [Counter(i for w in terms(t) if (i := sent.value.get(w)) is not None) for t in b["text"]]
+            found = [Counter(sent.value.find(t)) for t in b["text"]]
             yield pd.DataFrame({"id": b["_k"], "toxic": b["toxic"], "at": [list(c) for c in found],
                                 "n": [list(c.values()) for c in found]})
 
