@@ -44,39 +44,43 @@ NUMBER, NAME, UNIT = "0", "1", "2"
 
 def _plain(text: Column) -> Column:
     """One number is one token: no separators inside, a space before a unit."""
-    joined = F.regexp_replace(text, r"(?<=\d)[.,](?=\d)", "")
-    return F.regexp_replace(joined, r"(?<=\d)(?=\p{L})", " ")
+    joined = F.regexp_replace(text, r"[.,](?<=\d[.,])(?=\d)", "")
+    return F.regexp_replace(joined, r"(\d)(?=\p{L})", "$1 ")
 
 
 def _canonical(plain: Column) -> Column:
+    # Each pattern begins with what is rare, so that most positions fail at once.
     c = F.regexp_replace(plain, r"\d+", NUMBER)
-    c = F.regexp_replace(c, r"(?<=[\p{Ll}\p{Nd},;:] )\p{Lu}\p{L}*", NAME)
-    return F.regexp_replace(F.lower(c), rf"(?<={NUMBER} )(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", UNIT)
+    c = F.regexp_replace(c, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})\p{L}*", NAME)
+    return F.regexp_replace(F.lower(c), rf"{NUMBER} (?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
 
 
 def _tokens(text: Column) -> Column:
-    parts = F.split(text, r"[^\p{L}\p{N}]+")
-    return F.filter(parts, lambda x: x != "")
+    """Runs of letters and digits; a text without any gives one empty token."""
+    return F.split(F.regexp_replace(text, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""), r"[^\p{L}\p{N}]+")
 
 
 def templates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, canon array, slots array): canonical tokens, and the value at each
-    placeholder ('' at a literal word)."""
+    """(_key, _text, canon array, slots array): canonical tokens, and the value at
+    each placeholder ('' at a literal word); slots is null without placeholders."""
     plain = df.select(F.col(key).alias("_key"), _plain(F.col(text).cast("string")).alias("_p")).where("_p is not null")
-    both = plain.select("_key", F.xxhash64("_p").alias("_text"), _tokens(_canonical(F.col("_p"))).alias("canon"),
-                        _tokens(F.col("_p")).alias("raw"))
+    both = plain.withColumn("_c", _canonical(F.col("_p")))
+    raw = _tokens(F.lower("_p"))
     # Both arrays have the same length: every replacement keeps a token a token.
-    mark = F.zip_with("canon", "raw", lambda c, r: F.when(c.isin(NUMBER, NAME, UNIT), F.lower(r)).otherwise(""))
-    return both.select("_key", "_text", "canon", mark.alias("slots"))
+    canon = _tokens(F.col("_c"))
+    slots = F.zip_with(canon, raw, lambda c, r: F.when(c.isin(NUMBER, NAME, UNIT), r).otherwise(""))
+    return both.select("_key", F.xxhash64("_p").alias("_text"), canon.alias("canon"),
+                       F.when(F.col("_c").rlike(f"[{NUMBER}{NAME}{UNIT}]"), slots).alias("slots"))
 
 
 def windows(rows: DataFrame, width: int) -> DataFrame:
-    """(_key, _text, pos, hash, slots): every window of ``width`` tokens."""
+    """(_key, _text, pos, hash, slots): every window of ``width`` tokens; slots is
+    null in texts without placeholders."""
     hashed = rows.where(F.size("canon") >= width).select(
         "_key", "_text", F.transform("canon", lambda x: F.xxhash64(x)).alias("h"), "slots")
     made = F.transform(F.sequence(F.lit(1), F.size("h") - (width - 1)), lambda i: F.struct(
         F.xxhash64(F.lit(width), F.slice("h", i, width)).alias("hash"),
-        F.array_join(F.slice("slots", i, width), "\x01").alias("slots")))
+        F.when(F.col("slots").isNotNull(), F.array_join(F.slice("slots", i, width), "\x01")).alias("slots")))
     return hashed.select("_key", "_text", F.posexplode(made).alias("pos", "w")).select(
         "_key", "_text", "pos", "w.hash", "w.slots")
 
@@ -94,14 +98,15 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     for w in sorted(r[0] for r in bench.select("width").distinct().collect()):  # at most WIDTH values
         part = bench.where(F.col("width") == w)
         sizes = part.select(F.col("_key").alias("_k2"), "n_tokens")
-        literal = F.size(F.filter(F.split("slots", "\x01", -1), lambda x: x == ""))
+        blank = F.lit("\x01" * (w - 1))
+        literal = F.size(F.filter(F.split(F.coalesce("slots", blank), "\x01", -1), lambda x: x == ""))
         mine = cut(windows(part, w).where(literal * 2 >= w).select(
-            "hash", F.col("_key").alias("item"), F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
+            "hash", F.col("_key").alias("item"), F.col("pos").alias("ipos"), F.coalesce("slots", blank).alias("islots"))
             .join(sizes, F.col("item") == F.col("_k2")).drop("_k2"))
         small = mine.count() * ROW_BYTES <= BROADCAST_BYTES
         met = windows(doc_rows, w).join(F.broadcast(mine) if small else mine, "hash").select(
             F.col("_key").alias("doc"), "_text", "item", "n_tokens", F.lit(w).alias("width"), "ipos",
-            (F.col("pos") - F.col("ipos")).alias("shift"), "islots", F.col("slots").alias("dslots"))
+            (F.col("pos") - F.col("ipos")).alias("shift"), "islots", F.coalesce("slots", blank).alias("dslots"))
         hits = met if hits is None else hits.union(met)
     if hits is None:
         return docs.select(F.col(key)).where("false").select(
