@@ -4,8 +4,8 @@ Terms are words and their first four and five letters.
 
 Fitting.  At most about ``MAX_EXAMPLES`` labelled texts (a documented bound; chosen
 by hash of the text, equal texts once) become examples.  Over them the terms are
-weighed by the G2 test of term against label, and terms above ``MIN_G2`` that lean
-to the toxic side are the vocabulary (at most ``MAX_TERMS``).  Document frequencies
+weighed by the G2 test of term against label; terms above ``MIN_G2`` of which at
+least ``MIN_SHARE`` occur in toxic texts are the vocabulary (at most ``MAX_TERMS``).  Document frequencies
 of the vocabulary are counted over the whole corpus.
 
 Scoring.  A text is the TF-IDF vector of its vocabulary terms.  The examples are
@@ -43,6 +43,7 @@ from paytrail.llm.common import bucket, cut
 MAX_EXAMPLES = 20_000
 MAX_TERMS = 20_000
 MIN_G2 = 30.0
+MIN_SHARE = 0.5
 BLOCK = 128
 K = 11
 PRIOR = 1.0
@@ -204,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     counts = chosen.select("text", "toxic").mapInPandas(_term_rows, "term string, n long, toxic long") \
         .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where("toxic >= 3").toArrow().to_pandas()
     counts["g2"] = g2(counts["toxic"].to_numpy(), counts["n"].to_numpy(), toxic, total)
-    counts = counts[counts["g2"] >= MIN_G2].sort_values(["g2", "term"], ascending=[False, True]).head(max_terms)
+    counts = counts[(counts["g2"] >= MIN_G2) & (counts["toxic"] >= MIN_SHARE * counts["n"])].sort_values(["g2", "term"], ascending=[False, True]).head(max_terms)
     vocabulary = {t: i for i, t in enumerate(sorted(counts["term"]))}
 
     sent = spark.sparkContext.broadcast(Vocabulary(vocabulary))
