@@ -1,0 +1,28 @@
+"""Registered queries against their SQL, and the corpus pipeline's rows."""
+
+import os
+
+import pytest
+
+from paytrail.llm.queries import SQL
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data absent")
+
+
+def test_queries_match_sql(spark):
+    from checks.compare import compare
+    report = compare(spark, SF, keys=sorted(SQL), verbose=False)
+    assert all(r.get("hash_match") and r.get("columns_match") for r in report.values()), report
+
+
+def test_pipeline_keeps_documents_columns(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "near_duplicates", "decontamination", "mixing", "sharding"]
+    out = corpus_pipeline.run(spark, SF).collect()
+    ids = {r.doc_id for r in docs.collect()}
+    assert len({r.doc_id for r in out}) == len(out) and {r.doc_id for r in out} <= ids
+    assert len(out) > 0.6 * len(ids)
