@@ -39,8 +39,9 @@ def session(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("PAYTRAIL_DRIVER_MEMORY", "16g"),
     }
+    if os.environ.get("PAYTRAIL_DRIVER_MEMORY"):
+        conf["spark.driver.memory"] = os.environ["PAYTRAIL_DRIVER_MEMORY"]
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for k, v in conf.items():
@@ -53,13 +54,16 @@ def session(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a private scratch folder is
-    created and registered, so that ``DataFrame.checkpoint()`` works as well.
+    Only in a local session (tests) without the setting a private scratch folder
+    is created and registered, so that ``DataFrame.checkpoint()`` works as well.
+    On a cluster a machine-local folder would lose files, so this raises there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="paytrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():

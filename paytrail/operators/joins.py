@@ -38,11 +38,3 @@ def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     path = _store(df.observe(obs, F.count(F.lit(1)).alias("rows")), label)
     return df.sparkSession.read.parquet(path), obs.get["rows"] <= max_rows
 
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      label: str = "dim") -> tuple[DataFrame, bool]:
-    """Store a presumably small side once, count it, and mark it for broadcast
-    only when the count proves it small.  Otherwise the caller keeps a shuffle
-    join (where AQE can still split skewed keys)."""
-    stored, small = materialize_small(df, max_rows, label)
-    return (F.broadcast(stored) if small else stored), small

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paytrail.config import OPEN_END
-from paytrail.operators.scd import current
 
 
 def records_per_key(df: DataFrame, key: str, value: str | None = None, distinct: bool = False,
@@ -83,12 +82,13 @@ def reconcile_counts(tables: dict[str, DataFrame], snapshot: DataFrame) -> DataF
         F.lit(None).cast("long").alias("current_records"),
         F.lit(None).cast("long").alias("current_employees"))]
     for name in ("salary", "title", "department_employee"):
-        is_open = F.col("to_date") == F.lit(OPEN_END)
-        rows.append(tables[name].agg(
+        each = _per_key(tables[name], "employee_id")
+        known = F.col("employee_id").isNotNull()
+        rows.append(each.agg(
             F.lit(name).alias("relation"),
-            F.countDistinct("employee_id").alias("distinct_employees"),
-            F.count(F.when(is_open, F.lit(1))).alias("current_records"),
-            F.countDistinct(F.when(is_open, F.col("employee_id"))).alias("current_employees")))
+            F.count("employee_id").alias("distinct_employees"),
+            F.coalesce(F.sum("open_rows"), F.lit(0)).cast("long").alias("current_records"),
+            F.count(F.when(known & (F.col("open_rows") > 0), F.lit(1))).alias("current_employees")))
     rows.append(snapshot.agg(
         F.lit("current_employee_snapshot").alias("relation"),
         F.countDistinct("employee_id").alias("distinct_employees"),
@@ -97,7 +97,15 @@ def reconcile_counts(tables: dict[str, DataFrame], snapshot: DataFrame) -> DataF
     return reduce(DataFrame.unionByName, rows)
 
 
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    """Rows and open rows of each key: one map-side combined aggregate."""
+    is_open = F.col("to_date") == F.lit(OPEN_END)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("all_rows"),
+                               F.count(F.when(is_open, F.lit(1))).alias("open_rows"))
+
+
 def former_records(df: DataFrame, key: str = "employee_id") -> DataFrame:
-    """Number of records of keys that have no open record (anti-join)."""
-    open_keys = current(df).select(key)
-    return df.join(open_keys, key, "left_anti").agg(F.count(F.lit(1)).alias("record_count"))
+    """Number of records of keys that have no open record (a NULL key never has one)."""
+    gone = F.col(key).isNull() | (F.col("open_rows") == 0)
+    return _per_key(df, key).agg(
+        F.coalesce(F.sum(F.when(gone, F.col("all_rows"))), F.lit(0)).cast("long").alias("record_count"))

@@ -50,20 +50,23 @@ class Period:
 
 def _explode_buckets(df: DataFrame, start: Column, end: Column, lo: Column, hi: Column,
                      days: int) -> DataFrame:
-    s = F.greatest(F.coalesce(start, _low()), lo)
-    e = F.least(F.coalesce(end, _high()), hi)
+    s = F.least(F.greatest(F.coalesce(start, _low()), lo), hi)
+    e = F.greatest(F.least(F.coalesce(end, _high()), hi), lo)
     return df.filter(s <= e).withColumn(
         _BKT, F.explode(F.sequence(day_bucket(s, days), day_bucket(e, days))))
 
 
 def start_range(inputs: Sequence[Period]):
-    """Earliest and latest start date over all inputs (one small aggregation
-    job returning two dates).  Every valid combination's effective date lies
-    in this range, which bounds the buckets a row has to be copied to."""
+    """Start dates at the first and last hundredth over all inputs (one small
+    aggregation job returning two dates).  Earlier and later dates count as these
+    when buckets are assigned, so a few stray dates do not stretch the range that
+    open periods are copied over."""
     starts = reduce(lambda x, y: x.unionByName(y),
                     [p.df.select(F.col(p.start).alias("__s")) for p in inputs])
-    row = starts.agg(F.min("__s").alias("lo"), F.max("__s").alias("hi")).first()
-    return row["lo"], row["hi"]
+    days = starts.agg(F.percentile_approx(F.unix_date("__s"), [0.01, 0.99], 1000).alias("d")).first()["d"]
+    if not days:
+        return None, None
+    return tuple(dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in days)
 
 
 def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
@@ -74,7 +77,7 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     or ``<`` (``"half_open"``).  NULL bounds are skipped like GREATEST/LEAST do.
 
     No key's rows are paired wholesale: every row is copied to the fixed-width
-    time buckets its period touches (clamped to the range of all start dates),
+    time buckets its period touches (clamped to the range of most start dates),
     inputs are equi-joined on (key, bucket) with the pairwise overlap test, and
     a pair is kept only in the bucket holding its latest start.  So each
     combination is produced once, and a key with many rows spreads over many
@@ -113,7 +116,7 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
         b_end = F.coalesce(F.col(f"b.{p.end}"), _high())
         if not p.broadcast:
             bucket_cond = ((F.col(f"a.{_BKT}") == F.col(f"b.{_BKT}"))
-                           & (day_bucket(F.greatest(a_eff, b_start, lo), bucket_days)
+                           & (day_bucket(F.least(F.greatest(a_eff, b_start, lo), hi), bucket_days)
                               == F.col(f"a.{_BKT}")))
         cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}")) & bucket_cond
                 & before(a_eff, b_end) & before(b_start, a_exp))

@@ -15,33 +15,29 @@ LEVELS = {
 }
 
 
-def salary_stats(exact: bool = True) -> list:
-    """Salary statistics of one group.  Exact percentiles keep a value->count
-    map per group that is merged after map-side combining, so its size is
-    bounded by the distinct salaries, not the rows; ``exact=False`` swaps in
-    the fixed-size approximate sketch."""
-    def pct(p):
-        if exact:
-            return F.percentile(F.col("salary").cast("double"), F.lit(p))
-        return F.percentile_approx(F.col("salary").cast("double"), F.lit(p), F.lit(100000))
+def salary_stats() -> list:
+    """Salary statistics of one group.  One exact percentile aggregate keeps a
+    value->count map per group, merged after map-side combining, so its size is
+    bounded by the distinct salaries, not the rows."""
+    quartiles = F.percentile(F.col("salary").cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return [
         round_half_up(F.avg("salary")).alias("avg_salary"),
         round_half_up(F.avg("salary_percentage_change")).alias("avg_salary_percentage_change"),
         F.min("salary").cast("double").alias("min_salary"),
         F.max("salary").cast("double").alias("max_salary"),
-        round_half_even(pct(0.5)).alias("median_salary"),
-        round_half_even(pct(0.75) - pct(0.25)).alias("inter_quartile_range"),
+        round_half_even(quartiles[1]).alias("median_salary"),
+        round_half_even(quartiles[2] - quartiles[0]).alias("inter_quartile_range"),
         round_half_up(F.stddev_samp("salary")).alias("stddev_salary"),
     ]
 
 
-def level_dashboard(snapshot: DataFrame, level: str, exact: bool = True) -> DataFrame:
+def level_dashboard(snapshot: DataFrame, level: str) -> DataFrame:
     extra, tenure_col, tenure_name = LEVELS[level]
     keys = ["gender"] + ([extra] if extra else [])
     agg = snapshot.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("employee_count"),
         round_half_even(F.avg(tenure_col)).alias(tenure_name),
-        *salary_stats(exact))
+        *salary_stats())
     # The share window runs over the aggregated rows only (a handful per group).
     w = Window.partitionBy(*([extra] if extra else []))
     share = share_pct(F.col("employee_count"), F.sum("employee_count").over(w))

@@ -1,7 +1,9 @@
 """The whole batch: stage, profile, snapshot, dashboards, benchmarks, history
 and deep dive, each written once as a parquet table.
 
-    python -m paytrail.plans.pipeline SF_DIR [OUT_DIR]
+    python -m paytrail.plans.pipeline SF_DIR [OUT_DIR [AS_OF]]
+
+AS_OF (YYYY-MM-DD) is the run date for tenures and open periods.
 
 Shared results are stored and read back instead of being recomputed: the
 snapshot feeds the dashboards and the benchmarks, the stored history feeds the
@@ -19,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.config import AS_OF_DEFAULT, checkpoint_root
-from paytrail.plans import catalog, dashboard, history
+from paytrail.operators.profile import reconcile_counts
+from paytrail.plans import catalog, dashboard, history, requirements
 from paytrail.plans.benchmark import BENCHMARKS, all_benchmarks
 from paytrail.plans.snapshot import current_snapshot
 from paytrail.sources.staging import warehouse
@@ -54,6 +57,10 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
         write(name, catalog.QUERIES[name](spark, sf_dir))
 
     snap = write("current_employee_snapshot", current_snapshot(t, as_of))
+    write("reconcile_counts", reconcile_counts(t, snap))
+    write("average_payrise", requirements.average_payrise(current_snapshot(t, as_of, keep_previous=True)))
+    write("title_history_months", requirements.title_months(t, as_of))
+    write("department_history_months", requirements.department_months(t, as_of))
     for level in ("company", "department", "title"):
         write(f"{level}_level_dashboard", dashboard.level_dashboard(snap, level))
     allb = write("benchmarks", all_benchmarks(snap))
@@ -70,5 +77,6 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
 if __name__ == "__main__":
     from paytrail.config import session
     spark = session()
-    res = run(spark, sys.argv[1], sys.argv[2] if len(sys.argv) > 2 else None)
+    day = dt.date.fromisoformat(sys.argv[3]) if len(sys.argv) > 3 else AS_OF_DEFAULT
+    res = run(spark, sys.argv[1], sys.argv[2] if len(sys.argv) > 2 else None, day)
     print(res)

@@ -8,6 +8,7 @@ import hashlib
 import inspect
 import os
 import threading
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +99,9 @@ class Warehouse:
         if not force and (self._built or _exists(self.spark, f"{self.root}/_COMPLETE")):
             self._built = True
             return
+        if _exists(self.spark, f"{self.root}/_COMPLETE"):
+            # A finished build is never written over: a forced one gets a folder of its own.
+            self.root = f"{self.root}-{uuid.uuid4().hex[:8]}"
         raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
                                   materialize=lambda df: materialize(df, "fixture"))
         for name in TABLES:
@@ -126,13 +130,13 @@ class Warehouse:
         return {n: self._read("staged", n) for n in TABLES}
 
 
-_CACHE: dict[tuple[int, str], Warehouse] = {}
+_CACHE: dict[tuple[str, str], Warehouse] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
     """The warehouse of ``sf_dir`` for this session; ``root`` replaces it with
     one stored elsewhere (e.g. a fresh folder per benchmark run)."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         if root is not None or key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, root)

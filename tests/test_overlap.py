@@ -66,3 +66,21 @@ def test_every_row_is_valid(spark):
     t, s, m = _frames(spark, 3)
     got = overlap_join([Period(t, "t_from", "t_to"), Period(s, "s_from", "s_to")], key="k")
     assert got.filter(~(F.col("effective_date") <= F.col("expiry_date"))).count() == 0
+
+
+def test_one_stray_start_date_copies_no_rows(spark):
+    import datetime as dt
+
+    from paytrail.operators import scd
+
+    def day(y, m=1):
+        return dt.date(y, m, 1)
+
+    rows = [(k, day(2000 + k % 5), day(9999)) for k in range(500)] + [(7, day(9990), day(9999))]
+    a = spark.createDataFrame(rows, "k int, s date, e date")
+    lo, hi = scd.start_range([scd.Period(a, "s", "e")])
+    assert hi.year < 2010 and lo.year >= 2000
+    b = a.selectExpr("k", "s as s2", "e as e2")
+    got = scd.overlap_join([scd.Period(a, "s", "e"), scd.Period(b, "s2", "e2")], "k")
+    want = a.join(b, "k").where("greatest(s, s2) <= least(e, e2)")
+    assert got.count() == want.count()
