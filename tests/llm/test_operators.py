@@ -154,10 +154,10 @@ def test_line_frequency(spark):
     rng = random.Random(2)
     footer = "Subscribe to the letter 2024 now"
     texts = [f"{words(rng, 15)}\n{footer.upper() if i % 2 else footer}" for i in range(40)]
-    texts += [f"{footer}\n{footer}\n" + words(rng, 3), None, "", *[words(random.Random(9), 30)] * 30]
+    texts += [f"{footer}\n" + words(rng, 5), None, "", *[words(random.Random(9), 30)] * 30]
     got = {r.doc_id: r for r in line_frequency.judge(frame(spark, texts)).collect()}
     assert all(got[i].kept and got[i].removed_words == 6 for i in range(40))
-    assert got[40].depleted and not got[40].base_failed and got[40].removed_words == 12
+    assert got[40].depleted and not got[40].base_failed and got[40].removed_words == 6
     assert got[41].base_failed and got[42].base_failed and all(got[i].kept for i in range(43, 73))
     docs = frame(spark, texts)
     lines = line_frequency.line_counts(docs)
