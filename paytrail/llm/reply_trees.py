@@ -79,18 +79,20 @@ def reply_paths(messages: DataFrame, keep: int | None = None) -> DataFrame:
     jump = cut(links.select("_t", "msg", F.when(real, F.col("parent")).alias("up"),
                             F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")))
     size = jump.groupBy("_t").count().agg(F.max("count")).head()[0] or 0
+    # Only messages still below a known ancestor take part in a round; rooted ones are done.
+    climbing, rooted = jump.where("up is not null"), jump.where("up is null")
     jumps = []
     for _ in range(max(1, size.bit_length())):
-        if jump.where("up is not null").limit(1).count() == 0:
+        if climbing.limit(1).count() == 0:
             break
-        jumps.append(jump.where("up is not null").select("_t", F.col("msg"), "up"))
-        above = jump.select("_t", F.col("msg").alias("up"), F.col("up").alias("up2"),
-                            F.col("steps").alias("steps2"), F.col("total").alias("total2"))
-        jump = cut(jump.join(above, ["_t", "up"], "left").select(
-            "_t", "msg", F.col("up2").alias("up"),
-            (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")))
-    rooted = jump.where("up is null")
+        jumps.append(climbing.select("_t", "msg", "up"))
+        above = climbing.unionByName(rooted).select(
+            "_t", F.col("msg").alias("up"), F.col("up").alias("up2"),
+            F.col("steps").alias("steps2"), F.col("total").alias("total2"))
+        jump = cut(climbing.join(above, ["_t", "up"]).select(
+            "_t", "msg", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("total") + F.col("total2")).alias("total")))
+        climbing, rooted = jump.where("up is not null"), rooted.unionByName(jump.where("up is null"))
 
     inner = links.where(real).select("_t", F.col("parent").alias("msg")).distinct()
     leaves = rooted.join(inner, ["_t", "msg"], "left_anti")
