@@ -123,13 +123,7 @@ class Cascade:
 
     def member(self, df: DataFrame, keys: str, out: str) -> DataFrame:
         """``df`` plus ``out``, an array of booleans: which of the array ``keys`` are listed?"""
-        n, groups, size = len(self.shards), [[]], 0
-        for s in range(n):
-            if groups[-1] and size + self.nbytes(s) > PASS_BYTES:
-                groups.append([])
-                size = 0
-            groups[-1].append(s)
-            size += self.nbytes(s)
+        n, groups = len(self.shards), _passes_of({s: self.nbytes(s) for s in range(len(self.shards))})
         one, two = (lambda k: _hashes(k)[0]), (lambda k: _hashes(k)[1])
         df = df.withColumn(out, F.transform(keys, lambda _: F.lit(False)))
         for group in groups:
@@ -145,6 +139,19 @@ class Cascade:
         return df
 
 
+def _passes_of(sizes: dict[int, int]) -> list[list[int]]:
+    """Shards in groups of at most ``PASS_BYTES`` of filters."""
+    groups: list[list[int]] = [[]]
+    size = 0
+    for s, b in sizes.items():
+        if groups[-1] and size + b > PASS_BYTES:
+            groups.append([])
+            size = 0
+        groups[-1].append(s)
+        size += b
+    return groups
+
+
 def _listed(sent, n: int):
     """Pandas UDF: which keys of an array, given by their hashes, are listed."""
 
@@ -181,8 +188,13 @@ def _fill(rows: DataFrame, plan: dict[int, Level], salt: int) -> None:
 
     filled = rows.mapInPandas(words, "shard int, word long, bit long").groupBy("shard", "word").agg(
         F.bit_or("bit").alias("bits"))
-    for r in filled.toLocalIterator():  # at most bits / 64 words a level, sized from the listed keys of a shard
-        plan[r["shard"]].words[r["word"]] = np.uint64(r["bits"] % 2**64)
+    # One job for the shards of one pass: at most bits / 64 words a level, sized from the shard's listed keys.
+    for group in _passes_of({s: p.words.nbytes for s, p in plan.items()}):
+        got = filled.where(F.col("shard").isin(group)).toArrow()
+        at, word = got["shard"].to_numpy(), got["word"].to_numpy()
+        bits = got["bits"].to_numpy().view(np.uint64)
+        for s in group:
+            plan[s].words[word[at == s]] = bits[at == s]
 
 
 # ---- URL rules ----
