@@ -94,6 +94,7 @@ def reply_paths(messages: DataFrame, keep: int | None = None) -> DataFrame:
             (F.col("total") + F.col("total2")).alias("total")))
         climbing, rooted = jump.where("up is not null"), rooted.unionByName(jump.where("up is null"))
 
+    rooted = cut(rooted)  # one table: an anti-join over its parts would read the other side once for each
     inner = links.where(real).select("_t", F.col("parent").alias("msg")).distinct()
     leaves = rooted.join(inner, ["_t", "msg"], "left_anti")
     rank = Window.partitionBy("_t").orderBy(F.col("total").desc(), "msg")
