@@ -31,6 +31,13 @@ def share_pct(part, whole) -> Column:
                    / F.nullif(_c(whole).cast("double"), F.lit(0.0)), 0)
 
 
+def exact_mean(c, scale: int = 2) -> Column:
+    """Mean of values rounded to ``scale`` digits: summed as decimals, so that the
+    result depends neither on the order of rows nor on their partitions."""
+    total = F.sum(_c(c).cast(f"decimal(18,{scale})"))
+    return total.cast("double") / F.nullif(F.count(_c(c)), F.lit(0))
+
+
 def round_half_even(c, scale: int = 0) -> Column:
     """Rounding of a double precision value (banker's rounding)."""
     return F.bround(_c(c).cast("double"), scale)

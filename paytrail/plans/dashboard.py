@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.functions.numeric import round_half_even, round_half_up, share_pct
+from paytrail.functions.numeric import exact_mean, round_half_even, round_half_up, share_pct
 
 LEVELS = {
     # level -> (extra grouping column, tenure column, output tenure name)
@@ -22,7 +22,7 @@ def salary_stats() -> list:
     quartiles = F.percentile(F.col("salary").cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     return [
         round_half_up(F.avg("salary")).alias("avg_salary"),
-        round_half_up(F.avg("salary_percentage_change")).alias("avg_salary_percentage_change"),
+        round_half_up(exact_mean("salary_percentage_change")).alias("avg_salary_percentage_change"),
         F.min("salary").cast("double").alias("min_salary"),
         F.max("salary").cast("double").alias("max_salary"),
         round_half_even(quartiles[1]).alias("median_salary"),

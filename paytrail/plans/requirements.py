@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import completed_months
-from paytrail.functions.numeric import round_half_up
+from paytrail.functions.numeric import exact_mean, round_half_up
 
 
 def average_payrise(snapshot: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def average_payrise(snapshot: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("employee_count"),
         round_half_up(F.avg(F.col("salary") - F.col("previous_salary")), 2)
         .alias("avg_payrise_amount"),
-        round_half_up(F.avg("salary_percentage_change"), 2).alias("avg_payrise_percentage"))
+        round_half_up(exact_mean("salary_percentage_change"), 2).alias("avg_payrise_percentage"))
 
 
 def months_in_period(start: str, end: str, as_of: dt.date = AS_OF_DEFAULT) -> Column:

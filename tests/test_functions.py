@@ -60,3 +60,14 @@ def test_pct_change_and_zero_divisor(spark):
     df = spark.createDataFrame([(43000, 44000), (5, 0), (5, None)], "a int, b int")
     got = [r[0] for r in df.select(pct_change("a", "b")).collect()]
     assert got == [-2.27, None, None]
+
+
+def test_exact_mean_ignores_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from paytrail.functions.numeric import exact_mean
+    df = spark.createDataFrame([(0.1,), (0.2,), (0.7,), (1.0,), (None,)] * 25, "p double")
+    got = {df.repartition(n).agg(exact_mean("p").alias("m")).head().m for n in (1, 7, 50)}
+    assert got == {0.5}
+    assert df.limit(0).agg(exact_mean("p").alias("m")).head().m is None
+    assert df.agg(F.round(exact_mean("p"), 0).alias("m")).head().m == 1.0
