@@ -1,8 +1,10 @@
 """The whole batch: stage, profile, snapshot, dashboards, benchmarks, history
 and deep dive, each written once as a parquet table.
 
-    python -m paytrail.plans.pipeline SF_DIR [OUT_DIR [AS_OF]]
+    python -m paytrail.plans.pipeline SF_DIR|tables:SOURCE [OUT_DIR [AS_OF]]
 
+SF_DIR holds the order tables from which the six workforce tables are derived;
+``tables:SOURCE`` names the six tables themselves, as ``read_tables`` takes them.
 AS_OF (YYYY-MM-DD) is the run date for tenures and open periods.
 
 Shared results are stored and read back instead of being recomputed: the
@@ -25,7 +27,7 @@ from paytrail.operators.profile import reconcile_counts
 from paytrail.plans import catalog, dashboard, history, requirements
 from paytrail.plans.benchmark import BENCHMARKS, all_benchmarks
 from paytrail.plans.snapshot import current_snapshot
-from paytrail.sources.staging import warehouse
+from paytrail.sources.staging import read_tables, warehouse
 
 PROFILE = [
     "records_per_employee_employee", "records_per_employee_title", "records_per_employee_salary",
@@ -38,6 +40,7 @@ PROFILE = [
 def run(spark: SparkSession, sf_dir: str, out: str | None = None,
         as_of: dt.date = AS_OF_DEFAULT) -> dict[str, float]:
     """Run every stage; return seconds per written table."""
+    own = read_tables(spark, sf_dir.removeprefix("tables:")) if sf_dir.startswith("tables:") else None
     out = (out or f"{checkpoint_root(spark)}/paytrail-out/{uuid.uuid4().hex[:8]}").rstrip("/")
     times: dict[str, float] = {}
 
@@ -48,7 +51,7 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
         return spark.read.parquet(f"{out}/{name}")
 
     t0 = time.time()
-    wh = warehouse(spark, sf_dir)
+    wh = warehouse(spark, sf_dir, tables=own)
     wh.build()
     times["stage"] = round(time.time() - t0, 3)
     t = wh.staged()

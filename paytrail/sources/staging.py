@@ -25,6 +25,19 @@ _LOCK = threading.RLock()
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
 
 
+def read_tables(spark: SparkSession, source: str) -> dict[str, DataFrame]:
+    """The six raw tables of ``source``: a folder with one parquet table each
+    (``<folder>/employee`` ...), or ``catalog:<database>`` for catalog tables.
+    Columns are taken by name and cast to the declared types; others are ignored."""
+    def read(name: str) -> DataFrame:
+        if source.startswith("catalog:"):
+            df = spark.table(f"{source.removeprefix('catalog:')}.{name}")
+        else:
+            df = spark.read.parquet(f"{source.rstrip('/')}/{name}")
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[name]])
+    return {name: read(name) for name in TABLES}
+
+
 def stage_table(name: str, df: DataFrame, years: int = SHIFT_YEARS) -> DataFrame:
     """The repaired copy of one raw table."""
     if name == "department":
@@ -76,8 +89,10 @@ class Warehouse:
     in few row groups and the rest are skipped by their statistics.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
+                 tables: dict[str, DataFrame] | None = None):
         self.spark = spark
+        self.tables = tables
         self.sf_dir = sf_dir.rstrip("/")
         tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:10]
         if root is None:
@@ -85,6 +100,8 @@ class Warehouse:
             # each other's folders.
             app = spark.sparkContext.applicationId
             root = f"{checkpoint_root(spark)}/paytrail-warehouse/{app}/{tag}-{_version()}"
+            if tables is not None:  # given tables may differ at every call
+                root = f"{root}-{uuid.uuid4().hex[:8]}"
         self.root = root
         self._built = False
 
@@ -102,7 +119,7 @@ class Warehouse:
         if _exists(self.spark, f"{self.root}/_COMPLETE"):
             # A finished build is never written over: a forced one gets a folder of its own.
             self.root = f"{self.root}-{uuid.uuid4().hex[:8]}"
-        raw = fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
+        raw = self.tables or fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
                                   materialize=lambda df: materialize(df, "fixture"))
         for name in TABLES:
             self._write(raw[name], self._path("raw", name), name)
@@ -133,11 +150,14 @@ class Warehouse:
 _CACHE: dict[tuple[str, str], Warehouse] = {}
 
 
-def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None) -> Warehouse:
+def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
+              tables: dict[str, DataFrame] | None = None) -> Warehouse:
     """The warehouse of ``sf_dir`` for this session; ``root`` replaces it with
-    one stored elsewhere (e.g. a fresh folder per benchmark run)."""
+    one stored elsewhere (e.g. a fresh folder per benchmark run), ``tables``
+    (see :func:`read_tables`) with one of the given raw tables; ``sf_dir`` is then
+    only the name under which queries find it."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
-        if root is not None or key not in _CACHE:
-            _CACHE[key] = Warehouse(spark, sf_dir, root)
+        if root is not None or tables is not None or key not in _CACHE:
+            _CACHE[key] = Warehouse(spark, sf_dir, root, tables)
         return _CACHE[key]
