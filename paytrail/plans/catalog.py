@@ -1,6 +1,7 @@
 """Named queries: one per operator / view of the inventory.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame (those with managers or
+benchmarks write these small tables while the plan is built) over the
 warehouse built from that input folder (raw and staged copies stored once).
 """
 

@@ -54,21 +54,11 @@ PERIOD_COLUMNS = [
 
 def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
                     bucket_days: int = SLICE_DAYS,
-                    attributes: DataFrame | None = None,
                     managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
-    """Valid (title x salary x department x manager) combinations per employee.
-
-    ``attributes`` (one row per employee, keyed by ``employee_id``) is inner
-    joined to the title periods before the period join, so its columns ride
-    along without a later shuffle of the (much larger) result.
-    """
+    """Valid (title x salary x department x manager) combinations per employee."""
     title = t["title"].select("employee_id", "title",
                               F.col("from_date").alias("title_from_date"),
                               F.col("to_date").alias("title_to_date"))
-    extra: list[str] = []
-    if attributes is not None:
-        title = title.join(attributes, "employee_id")
-        extra = [c for c in attributes.columns if c != "employee_id"]
     salary = t["salary"].select("employee_id", F.col("amount").alias("salary"),
                                 F.col("from_date").alias("salary_from_date"),
                                 F.col("to_date").alias("salary_to_date"))
@@ -89,7 +79,7 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     # broadcast threshold) decides the strategy.
     names = t["department"].select(F.col("id").alias("department_id"),
                                    F.col("dept_name").alias("department"))
-    return joined.join(names, "department_id").select(*PERIOD_COLUMNS, *extra)
+    return joined.join(names, "department_id").select(*PERIOD_COLUMNS)
 
 
 def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS,
@@ -103,8 +93,8 @@ def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS,
         number_desc="event_order", number_desc_max=max_events, slice_days=slice_days)
 
 
-def event_name(prefix: str = "") -> F.Column:
-    c = lambda n: F.col(prefix + n)
+def event_name() -> F.Column:
+    c = F.col
     return (F.when(c("previous_salary") < c("salary"), F.lit(SALARY_INCREASE))
             .when(c("previous_salary") > c("salary"), F.lit(SALARY_DECREASE))
             .when(c("previous_department") != c("department"), F.lit(DEPT_TRANSFER))
@@ -122,27 +112,21 @@ def previous_latest_salary(salary: DataFrame) -> DataFrame:
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                  bounds: str = "closed", slice_days: int | None = SLICE_DAYS,
-                 carry_attributes: bool = False, max_events: int | None = None,
+                 max_events: int | None = None,
                  managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
     """Periods with lags, event order, employee attributes and tenure; before
     the benchmark joins (they may drop rows, leaving gaps in event_order).
 
     Employee attributes and the latest previous salary are per-employee
-    constants.  By default they are joined after the windows (one shuffle of
-    the result on employee_id); ``carry_attributes`` joins them to the title
-    periods first instead, which saves that shuffle but widens every row the
-    period join copies into buckets - measured slower at sf0.1.
+    constants, joined after the windows (one shuffle of the result on
+    employee_id), so that they don't widen the rows copied into buckets.
     """
     emp = t["employee"].select(F.col("id").alias("employee_id"), "birth_date", "gender",
                                "hire_date", full_name("first_name", "last_name")
                                .alias("employee_name"))
     attributes = emp.join(previous_latest_salary(t["salary"]), "employee_id")
-    if carry_attributes:
-        base = history_lags(history_periods(t, bounds, attributes=attributes,
-                                            managers=managers), slice_days, max_events)
-    else:
-        base = history_lags(history_periods(t, bounds, managers=managers), slice_days,
-                            max_events).join(attributes, "employee_id")
+    base = history_lags(history_periods(t, bounds, managers=managers), slice_days,
+                        max_events).join(attributes, "employee_id")
     return base.select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
