@@ -16,9 +16,9 @@ SHIFT_YEARS = 18
 # One explicit "now" for a whole run (the original views evaluate now() per query).
 AS_OF_DEFAULT = dt.date(2020, 12, 31)
 
-# Width, in days, of the time slices used to split one key's rows across tasks
-# (sequence windows) and of the buckets of the interval-overlap join.
-SLICE_DAYS = 365
+# Keys with more rows are cut into time slices of about so many rows (sequence
+# windows and the interval-overlap join).
+HEAVY_ROWS = 20_000
 
 
 def session(master: str | None = None, shuffle_partitions: int | None = None,

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from paytrail.config import OPEN_END
 
-EPOCH = dt.date(1970, 1, 1)
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -56,8 +54,3 @@ def age_months_field(end, start) -> Column:
     negated when start lies after end)."""
     m = completed_months(start, end)
     return F.when(m >= 0, m % 12).otherwise(-((-m) % 12)).cast("long")
-
-
-def day_bucket(c, days: int) -> Column:
-    """Fixed-width time bucket number of a date (monotone in the date)."""
-    return F.floor(F.datediff(_c(c), F.lit(EPOCH)) / F.lit(days)).cast("long")

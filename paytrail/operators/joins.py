@@ -1,40 +1,41 @@
-"""Materialized intermediates and size-checked broadcast of small join sides."""
+"""Stored intermediates."""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from paytrail.config import checkpoint_root
 
-# Largest side (rows) that is broadcast; the sides here are dimensions such as
-# departments, manager periods or benchmark values.
-BROADCAST_MAX_ROWS = 200_000
+T = TypeVar("T")
+_KNOWN: dict[tuple[str, str, int], list[tuple[DataFrame, object]]] = {}
 
 
-def _store(df: DataFrame, label: str) -> str:
-    spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/paytrail-steps/{label}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+def remembered(df: DataFrame, label: str, make: Callable[[], T]) -> T:
+    """``make()``, called once within the application for every plan that computes
+    the same as ``df``."""
+    key = (df.sparkSession.sparkContext.applicationId, label, df.semanticHash())
+    known = _KNOWN.setdefault(key, [])
+    for plan, result in known:
+        if plan.sameSemantics(df):
+            return result
+    result = make()
+    known.append((df, result))
+    return result
 
 
 def materialize(df: DataFrame, label: str = "step") -> DataFrame:
-    """Write ``df`` once as parquet under the cluster's checkpoint folder and
-    read it back: the lineage is cut (a lost executor recomputes from the
-    stored files) and the input is evaluated exactly once."""
-    return df.sparkSession.read.parquet(_store(df, label))
-
-
-def materialize_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      label: str = "dim") -> tuple[DataFrame, bool]:
-    """Store ``df`` and report whether its row count is within ``max_rows``.
-    The count is observed while the write runs (no second job), and nothing is
-    coalesced before the write, so a side that turns out large still writes
-    in parallel."""
-    obs = Observation(f"{label}-{uuid.uuid4().hex[:8]}")
-    path = _store(df.observe(obs, F.count(F.lit(1)).alias("rows")), label)
-    return df.sparkSession.read.parquet(path), obs.get["rows"] <= max_rows
+    """Write ``df`` as parquet under the cluster's checkpoint folder and read it
+    back: the lineage is cut (a lost executor recomputes from the stored files) and
+    joins see the stored size, by which Spark chooses their strategy."""
+    path = f"{checkpoint_root(df.sparkSession)}/paytrail-steps/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
+
+def materialize_once(df: DataFrame, label: str = "step") -> DataFrame:
+    """:func:`materialize`, with one stored copy for the same plan."""
+    return remembered(df, label, lambda: materialize(df, label))

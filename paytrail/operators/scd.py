@@ -6,15 +6,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.config import OPEN_END, SLICE_DAYS
-from paytrail.functions.dates import day_bucket
+from paytrail.config import OPEN_END
+from paytrail.operators.slices import CUTS, KEY, key_struct, slice_of
 
-_EFF, _EXP, _BKT = "__eff", "__exp", "__bucket"
+_EFF, _EXP, _SLICE = "__eff", "__exp", "__slice"
 
 
 def _low() -> Column:
@@ -36,55 +35,38 @@ class Period:
 
     ``on`` = (column of the accumulated result, column of this frame) when this
     input joins on something other than the common key (e.g. department
-    managers join on the department of the employee's period).
-    ``broadcast=True`` (only for a side whose size was checked) joins it as a
-    broadcast hash table on the key with the overlap test, without buckets:
-    each row then meets only the few periods stored under its own key.
+    managers join on the department of the employee's period); ``heavy`` are then
+    the heavy keys of this frame.  Such inputs come last.
     """
     df: DataFrame
     start: str
     end: str
     on: tuple[str, str] | None = None
-    broadcast: bool = False
+    heavy: DataFrame | None = None
 
 
-def _explode_buckets(df: DataFrame, start: Column, end: Column, lo: Column, hi: Column,
-                     days: int) -> DataFrame:
-    s = F.least(F.greatest(F.coalesce(start, _low()), lo), hi)
-    e = F.greatest(F.least(F.coalesce(end, _high()), hi), lo)
-    return df.filter(s <= e).withColumn(
-        _BKT, F.explode(F.sequence(day_bucket(s, days), day_bucket(e, days))))
-
-
-def start_range(inputs: Sequence[Period]):
-    """Start dates at the first and last hundredth over all inputs (one small
-    aggregation job returning two dates).  Earlier and later dates count as these
-    when buckets are assigned, so a few stray dates do not stretch the range that
-    open periods are copied over."""
-    starts = reduce(lambda x, y: x.unionByName(y),
-                    [p.df.select(F.col(p.start).alias("__s")) for p in inputs])
-    days = starts.agg(F.percentile_approx(F.unix_date("__s"), [0.01, 0.99], 1000).alias("d")).first()["d"]
-    if not days:
-        return None, None
-    return tuple(dt.date(1970, 1, 1) + dt.timedelta(days=d) for d in days)
+def _sliced(df: DataFrame, key: str, start: Column, end: Column, heavy: DataFrame) -> DataFrame:
+    """Every row once for each slice of its key that its period touches; the cuts
+    stay as a column (NULL for ordinary keys, whose only slice is 0)."""
+    s, e = F.coalesce(start, _low()), F.coalesce(end, _high())
+    cut = df.filter(s <= e).withColumn(KEY, key_struct([key])).join(heavy, KEY, "left").drop(KEY)
+    return cut.withColumn(_SLICE, F.explode(F.sequence(slice_of(s), slice_of(e))))
 
 
 def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
-                 bucket_days: int = SLICE_DAYS, effective: str = "effective_date",
+                 heavy: DataFrame | None = None, effective: str = "effective_date",
                  expiry: str = "expiry_date") -> DataFrame:
     """All combinations (one row of every input, equal keys) whose validity
     periods intersect: ``GREATEST(starts) <= LEAST(ends)`` (``bounds="closed"``)
     or ``<`` (``"half_open"``).  NULL bounds are skipped like GREATEST/LEAST do.
 
-    No key's rows are paired wholesale: every row is copied to the fixed-width
-    time buckets its period touches (clamped to the range of most start dates),
-    inputs are equi-joined on (key, bucket) with the pairwise overlap test, and
-    a pair is kept only in the bucket holding its latest start.  So each
-    combination is produced once, and a key with many rows spreads over many
-    (key, bucket) tasks.  The range of start dates is computed first (one
-    small job) so that open-ended periods are only copied up to the latest
-    start.  The pairwise tests are implied by the final one, so
-    the result equals the plain join followed by the final filter.
+    Inputs are joined on the key with pairwise overlap tests: each is shuffled once,
+    and what follows on the key reuses that partitioning.  With ``heavy``
+    (:func:`~paytrail.operators.slices.heavy_keys` over the inputs) the join is on
+    (key, slice): rows of heavy keys are copied to the slices that they touch, and a
+    combination is kept only in the slice of its effective date.  The pairwise
+    tests are implied by the final one, so the result equals the plain join
+    followed by the final filter.
     Column names must be unique across inputs except the shared ``key``.
     """
     if bounds not in ("closed", "half_open"):
@@ -94,37 +76,42 @@ def overlap_join(inputs: Sequence[Period], key: str, *, bounds: str = "closed",
     def before(a: Column, b: Column) -> Column:
         return a < b if strict else a <= b
 
-    lo, hi = start_range(inputs)
-    if lo is None:  # every start is NULL: the final test rejects every row
-        lo = hi = F.lit("1970-01-01").cast("date")
-    else:
-        lo, hi = F.lit(lo), F.lit(hi)
+    def keep_own_slice(df: DataFrame) -> DataFrame:
+        own = slice_of(F.coalesce(F.col(_EFF), _low())) == F.col(_SLICE)
+        return df.filter(own).drop(CUTS, _SLICE)
 
     first = inputs[0]
     acc = first.df.withColumn(_EFF, F.col(first.start)).withColumn(_EXP, F.col(first.end))
+    sliced = heavy is not None
+    if sliced:
+        acc = _sliced(acc, key, F.col(_EFF), F.col(_EXP), heavy)
     for p in inputs[1:]:
         lk, rk = p.on or (key, key)
-        if p.broadcast:
-            a, b = acc.alias("a"), F.broadcast(p.df).alias("b")
-            bucket_cond = F.lit(True)
-        else:
-            a = _explode_buckets(acc, F.col(_EFF), F.col(_EXP), lo, hi, bucket_days).alias("a")
-            b = _explode_buckets(p.df, F.col(p.start), F.col(p.end), lo, hi, bucket_days).alias("b")
-        a_eff = F.coalesce(F.col(f"a.{_EFF}"), _low())
-        a_exp = F.coalesce(F.col(f"a.{_EXP}"), _high())
-        b_start = F.coalesce(F.col(f"b.{p.start}"), _low())
-        b_end = F.coalesce(F.col(f"b.{p.end}"), _high())
-        if not p.broadcast:
-            bucket_cond = ((F.col(f"a.{_BKT}") == F.col(f"b.{_BKT}"))
-                           & (day_bucket(F.least(F.greatest(a_eff, b_start, lo), hi), bucket_days)
-                              == F.col(f"a.{_BKT}")))
-        cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}")) & bucket_cond
-                & before(a_eff, b_end) & before(b_start, a_exp))
+        right = p.df
+        if p.on is not None:
+            if sliced:
+                acc = keep_own_slice(acc)
+            sliced = p.heavy is not None
+            if sliced:
+                acc = _sliced(acc, lk, F.col(_EFF), F.col(_EXP), p.heavy)
+        if sliced:
+            right = _sliced(right, rk, F.col(p.start), F.col(p.end),
+                            p.heavy if p.on is not None else heavy).drop(CUTS)
+        a, b = acc.alias("a"), right.alias("b")
+        cond = ((F.col(f"a.{lk}") == F.col(f"b.{rk}"))
+                & before(F.coalesce(F.col(f"a.{_EFF}"), _low()), F.coalesce(F.col(f"b.{p.end}"), _high()))
+                & before(F.coalesce(F.col(f"b.{p.start}"), _low()), F.coalesce(F.col(f"a.{_EXP}"), _high())))
+        if sliced:
+            cond = cond & (F.col(f"a.{_SLICE}") == F.col(f"b.{_SLICE}"))
         keep_a = [F.col(f"a.{c}") for c in acc.columns if c not in (_EFF, _EXP)]
         keep_b = [F.col(f"b.{c}") for c in p.df.columns if not (c == rk and rk == lk)]
         acc = a.join(b, cond, "inner").select(
             *keep_a, *keep_b,
             F.greatest(F.col(f"a.{_EFF}"), F.col(f"b.{p.start}")).alias(_EFF),
             F.least(F.col(f"a.{_EXP}"), F.col(f"b.{p.end}")).alias(_EXP))
+        if p.on is not None and sliced:
+            acc, sliced = keep_own_slice(acc), False
+    if sliced:
+        acc = keep_own_slice(acc)
     out = acc.filter(before(F.col(_EFF), F.col(_EXP)))
     return out.withColumnRenamed(_EFF, effective).withColumnRenamed(_EXP, expiry)

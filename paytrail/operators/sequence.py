@@ -1,23 +1,17 @@
-"""Ordered per-key sequence features (LAG, LEAD, ROW_NUMBER) that never put
-one key's rows into a single task.
+"""Ordered per-key sequence features (LAG, LEAD, ROW_NUMBER).
 
-A plain ``Window.partitionBy(key).orderBy(date)`` sends every row of a key to
-one task; one hot key can then hold a large share of the table.  Here each
-key's rows are cut into time slices of ``slice_days`` on the leading order
-column:
+Ordinary keys take one plain window: one shuffle (none if the input is already
+partitioned by the key) and one sort.  A key that holds a large share of the table
+would fill one task; given its cuts (``heavy``), its rows go another way:
 
-1. the input is shuffled once on (key, slice) and sorted inside partitions;
+1. they are shuffled on (key, slice) and sorted inside partitions;
 2. the window runs per (key, slice): in-slice LAG / LEAD / ROW_NUMBER;
-3. the first and last row of every slice (read from the same shuffle output,
-   a reused exchange) go through a window per key that holds at most two
-   rows per slice: it gives each slice the last row of the previous non-empty
-   slice, the first row of the next one and the row counts before / after,
-   collected onto one row per slice;
-4. the summaries are joined back on (key, slice) - the partitioning and sort
-   prefix the rows already have - and fix the first / last row of each slice.
-
-The big input crosses one shuffle and one sort; results equal the plain window
-for any order that is total within a key.
+3. the first and last row of every slice go through a window per key that holds at
+   most two rows per slice: it gives each slice the last row of the previous
+   non-empty slice, the first row of the next one and the row counts before / after;
+4. these summaries are joined back on (key, slice) and fix the first / last row.
+
+Results equal the plain window for any order that is total within a key.
 """
 
 from __future__ import annotations
@@ -27,11 +21,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.config import SLICE_DAYS
-from paytrail.functions.dates import day_bucket
+from paytrail.operators.slices import CUTS, KEY as _KEY, key_struct, slice_of
 
-_KEY, _SLICE, _RN, _CNT, _LASTROW, _ROW = (
-    "__key", "__slice", "__rn", "__cnt", "__lastrow", "__row")
+_SLICE, _RN, _CNT, _LASTROW, _ROW = (
+    "__slice", "__rn", "__cnt", "__lastrow", "__row")
 _BEFORE, _AFTER, _LAST, _FIRST, _PREV, _NEXT = (
     "__before", "__after", "__last", "__first", "__prev", "__next")
 # Slice number of rows whose leading order value is NULL: sorts after all others.
@@ -39,11 +32,12 @@ _NULL_SLICE = 2 ** 62
 
 
 def _order_key(order: Sequence[str]) -> Column:
-    """Struct comparing like ``ORDER BY c1 ASC NULLS LAST, c2 ASC NULLS LAST``."""
-    parts = []
-    for c in order:
-        parts += [F.col(c).isNull(), F.col(c)]
-    return F.struct(*parts)
+    """One long comparing like ``ORDER BY d1 ASC NULLS LAST, d2 ASC NULLS LAST`` over
+    at most two dates (23 bits hold the days of the years 1 to 9999, and NULL above)."""
+    if len(order) > 2:
+        raise ValueError("at most two date columns")
+    day = [F.coalesce(F.unix_date(c) + (1 << 21), F.lit((1 << 23) - 1)).cast("long") for c in order]
+    return day[0] if len(day) == 1 else day[0] * (1 << 23) + day[1]
 
 
 def _sort(order: Sequence[str]) -> list[Column]:
@@ -60,7 +54,7 @@ def ordered_sequence(
     number: str | None = None,
     number_desc: str | None = None,
     number_desc_max: int | None = None,
-    slice_days: int | None = SLICE_DAYS,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Add per-key sequence columns ordered by ``order`` (ASC NULLS LAST).
 
@@ -70,37 +64,41 @@ def ordered_sequence(
     column; it defines the slices.  ``order`` must be total within a key for a
     deterministic result, exactly as for the plain window.
     ``number_desc_max`` keeps only rows whose ``number_desc`` is at most that
-    (the latest rows of each key); whole slices are dropped before the join.
-    ``slice_days=None`` computes the same columns with one plain window.
+    (the latest rows of each key).  ``heavy`` are the heavy keys of ``df``
+    (:func:`~paytrail.operators.slices.heavy_keys`); without them all keys are ordinary.
     """
     keys, order = list(keys), list(order)
     lags, leads = dict(lags or {}), dict(leads or {})
-    out_cols = df.columns
-    extra = [*lags, *leads] + ([number] if number else []) + ([number_desc] if number_desc else [])
-
-    if slice_days is None:
-        w = Window.partitionBy(*keys).orderBy(*_sort(order))
-        res = df
-        for out, src in lags.items():
-            res = res.withColumn(out, F.lag(src).over(w))
-        for out, src in leads.items():
-            res = res.withColumn(out, F.lead(src).over(w))
-        if number:
-            res = res.withColumn(number, F.row_number().over(w).cast("long"))
-        if number_desc:
-            wd = Window.partitionBy(*keys).orderBy(
-                *[F.col(c).desc_nulls_first() for c in order])
-            res = res.withColumn(number_desc, F.row_number().over(wd).cast("long"))
-            if number_desc_max is not None:
-                res = res.filter(F.col(number_desc) <= number_desc_max)
-        return res.select(*out_cols, *extra)
-
-    # A struct of the keys is never NULL and compares NULL fields as equal, so
-    # it groups and joins exactly like PARTITION BY keys.
-    shuffled = (df.withColumn(_KEY, F.struct(*keys))
-                .withColumn(_SLICE, F.coalesce(day_bucket(order[0], slice_days),
-                                               F.lit(_NULL_SLICE).cast("long")))
-                .repartition(_KEY, _SLICE))
+    if heavy is None:
+        return _plain(df, keys, order, lags, leads, number, number_desc, number_desc_max)
+    keyed = df.withColumn(_KEY, key_struct(keys))
+    ordinary = keyed.join(heavy, _KEY, "left_anti").select(df.columns)
+    cut = keyed.join(heavy, _KEY)
+    return _plain(ordinary, keys, order, lags, leads, number, number_desc, number_desc_max).unionByName(
+        _by_slices(cut, df.columns, order, lags, leads, number, number_desc, number_desc_max))
+
+
+def _plain(df: DataFrame, keys: list[str], order: list[str], lags: dict[str, str], leads: dict[str, str],
+           number: str | None, number_desc: str | None, number_desc_max: int | None) -> DataFrame:
+    up = Window.partitionBy(*keys).orderBy(*_sort(order))
+    down = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    # Where only the reverse number is asked for, one sort serves all columns.
+    w, lag, lead = (down, F.lead, F.lag) if number_desc and not number else (up, F.lag, F.lead)
+    res = df.select("*", *[lag(src).over(w).alias(out) for out, src in lags.items()],
+                    *[lead(src).over(w).alias(out) for out, src in leads.items()],
+                    *([F.row_number().over(up).cast("long").alias(number)] if number else []),
+                    *([F.row_number().over(down).cast("long").alias(number_desc)] if number_desc else []))
+    if number_desc and number_desc_max is not None:
+        res = res.filter(F.col(number_desc) <= number_desc_max)
+    return res
+
+
+def _by_slices(df: DataFrame, out_cols: list[str], order: list[str], lags: dict[str, str],
+               leads: dict[str, str], number: str | None, number_desc: str | None,
+               number_desc_max: int | None) -> DataFrame:
+    date = F.col(order[0])
+    shuffled = (df.withColumn(_SLICE, F.when(date.isNull(), F.lit(_NULL_SLICE)).otherwise(slice_of(date)))
+                .drop(CUTS).repartition(_KEY, _SLICE))
 
     w = Window.partitionBy(_KEY, _SLICE).orderBy(*_sort(order))
     win = shuffled.sortWithinPartitions(_KEY, _SLICE, *_sort(order)).select(
@@ -124,8 +122,9 @@ def ordered_sequence(
         F.lead(_ROW).over(wb).alias(_NEXT),
         F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias(_BEFORE),
-        F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(1, Window.unboundedFollowing)),
-                   F.lit(0)).alias(_AFTER))
+        (F.sum(size_if_last).over(Window.partitionBy(_KEY))
+         - F.coalesce(F.sum(size_if_last).over(wb.rowsBetween(Window.unboundedPreceding, 0)),
+                      F.lit(0))).alias(_AFTER))
     # A slice's first boundary row is followed by its last one (unless it is
     # both): move the last row's facts onto the first and keep one row per slice.
     own_or_next = lambda c: F.when(F.col(_LASTROW), F.col(c)).otherwise(F.lead(c).over(wb))
@@ -167,9 +166,7 @@ def ordered_sequence(
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    values: Sequence[str]) -> DataFrame:
-    """The row ranked first by ``order`` DESC NULLS FIRST within each key,
-    i.e. ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order DESC) = 1``,
-    as a partial aggregation instead of a window."""
-    best = F.max_by(F.struct(*values), _order_key(order)).alias("__best")
-    return (df.groupBy(*keys).agg(best)
-            .select(*keys, *[F.col("__best").getField(v).alias(v) for v in values]))
+    """``values`` of the row ranked first by ``order`` (one or two dates) DESC NULLS
+    FIRST within each key, as a partial hash aggregation instead of a window."""
+    rank = _order_key(order)
+    return df.groupBy(*keys).agg(*[F.max_by(v, rank).alias(v) for v in values])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.operators.joins import BROADCAST_MAX_ROWS, materialize_small
+from paytrail.operators.joins import materialize_once
 
 BENCHMARKS = {
     "tenure": ("company_tenure_years", "tenure_benchmark_salary"),
@@ -39,14 +39,12 @@ def _split(allb: DataFrame) -> dict[str, DataFrame]:
             for name, (col, out) in BENCHMARKS.items()}
 
 
-def stored_benchmarks(snapshot: DataFrame,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> tuple[dict[str, DataFrame], bool]:
+def stored_benchmarks(snapshot: DataFrame) -> dict[str, DataFrame]:
     """Four benchmark frames cut from one grouping-sets aggregation that runs
     once and is checkpointed to the cluster's checkpoint folder (the joins that
     use it read a small stored table instead of repeating the snapshot's
-    lineage), plus whether its counted size allows broadcasting it."""
-    stored, small = materialize_small(all_benchmarks(snapshot), max_rows)
-    return _split(stored), small
+    lineage)."""
+    return _split(materialize_once(all_benchmarks(snapshot), "benchmarks"))
 
 
 def benchmarks(snapshot: DataFrame) -> dict[str, DataFrame]:

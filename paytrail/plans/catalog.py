@@ -290,7 +290,8 @@ def history_periods_half_open(spark, sf_dir):
 
 
 def history_lags(spark, sf_dir):
-    lagged = history.history_lags(history.history_periods(staged(spark, sf_dir)))
+    t = staged(spark, sf_dir)
+    lagged = history.history_lags(history.history_periods(t), history.heavy_employees(t))
     return lagged.select("employee_id", "effective_date", "expiry_date", "title",
                          "previous_title", "salary", "previous_salary", "department",
                          "previous_department", "manager", "previous_manager", "event_order")
@@ -311,8 +312,8 @@ _VS_KEY = {"tenure": "company_tenure_years", "title": "title", "department": "de
 
 def _vs(name):
     def q(spark, sf_dir):
-        bms, small = stored_benchmarks(_snap(spark, sf_dir))
-        rows = history.compare_to(_events(spark, sf_dir), bms[name], name, small)
+        bms = stored_benchmarks(_snap(spark, sf_dir))
+        rows = history.compare_to(_events(spark, sf_dir), bms[name], name)
         return rows.select("employee_id", "event_order", _VS_KEY[name], "salary",
                            f"{history.BENCHMARKS[name][1]}", f"{name}_comparison")
     return q

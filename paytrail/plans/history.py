@@ -9,11 +9,12 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.config import AS_OF_DEFAULT, SLICE_DAYS
+from paytrail.config import AS_OF_DEFAULT, HEAVY_ROWS
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change, round_half_up
 from paytrail.operators.scd import Period, overlap_join
 from paytrail.operators.sequence import latest_per_key, ordered_sequence
+from paytrail.operators.slices import heavy_keys
 from paytrail.plans.benchmark import BENCHMARKS, stored_benchmarks
 from paytrail.plans.snapshot import (current_snapshot, salary_with_previous,
                                      stored_manager_periods)
@@ -52,9 +53,14 @@ PERIOD_COLUMNS = [
     "effective_date", "expiry_date"]
 
 
+def heavy_employees(t: dict[str, DataFrame], rows: int | None = HEAVY_ROWS) -> DataFrame | None:
+    """Employees with more than ``rows`` title, salary and department periods."""
+    return heavy_keys([(t[name], ["employee_id"], "from_date")
+                       for name in ("title", "salary", "department_employee")], rows)
+
+
 def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
-                    bucket_days: int = SLICE_DAYS,
-                    managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
+                    rows: int | None = HEAVY_ROWS) -> DataFrame:
     """Valid (title x salary x department x manager) combinations per employee."""
     title = t["title"].select("employee_id", "title",
                               F.col("from_date").alias("title_from_date"),
@@ -65,16 +71,16 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     dept = t["department_employee"].select("employee_id", "department_id",
                                            F.col("from_date").alias("department_from_date"),
                                            F.col("to_date").alias("department_to_date"))
-    periods, mgr_small = managers if managers is not None else stored_manager_periods(t)
-    mgr = periods.select(F.col("department_id").alias("manager_department_id"), "manager_id",
+    mgr = stored_manager_periods(t).select(F.col("department_id").alias("manager_department_id"), "manager_id",
                          "manager", "manager_from_date", "manager_to_date")
     joined = overlap_join([
         Period(title, "title_from_date", "title_to_date"),
         Period(salary, "salary_from_date", "salary_to_date"),
         Period(dept, "department_from_date", "department_to_date"),
         Period(mgr, "manager_from_date", "manager_to_date",
-               on=("department_id", "manager_department_id"), broadcast=mgr_small),
-    ], key="employee_id", bounds=bounds, bucket_days=bucket_days)
+               on=("department_id", "manager_department_id"),
+               heavy=heavy_keys([(mgr, ["manager_department_id"], "manager_from_date")], rows)),
+    ], key="employee_id", bounds=bounds, heavy=heavy_employees(t, rows))
     # A stored dimension scan: Spark's own size check (file size against the
     # broadcast threshold) decides the strategy.
     names = t["department"].select(F.col("id").alias("department_id"),
@@ -82,7 +88,7 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     return joined.join(names, "department_id").select(*PERIOD_COLUMNS)
 
 
-def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS,
+def history_lags(periods: DataFrame, heavy: DataFrame | None = None,
                  max_events: int | None = None) -> DataFrame:
     """Previous title / salary / department / manager and the reverse event
     order (only the latest ``max_events`` periods per employee if given)."""
@@ -90,7 +96,7 @@ def history_lags(periods: DataFrame, slice_days: int | None = SLICE_DAYS,
         periods, ["employee_id"], EVENT_ORDER,
         lags={"previous_title": "title", "previous_salary": "salary",
               "previous_department": "department", "previous_manager": "manager"},
-        number_desc="event_order", number_desc_max=max_events, slice_days=slice_days)
+        number_desc="event_order", number_desc_max=max_events, heavy=heavy)
 
 
 def event_name() -> F.Column:
@@ -102,31 +108,29 @@ def event_name() -> F.Column:
             .when(c("previous_title") != c("title"), F.lit(TITLE_CHANGE)))
 
 
-def previous_latest_salary(salary: DataFrame) -> DataFrame:
+def previous_latest_salary(salary: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Per employee, the previous amount of the salary record with the latest
     ``to_date`` (``ROW_NUMBER() OVER (ORDER BY to_date DESC) = 1``)."""
-    return latest_per_key(salary_with_previous(salary), ["employee_id"],
+    return latest_per_key(salary_with_previous(salary, heavy), ["employee_id"],
                           ["to_date", "from_date"], ["previous_salary"]) \
         .withColumnRenamed("previous_salary", "previous_latest_salary")
 
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
-                 bounds: str = "closed", slice_days: int | None = SLICE_DAYS,
-                 max_events: int | None = None,
-                 managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
+                 bounds: str = "closed", max_events: int | None = None,
+                 rows: int | None = HEAVY_ROWS) -> DataFrame:
     """Periods with lags, event order, employee attributes and tenure; before
     the benchmark joins (they may drop rows, leaving gaps in event_order).
 
     Employee attributes and the latest previous salary are per-employee
-    constants, joined after the windows (one shuffle of the result on
-    employee_id), so that they don't widen the rows copied into buckets.
+    constants, joined after the windows, on the key by which the rows are partitioned already.
     """
     emp = t["employee"].select(F.col("id").alias("employee_id"), "birth_date", "gender",
                                "hire_date", full_name("first_name", "last_name")
                                .alias("employee_name"))
-    attributes = emp.join(previous_latest_salary(t["salary"]), "employee_id")
-    base = history_lags(history_periods(t, bounds, managers=managers), slice_days,
-                        max_events).join(attributes, "employee_id")
+    heavy = heavy_employees(t, rows)
+    attributes = emp.join(previous_latest_salary(t["salary"], heavy), "employee_id")
+    base = history_lags(history_periods(t, bounds, rows), heavy, max_events).join(attributes, "employee_id")
     return base.select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
@@ -146,14 +150,12 @@ def with_events(base: DataFrame) -> DataFrame:
         pct_change("salary", "previous_salary").alias("salary_percentage_change"))
 
 
-def compare_to(base: DataFrame, bench: DataFrame, name: str, small: bool = False) -> DataFrame:
+def compare_to(base: DataFrame, bench: DataFrame, name: str) -> DataFrame:
     """Inner join one benchmark and add the rounded benchmark and the rounded
     percentage difference of the period's salary from it."""
     col, out = BENCHMARKS[name]
     cmp_name = f"{name}_comparison"
     b = bench.select(col, F.col(out).alias("__bench"))
-    if small:
-        b = F.broadcast(b)
     return base.join(b, col).select(
         *base.columns,
         round_half_up(F.col("__bench")).alias(out),
@@ -163,15 +165,13 @@ def compare_to(base: DataFrame, bench: DataFrame, name: str, small: bool = False
 def historic_employee_records(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
                               bounds: str = "closed", max_events: int | None = None,
                               snapshot: DataFrame | None = None) -> DataFrame:
-    managers = stored_manager_periods(t)  # stored once, used by snapshot and periods
-    snap = snapshot if snapshot is not None else current_snapshot(t, as_of, managers=managers)
-    bm, small = stored_benchmarks(snap)
+    snap = snapshot if snapshot is not None else current_snapshot(t, as_of)
+    bm = stored_benchmarks(snap)
     # Events are numbered before the benchmark joins; keeping only the latest
     # ones happens inside the numbering, before any join.
-    rows = with_events(history_base(t, as_of, bounds, max_events=max_events,
-                                    managers=managers))
+    rows = with_events(history_base(t, as_of, bounds, max_events))
     for name in ("tenure", "title", "department", "gender"):
-        rows = compare_to(rows, bm[name], name, small)
+        rows = compare_to(rows, bm[name], name)
     return rows.select(*HISTORY_COLUMNS)
 
 

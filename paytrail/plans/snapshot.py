@@ -11,17 +11,21 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import year_diff
 from paytrail.functions.numeric import full_name, pct_change
-from paytrail.operators.joins import materialize_small
+from paytrail.operators.joins import materialize_once
 from paytrail.operators.scd import current
 from paytrail.operators.sequence import ordered_sequence
+from paytrail.operators.slices import heavy_keys
 
 
-def salary_with_previous(salary: DataFrame) -> DataFrame:
+def salary_with_previous(salary: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
     """Every salary record with the amount of the record before it
     (``LAG(amount) OVER (PARTITION BY employee_id ORDER BY from_date)``;
-    ``to_date`` breaks ties of equal start dates)."""
+    ``to_date`` breaks ties of equal start dates); ``heavy`` are the heavy employees,
+    counted here if not given."""
+    if heavy is None:
+        heavy = heavy_keys([(salary, ["employee_id"], "from_date")])
     return ordered_sequence(salary, ["employee_id"], ["from_date", "to_date", "amount"],
-                            lags={"previous_salary": "amount"})
+                            lags={"previous_salary": "amount"}, heavy=heavy)
 
 
 def previous_salary_current(salary: DataFrame) -> DataFrame:
@@ -41,14 +45,13 @@ def manager_periods(t: dict[str, DataFrame]) -> DataFrame:
             .join(mgr, "manager_id"))
 
 
-def stored_manager_periods(t: dict[str, DataFrame]) -> tuple[DataFrame, bool]:
-    """Manager periods with names, stored once under the checkpoint folder and
-    counted while written; the flag says whether they may be broadcast."""
-    return materialize_small(manager_periods(t), label="managers")
+def stored_manager_periods(t: dict[str, DataFrame]) -> DataFrame:
+    """Manager periods with names, stored once under the checkpoint folder; Spark
+    chooses how to join them by their stored size."""
+    return materialize_once(manager_periods(t), "managers")
 
 
-def _joined(t: dict[str, DataFrame], with_manager: bool,
-            managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
+def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
     emp = t["employee"].select(F.col("id").alias("employee_id"), "gender", "hire_date",
                                "first_name", "last_name")
     title = current(t["title"]).select("employee_id", "title",
@@ -63,21 +66,17 @@ def _joined(t: dict[str, DataFrame], with_manager: bool,
     j = (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
          .join(dept_emp, "employee_id").join(dept, "department_id"))
     if with_manager:
-        # Current managers: a subset of the stored, counted manager periods.
-        periods, small = managers if managers is not None else stored_manager_periods(t)
-        mgr = current(periods, "manager_to_date").select("department_id", "manager")
-        j = j.join(F.broadcast(mgr) if small else mgr, "department_id")
+        mgr = current(stored_manager_periods(t), "manager_to_date").select("department_id", "manager")
+        j = j.join(mgr, "department_id")
     return j
 
 
 def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
-                     with_manager: bool = True, keep_previous: bool = False,
-                     managers: tuple[DataFrame, bool] | None = None) -> DataFrame:
+                     with_manager: bool = True, keep_previous: bool = False) -> DataFrame:
     """``with_manager=True`` is the effective definition (with employee and
     manager names, inner join on the current manager); ``False`` the first.
-    ``keep_previous`` appends the previous salary amount; ``managers`` reuses
-    the result of :func:`stored_manager_periods`."""
-    j = _joined(t, with_manager, managers)
+    ``keep_previous`` appends the previous salary amount."""
+    j = _joined(t, with_manager)
     cols = [
         "employee_id", "gender", "title", "salary", "department",
         pct_change("salary", "previous_salary").alias("salary_percentage_change"),

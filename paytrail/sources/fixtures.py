@@ -18,8 +18,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytrail.config import OPEN_END, SLICE_DAYS
+from paytrail.config import HEAVY_ROWS, OPEN_END
 from paytrail.operators.sequence import ordered_sequence
+from paytrail.operators.slices import heavy_keys
 
 # Fixed values of the fixture rules.
 BIRTH_BASE = dt.date(1950, 1, 1)
@@ -38,7 +39,7 @@ def read_driver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in DRIVER_TABLES}
 
 
-def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS,
+def derive_raw(src: dict[str, DataFrame], rows: int | None = HEAVY_ROWS,
                materialize: Callable[[DataFrame], DataFrame] | None = None
                ) -> dict[str, DataFrame]:
     """The six raw tables.  ``materialize`` (e.g. ``DataFrame.checkpoint``) is
@@ -56,8 +57,9 @@ def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS,
                   F.col("o_orderpriority").alias("title"))
           .groupBy("employee_id", "d")
           .agg(F.max("amount").alias("amount"), F.min("title").alias("title")))
+    heavy = heavy_keys([(orders, ["o_custkey"], "o_orderdate")], rows)
     ev = keep(ordered_sequence(ev, ["employee_id"], ["d"], leads={"nd": "d"}, number="rn",
-                               slice_days=slice_days))
+                               heavy=heavy))
 
     emp_end = (ev.groupBy("employee_id")
                .agg(F.min("d").alias("hire"),
@@ -75,7 +77,7 @@ def derive_raw(src: dict[str, DataFrame], slice_days: int | None = SLICE_DAYS,
 
     starts = ev.filter((F.col("rn") - 1) % TITLE_EVERY == 0).select("employee_id", "title", "d")
     starts = ordered_sequence(starts, ["employee_id"], ["d"], leads={"nt": "d"},
-                              slice_days=slice_days)
+                              heavy=heavy)
     title = (starts.join(emp_end.select("employee_id", "e"), "employee_id")
              .select("employee_id", "title", F.col("d").alias("from_date"),
                      F.coalesce("nt", "e").alias("to_date")))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from paytrail.config import SHIFT_YEARS, checkpoint_root
 from paytrail.functions.dates import add_years, shift_date
 from paytrail.operators.joins import materialize
-from paytrail.operators import sequence
+from paytrail.operators import sequence, slices
 from paytrail.sources import fixtures, schemas
 
 _LOCK = threading.RLock()
@@ -65,7 +65,7 @@ def stage(raw: dict[str, DataFrame], years: int = SHIFT_YEARS) -> dict[str, Data
 def _version() -> str:
     """Stored tables are keyed by the code that derives them."""
     h = hashlib.sha1()
-    for mod in (fixtures, schemas, sequence):
+    for mod in (fixtures, schemas, sequence, slices):
         h.update(inspect.getsource(mod).encode())
     h.update(inspect.getsource(stage_table).encode())
     return h.hexdigest()[:12]

@@ -1,4 +1,4 @@
-"""Bucketed overlap join equals the plain join followed by the
+"""The overlap join, keys cut into slices or whole, equals the plain join followed by the
 GREATEST <= LEAST filter (NULL bounds, inverted and zero-length periods)."""
 
 import datetime as dt
@@ -9,6 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from paytrail.operators.scd import Period, overlap_join
+from paytrail.operators.slices import heavy_keys
 
 BASE = dt.date(2015, 1, 1)
 
@@ -51,14 +52,19 @@ def _cols(df):
                                                 "expiry_date").collect()), key=repr)
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
-@given(seed=st.integers(0, 10_000), days=st.sampled_from([7, 90, 365]),
+def _heavy(t, s, rows):
+    return heavy_keys([(t, ["k"], "t_from"), (s, ["k"], "s_from")], rows)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(seed=st.integers(0, 10_000), rows=st.sampled_from([1, 8, 25, None]),
        bounds=st.sampled_from(["closed", "half_open"]))
-def test_bucketed_equals_plain(spark, seed, days, bounds):
+def test_sliced_equals_plain(spark, seed, rows, bounds):
     t, s, m = _frames(spark, seed)
     got = overlap_join([Period(t, "t_from", "t_to"), Period(s, "s_from", "s_to"),
-                        Period(m, "m_from", "m_to", on=("g", "g"))],
-                       key="k", bounds=bounds, bucket_days=days)
+                        Period(m, "m_from", "m_to", on=("g", "g"),
+                               heavy=heavy_keys([(m, ["g"], "m_from")], rows))],
+                       key="k", bounds=bounds, heavy=_heavy(t, s, rows))
     assert _cols(got) == _cols(_plain(t, s, m, bounds == "half_open"))
 
 
@@ -69,18 +75,15 @@ def test_every_row_is_valid(spark):
 
 
 def test_one_stray_start_date_copies_no_rows(spark):
-    import datetime as dt
-
-    from paytrail.operators import scd
-
     def day(y, m=1):
         return dt.date(y, m, 1)
 
-    rows = [(k, day(2000 + k % 5), day(9999)) for k in range(500)] + [(7, day(9990), day(9999))]
+    rows = [(k % 50, day(2000 + k % 5), day(9999)) for k in range(500)] + [(7, day(9990), day(9999))]
     a = spark.createDataFrame(rows, "k int, s date, e date")
-    lo, hi = scd.start_range([scd.Period(a, "s", "e")])
-    assert hi.year < 2010 and lo.year >= 2000
     b = a.selectExpr("k", "s as s2", "e as e2")
-    got = scd.overlap_join([scd.Period(a, "s", "e"), scd.Period(b, "s2", "e2")], "k")
-    want = a.join(b, "k").where("greatest(s, s2) <= least(e, e2)")
-    assert got.count() == want.count()
+    want = a.join(b, "k").where("greatest(s, s2) <= least(e, e2)").count()
+    for limit in (None, 1):
+        heavy = heavy_keys([(a, ["k"], "s"), (b, ["k"], "s2")], limit)
+        assert overlap_join([Period(a, "s", "e"), Period(b, "s2", "e2")], "k", heavy=heavy).count() == want
+    slices = heavy.selectExpr("max(size(__cuts))").first()[0]
+    assert slices <= 6  # at most one for each date of the key
