@@ -22,7 +22,7 @@ from paytrail.plans import dashboard, history, requirements
 from paytrail.plans.benchmark import benchmark, stored_benchmarks
 from paytrail.plans.snapshot import (current_snapshot, manager_periods,
                                      previous_salary_current, salary_with_previous)
-from paytrail.sources.schemas import UNIQUE_KEYS
+from paytrail.sources.schemas import PERSON_KEYS, UNIQUE_KEYS
 from paytrail.sources.staging import stage_table, warehouse
 
 AS_OF: dt.date = AS_OF_DEFAULT
@@ -131,6 +131,10 @@ def key_violations(spark, sf_dir):
     return profile.key_violations(staged(spark, sf_dir), UNIQUE_KEYS)
 
 
+def repeated_person_keys(spark, sf_dir):
+    return profile.key_violations(staged(spark, sf_dir), PERSON_KEYS)
+
+
 def relationship_types(spark, sf_dir):
     r = raw(spark, sf_dir)
     parts = [
@@ -364,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "departments_sorted": departments_sorted,
     "former_employee_records": former_employee_records,
     "key_violations": key_violations,
+    "repeated_person_keys": repeated_person_keys,
     "relationship_types": relationship_types,
     "reconcile_counts": reconcile_counts,
     "snapshot_row_count": snapshot_row_count,

@@ -56,6 +56,9 @@ SCHEMAS = {
 # Tables whose rows are validity periods.
 SCD_TABLES = ("title", "salary", "department_employee", "department_manager")
 
+# Narrower keys, which repeat where a person has several periods.
+PERSON_KEYS = tuple((t, ("employee_id",)) for t in SCD_TABLES)
+
 # Declared unique keys of the staged copies.
 UNIQUE_KEYS = (
     ("employee", ("id",)),
