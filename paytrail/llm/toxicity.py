@@ -3,26 +3,27 @@
 Terms are words and their first four and five letters.
 
 Fitting.  At most about ``MAX_EXAMPLES`` labelled texts (a documented bound; chosen
-by hash of the text, equal texts once) become examples.  Over them the terms are
-weighed by the G2 test of term against label; terms above ``MIN_G2`` of which at
-least ``MIN_SHARE`` occur in toxic texts are the vocabulary (at most ``MAX_TERMS``).  Document frequencies
-of the vocabulary are counted over the whole corpus.
+by hash of the text, equal texts once) become examples.  All terms of the examples
+are the vocabulary, whatever their label; terms are held as 64-bit hashes.  Document
+frequencies of the vocabulary are counted over the whole corpus.
 
 Scoring.  A text is the TF-IDF vector of its vocabulary terms.  The examples are
 kept in an inverted index whose postings are cut into blocks of ``BLOCK`` examples
 with the largest weight of each term in the block.  Blocks are read in the order of
-their upper bound until the bound falls under the K-th best cosine, so the K
-neighbours are exact.  The votes of the neighbours, weighted by cosine and drawn to
-the base rate by ``PRIOR`` votes, give the score; the neighbours are the evidence.
-A text without vocabulary terms gets the rate of such examples.
-
-Inputs of a score are the text alone.  The index is bounded by the two parameters
-and is broadcast.
-
-Defined results.  Null and empty text: as a text without terms.  Rows without label,
-with null label or null doc_id: not learned from.  Differing labels of one doc_id:
-toxic if any is.  Equal cosines: the example that sorts first in the index.  No
-labelled row: every score 0.  Repeated rows each get their score.  Other columns stay.
+their upper bound, in rounds that double, until the bound falls under the K-th best
+cosine, so the K neighbours are exact (weights are stored as single precision).  The
+votes of the neighbours, weighted by cosine and drawn to the base rate by ``PRIOR``
+votes, give the score; the neighbours are the evidence.  A text with words of which
+none is known gets the base rate.
+
+Inputs of a score are the text alone.  The index is bounded by the examples and is
+broadcast.
+
+Defined results.  Null and empty text, or a text without a word: the toxic rate of
+such examples, 0 without any.  Rows without label, with null label or null doc_id:
+not learned from.  Differing labels of one doc_id: toxic if any is.  Equal cosines:
+the example that sorts first in the index.  No labelled row: every score 0.  Repeated
+rows each get their score.  Other columns stay.
 """
 
 from __future__ import annotations
@@ -32,19 +33,22 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paytrail.llm.common import bucket, cut
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 20_000
-MIN_G2 = 30.0
-MIN_SHARE = 0.5
 BLOCK = 128
+FOLD = 128
+PARTS = 8             # the examples reach the driver in so many parts
 K = 11
 PRIOR = 1.0
 CUTOFF = 0.3
@@ -58,43 +62,64 @@ def terms(text: str | None) -> list[str]:
     return words + [f"^{w[:n]}" for w in words if len(w) > 3 for n in ((4, 5) if len(w) > 4 else (4,))]
 
 
-def _term_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(term, n, toxic) counts of distinct terms, combined per batch."""
-    for b in batches:
-        n, bad = Counter(), Counter()
-        for t, y in zip(b["text"], b["toxic"]):
-            seen = set(terms(t))
-            n.update(seen)
-            if y:
-                bad.update(seen)
-        yield pd.DataFrame({"term": list(n), "n": list(n.values()), "toxic": [bad[t] for t in n]})
+def hashed(term: str) -> int:
+    return xxhash.xxh3_64_intdigest(term.encode("utf-8", "surrogatepass"))
+
+
+def spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges lo .. hi - 1, one range after the other."""
+    size = hi - lo
+    ends = np.cumsum(size)
+    return np.repeat(lo - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Vocabulary:
     """Numbers of the known terms of a text.  What a word gives is remembered, as
     most words of a corpus are repeated."""
 
-    def __init__(self, numbers: dict[str, int]):
-        self.numbers, self.seen = numbers, {}
+    def __init__(self, hashes: np.ndarray):
+        self.hashes, self.seen = hashes, {}  # sorted
 
     def __len__(self) -> int:
-        return len(self.numbers)
+        return len(self.hashes)
 
     def __reduce__(self):
-        return Vocabulary, (self.numbers,)
-
-    def find(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        seen = self.seen
-        for w in _WORD.findall(text.lower()) if text else ():
-            got = seen.get(w)
-            if got is None:
-                if len(seen) > 500_000:
-                    seen.clear()
-                got = seen[w] = [i for t in terms(w) if (i := self.numbers.get(t)) is not None]
-            if got:
-                out += got
-        return out
+        return Vocabulary, (self.hashes,)
+
+    def _learn(self, words: list[str]) -> None:
+        if not len(self.hashes):
+            self.seen.update(dict.fromkeys(words, ()))
+            return
+        parts = [terms(w) for w in words]
+        h = np.array([hashed(t) for p in parts for t in p], dtype=np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        found = np.where(self.hashes[at] == h, at, -1).tolist()
+        i = 0
+        for w, p in zip(words, parts):
+            self.seen[w] = tuple(x for x in found[i:i + len(p)] if x >= 0)
+            i += len(p)
+
+    def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, occurrences) of the known terms, by number."""
+        words = Counter(_WORD.findall(text.lower()) if text else ())
+        if len(self.seen) > 200_000:
+            self.seen.clear()
+        new = [w for w in words if w not in self.seen]
+        if new:
+            self._learn(new)
+        seen, out = self.seen, {}
+        for w, n in words.items():
+            for i in seen[w]:
+                out[i] = out.get(i, 0) + n
+        at = np.fromiter(out, dtype=np.int64, count=len(out))
+        n = np.fromiter(out.values(), dtype=np.int64, count=len(out))
+        order = np.argsort(at)
+        return at[order], n[order]
+
+
+def smallest(x: np.ndarray) -> np.ndarray:
+    """The same numbers (none negative) in as few bytes as hold them."""
+    return x.astype(np.min_scalar_type(int(x.max()) if len(x) else 0))
 
 
 @dataclass
@@ -103,88 +128,155 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray            # doc ids of the examples
     toxic: np.ndarray
-    postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]]  # per term: examples, weights, block starts
-    block_max: list[tuple[np.ndarray, np.ndarray]]             # per term: blocks, largest weight there
+    norm: np.ndarray           # lengths of their vectors
+    example: np.ndarray        # postings by (term, example)
+    times: np.ndarray          # how often the term occurs there
+    size: np.ndarray           # per term: its postings
     base: float
     empty: float               # score of a text without terms
 
-    def vector(self, text: str | None) -> tuple[tuple[int, int], ...]:
-        return tuple(sorted(Counter(self.vocabulary.find(text)).items()))
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "tables"}
+
+    @cached_property
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """Not sent, made where it is used: examples and weights of the postings; per
+        term its first entry (the postings of a term in a block); per entry block,
+        largest weight and first posting."""
+        term = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
+        weight = (1 + np.log(np.arange(1, int(self.times.max()) + 1))).astype(np.float32)[self.times - 1] if len(term) else \
+            np.empty(0, np.float32)
+        weight *= self.idf.astype(np.float32)[term]
+        weight /= self.norm.astype(np.float32)[self.example]
+        block = (self.example // BLOCK).astype(np.int32)
+        new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+        top = np.maximum.reduceat(weight, new) if len(new) else weight
+        return (self.example.astype(np.int32), weight, np.searchsorted(term[new], np.arange(len(self.size) + 1)), block[new],
+                top, np.append(new, len(term)).astype(np.int32))
+
+    @property
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per term: examples, weights, starts of its blocks."""
+        example, weight, entry_at, _, _, post_at = self.tables
+        out = []
+        for lo, hi in zip(entry_at[:-1], entry_at[1:]):
+            starts = post_at[lo:hi + 1]
+            part = slice(starts[0], starts[-1])
+            out.append((example[part], weight[part], starts - starts[0]))
+        return out
 
-    def weights(self, vector: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
-        at = np.array([t for t, _ in vector], dtype=np.int64)
-        w = np.array([1 + math.log(n) for _, n in vector]) * self.idf[at]
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        return self.vocabulary.count(text)
+
+    def weights(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        at, n = vector
+        w = (1 + np.log(n)) * self.idf[at]
         return at, w / math.sqrt(float(w @ w))
 
-    def nearest(self, vector: tuple[tuple[int, int], ...], k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Index positions and cosines of the ``k`` nearest examples with a cosine over 0."""
         at, w = self.weights(vector)
-        bounds = np.zeros(-(-len(self.ids) // BLOCK))
-        for t, q in zip(at, w):
-            blocks, top = self.block_max[t]
-            bounds[blocks] += q * top
+        example, weight, entry_at, entry_block, top, post_at = self.tables
+        lo, hi = entry_at[at], entry_at[at + 1]
+        entry, q = spans(lo, hi), np.repeat(w, hi - lo)
+        block = entry_block[entry]
+        bounds = np.bincount(block, q * top[entry], -(-len(self.ids) // BLOCK))
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
         best_at, best = np.empty(0, dtype=np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or len(best) >= k and bounds[block] < best[-1] - 1e-12:
-                break
-            scores = np.zeros(BLOCK)
-            for t, q in zip(at, w):
-                blocks, _ = self.block_max[t]
-                j = np.searchsorted(blocks, block)
-                if j < len(blocks) and blocks[j] == block:
-                    examples, weight, starts = self.postings[t]
-                    part = slice(starts[j], starts[j + 1])
-                    scores[examples[part] - block * BLOCK] += q * weight[part]
+        done, step = 0, 2
+        while done < len(order):
+            now = order[done:done + step]
+            if len(best) >= k:
+                now = now[bounds[now] >= best[-1] - 1e-12]
+                if not len(now):
+                    break
+            wanted = np.zeros(len(bounds), dtype=bool)
+            wanted[now] = True
+            part = np.flatnonzero(wanted[block])
+            first, last = post_at[entry[part]], post_at[entry[part] + 1]
+            post = spans(first, last)
+            scores = np.bincount(example[post], np.repeat(q[part], last - first) * weight[post], len(self.ids))
             hit = np.flatnonzero(scores > 0)
-            best_at = np.concatenate([best_at, hit + block * BLOCK])
-            best = np.concatenate([best, scores[hit]])
-            order = np.lexsort((best_at, -best.round(12)))[:k]
-            best_at, best = best_at[order], best[order]
+            best_at, best = np.concatenate([best_at, hit]), np.concatenate([best, scores[hit]])
+            near = best.round(12)
+            if len(near) > k:
+                ahead = np.flatnonzero(near >= np.partition(near, len(near) - k)[len(near) - k])
+                best_at, best, near = best_at[ahead], best[ahead], near[ahead]
+            pick = np.lexsort((best_at, -near))[:k]
+            best_at, best = best_at[pick], best[pick]
+            done, step = done + step, step * 2
         return best_at, best
 
-    def score(self, vector: tuple[tuple[int, int], ...]) -> tuple[float, list[int]]:
-        if not vector:
-            return self.empty, []
+    def score(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
+        if not len(vector[0]):
+            return self.base, []
         at, cosine = self.nearest(vector)
         votes = float(cosine @ self.toxic[at]) + PRIOR * self.base
         return votes / (float(cosine.sum()) + PRIOR), [int(x) for x in self.ids[at]]
 
 
-def build_index(examples: list[tuple[int, int, tuple[tuple[int, int], ...]]], vocabulary: dict[str, int],
-                idf: np.ndarray) -> Index:
-    """Index of (doc_id, toxic, term counts); like examples are laid next to each
-    other, so that the largest weights differ between blocks."""
-    empty = [y for _, y, v in examples if not v]
-    base = (sum(y for _, y, _ in examples) + 0.5) / (len(examples) + 1) if examples else 0.0
-    rate = (sum(empty) + base) / (len(empty) + 1) if examples else 0.0
-    full = sorted((e for e in examples if e[2]),
-                  key=lambda e: (max((idf[t], t) for t, _ in e[2])[1], e[1], e[0]))
-    index = Index(Vocabulary(vocabulary), idf, np.array([e[0] for e in full], dtype=np.int64),
-                  np.array([e[1] for e in full], dtype=float), [], [], base, rate)
-    lists: list[list[tuple[int, float]]] = [[] for _ in vocabulary]
-    for i, (_, _, v) in enumerate(full):
-        for t, w in zip(*index.weights(v)):
-            lists[t].append((i, w))
-    for rows in lists:
-        at = np.array([i for i, _ in rows], dtype=np.int64)
-        w = np.array([x for _, x in rows])
-        blocks, starts = np.unique(at // BLOCK, return_index=True)
-        index.postings.append((at, w, np.append(starts, len(at))))
-        index.block_max.append((blocks, np.maximum.reduceat(w, starts) if len(at) else w))
-    return index
-
-
-def g2(with_toxic: np.ndarray, with_term: np.ndarray, toxic: int, total: int) -> np.ndarray:
-    """Likelihood ratio of term against label; 0 for terms that lean to the clean side."""
-    a, n = with_toxic.astype(float), with_term.astype(float)
-    cells = [(a, n * toxic / total), (n - a, n * (total - toxic) / total),
-             (toxic - a, (total - n) * toxic / total), (total - toxic - n + a, (total - n) * (total - toxic) / total)]
-    value = sum(np.where(o > 0, o * np.log(np.maximum(o, 1e-9) / np.maximum(e, 1e-9)), 0.0) for o, e in cells)
-    return np.where(a > cells[0][1], 2 * value, 0.0)
+def folded(term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """A vector folded to ``FOLD`` numbers by signed hashing of its terms."""
+    mixed = (term.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    sign = np.where((mixed >> np.uint64(40)) & np.uint64(1), 1.0, -1.0)
+    return np.bincount((mixed >> np.uint64(32)).astype(np.int64) % FOLD, weight * sign, FOLD)
+
+
+def laid_out(points: np.ndarray) -> np.ndarray:
+    """An order of the examples in which like ones are neighbours: halved again and
+    again along the main direction of their folded vectors."""
+    parts = [np.arange(len(points))]
+    while max(map(len, parts)) > BLOCK:
+        halves = []
+        for p in parts:
+            if len(p) <= BLOCK:
+                halves.append(p)
+                continue
+            x = points[p] - points[p].mean(axis=0)
+            main = np.linalg.eigh(x.T @ x)[1][:, -1]
+            turned = p[np.argsort((x @ main).round(6), kind="stable")]
+            half = -(-len(p) // BLOCK) // 2 * BLOCK
+            halves += [turned[:half], turned[half:]]
+        parts = halves
+    return np.concatenate(parts)
+
+
+def build_index(parts: list[pa.Table], vocabulary: np.ndarray, idf: np.ndarray) -> Index:
+    """Index of the examples in ``parts``: rows (id, toxic, norm, at, n, fold)."""
+    def column(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.empty(0, kind), *[p[name].to_numpy() for p in parts]]).astype(kind)
+
+    def flat(name: str, kind: type) -> np.ndarray:
+        return np.concatenate([np.empty(0, kind), *[pc.list_flatten(p[name]).to_numpy() for p in parts]]).astype(kind, copy=False)
+
+    ids, toxic, norm = column("id", np.int64), column("toxic", np.float64), column("norm", np.float64)
+    size = np.concatenate([np.empty(0, np.int64), *[pc.list_value_length(p["at"]).to_numpy() for p in parts]]).astype(np.int64)
+    term, n = flat("at", np.int32), smallest(flat("n", np.int32))
+    points = flat("fold", np.float32).reshape(-1, FOLD)[size > 0].astype(float)
+    parts.clear()
+    base = (float(toxic.sum()) + 0.5) / (len(ids) + 1) if len(ids) else 0.0
+    bare = toxic[size == 0]
+    rate = float(bare.mean()) if len(bare) else 0.0
+    ids, toxic, norm, size = ids[size > 0], toxic[size > 0], norm[size > 0], size[size > 0]
+    order = laid_out(points)
+    place = np.empty(len(ids), dtype=np.int32)
+    place[order] = np.arange(len(ids))
+    example = np.repeat(smallest(place), size)
+    # Sorted by (term, example) in ranges of the terms, which bounds the driver's memory.
+    post_example, post_n, done = np.empty_like(example), np.empty_like(n), 0
+    edges = np.linspace(0, len(vocabulary), PARTS + 1).astype(np.int64)
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        pick = np.flatnonzero((term >= lo) & (term < hi))
+        pick = pick[np.argsort(term[pick].astype(np.int64) * max(1, len(ids)) + example[pick])]
+        post_example[done:done + len(pick)], post_n[done:done + len(pick)] = example[pick], n[pick]
+        done += len(pick)
+    return Index(Vocabulary(vocabulary), idf, ids[order], toxic[order], norm[order], post_example, post_n,
+                 np.bincount(term, minlength=len(vocabulary)), base, rate)
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS, held: int = 2) -> Index:
+        max_examples: int = MAX_EXAMPLES, held: int = 2) -> Index:
     """Learn from the labelled rows whose crc32(id as text) mod 4 is not ``held``."""
     spark = docs.sparkSession
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (bucket(key, 4) != held)) \
@@ -199,40 +291,46 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         distinct = distinct.where(F.shiftrightunsigned("h", 32) < int(2**32 * max_examples / n))
     chosen = cut(named.join(F.broadcast(distinct.select("_k", "toxic", "m")), ["_k", "m"])
                  .select("_k", "text", "toxic").dropDuplicates(["_k"]))
-    total, toxic = chosen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).head()
-    if not total:
-        return build_index([], {}, np.empty(0))
-    counts = chosen.select("text", "toxic").mapInPandas(_term_rows, "term string, n long, toxic long") \
-        .groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).where("toxic >= 3").toArrow().to_pandas()
-    counts["g2"] = g2(counts["toxic"].to_numpy(), counts["n"].to_numpy(), toxic, total)
-    counts = counts[(counts["g2"] >= MIN_G2) & (counts["toxic"] >= MIN_SHARE * counts["n"])].sort_values(["g2", "term"], ascending=[False, True]).head(max_terms)
-    vocabulary = {t: i for i, t in enumerate(sorted(counts["term"]))}
 
+    def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = {w for b in batches for t in b["text"] for w in _WORD.findall(t.lower())}
+        hashes = np.array(list({hashed(t) for w in words for t in terms(w)}), dtype=np.uint64)
+        yield pd.DataFrame({"h": hashes.astype(np.int64)})
+
+    hashes = chosen.select("text").mapInPandas(known, "h long").distinct().toArrow()["h"].to_numpy()
+    vocabulary = np.sort(hashes.astype(np.uint64))
     sent = spark.sparkContext.broadcast(Vocabulary(vocabulary))
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, df = 0, Counter()
+        n, df = 0, np.zeros(len(sent.value), dtype=np.int64)
         for b in batches:
             for t in b["text"]:
                 n += 1
-                df.update(set(sent.value.find(t)))
-        yield pd.DataFrame({"term": [-1, *df], "n": [n, *df.values()]})
-
-    df = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(frequencies, "term int, n long") \
-        .groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    df = dict(zip(df["term"], df["n"]))
-    idf = np.array([math.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(vocabulary))])
+                df[sent.value.count(t)[0]] += 1
+        some = np.flatnonzero(df)
+        yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(df[some], n)})
+
+    found = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(frequencies, "term long, n long") \
+        .groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    at, n = found["term"].to_numpy(), found["n"].to_numpy()
+    df = np.zeros(len(vocabulary))
+    df[at[at >= 0]] = n[at >= 0]
+    idf = np.log((1 + n[at < 0].sum()) / (1 + df)) + 1
+    sent_idf = spark.sparkContext.broadcast(idf)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [Counter(sent.value.find(t)) for t in b["text"]]
-            yield pd.DataFrame({"id": b["_k"], "toxic": b["toxic"], "at": [list(c) for c in found],
-                                "n": [list(c.values()) for c in found]})
+            found = [sent.value.count(t) for t in b["text"]]
+            w = [(1 + np.log(n)) * sent_idf.value[at] for at, n in found]
+            norm = [math.sqrt(float(x @ x)) for x in w]
+            yield pd.DataFrame({"id": b["_k"], "toxic": b["toxic"], "norm": norm,
+                                "at": [at.astype(np.int32) for at, _ in found], "n": [n.astype(np.int32) for _, n in found],
+                                "fold": [folded(at, x / (s or 1)).astype(np.float32) for (at, _), x, s in zip(found, w, norm)]})
 
-    kept = chosen.mapInPandas(vectors, "id long, toxic int, at array<int>, n array<int>").toArrow().to_pandas()
-    examples = [(int(i), int(y), tuple(sorted(zip(map(int, a), map(int, c)))))
-                for i, y, a, c in zip(kept["id"], kept["toxic"], kept["at"], kept["n"])]
-    return build_index(examples, vocabulary, idf)
+    rows = cut(chosen.mapInPandas(
+        vectors, "id long, toxic int, norm double, at array<int>, n array<int>, fold array<float>"))
+    parts = [rows.where(F.pmod(F.xxhash64("id"), F.lit(PARTS)) == i).toArrow().sort_by("id") for i in range(PARTS)]
+    return build_index(parts, vocabulary, idf)
 
 
 def score(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
@@ -245,9 +343,11 @@ def score(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
         index, known, out = sent.value, {}, []
         for t in texts:
             v = index.vector(t)
-            if v not in known:
-                known[v] = index.score(v)
-            out.append(known[v])
+            bare = not len(v[0]) and not (t and _WORD.search(t))
+            name = None if bare else (v[0].tobytes(), v[1].tobytes())
+            if name not in known:
+                known[name] = (index.empty, []) if bare else index.score(v)
+            out.append(known[name])
         return pd.DataFrame(out, columns=["score", "evidence"])
 
     scored = docs.withColumn("_scored", nearest(F.col(text).cast("string")))

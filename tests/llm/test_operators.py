@@ -262,6 +262,34 @@ def test_toxicity(spark):
     assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
 
 
+def test_toxicity_counts_all_terms_of_few_examples(spark):
+    rng = random.Random(8)
+    names = ["".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8))) for _ in range(300)]
+    texts = [" ".join(rng.choice(names) for _ in range(rng.randrange(1, 60))) for _ in range(600)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(i % 9 == 0)) for i in range(300)], "doc_id long, toxic int")
+    index = toxicity.fit(docs, labels)
+    learned = [i for i in range(300) if zlib.crc32(str(i).encode()) % 4 != 2]
+    tf = [Counter(toxicity.terms(t)) for t in texts]
+    known = {t for i in learned for t in tf[i]}
+    df = Counter(t for c in tf for t in c)
+    idf = {t: math.log(601 / (1 + df[t])) + 1 for t in known}
+
+    def weighed(c):
+        w = {t: (1 + math.log(n)) * idf[t] for t, n in c.items() if t in known}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / norm for t, x in w.items()}
+
+    examples = [weighed(tf[i]) for i in learned]
+    for i in range(300, 600, 7):
+        q = weighed(tf[i])
+        full = sorted((sum(x * e.get(t, 0.0) for t, x in q.items()) for e in examples), reverse=True)
+        at, cosine = index.nearest(index.vector(texts[i]))
+        assert len(index.vocabulary) == len(known) and np.allclose(full[:len(cosine)], cosine, atol=1e-6)
+    got = toxicity.score(docs, index).collect()
+    assert all(len(r.evidence) == toxicity.K for r in got if len(r.text.split()) > 10)
+
+
 # ---- 10 Pfair ----
 
 def test_pfair_deviation():
