@@ -33,8 +33,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = templates.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]), "left_anti")
+    # A leak is a property of the text: ids may be null or repeated.
+    named = docs.withColumn("_digest", F.md5(F.encode("text", "UTF-8")))
+    found = templates.leaks(named, table(spark, sf_dir, "benchmark"), key="_digest").select("_digest").distinct()
+    return named.join(found, "_digest", "left_anti").select(docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,8 @@ outside a shared trie node but inside a family are found as well.
 
 Defined results.  Null text: no link, a class of its own row id.  Empty text: linked
 with other empty texts only.  Repeated rows: copies.  Null ids: rows like others;
-a class is named by its smallest id.  Ties: the smallest text digest, then id.  Empty
+a class is named by its smallest id (null if it has no other).  Classes are told apart
+by their texts, so a name may be shared where an id is null or repeated.  Ties: the smallest text digest, then id.  Empty
 table: empty result.  Extra columns are ignored.
 """
 
@@ -207,11 +208,10 @@ def verify(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInPandas(run, "text string, root string, linked long")
 
 
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
-         target: float = TARGET, block_texts: int = BLOCK_TEXTS) -> DataFrame:
-    """(key, class_id, n_links, n_copies) of every row: the smallest id of the texts
-    connected by links, the number of other rows with a similarity of ``threshold``
-    or more (copies included), and the rows with an equal text."""
+def _classes(docs: DataFrame, key: str, text: str, threshold: float, target: float,
+             block_texts: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, text) with a text, and (text, rep, copies, class, linked) of each text:
+    its smallest id, its rows, the smallest text of its class, the rows linked to it."""
     rows = cut(signed(docs, key, text))
     texts = cut(rows.groupBy("text").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.max("n").alias("n"), F.max("sig").alias("sig")))
@@ -239,6 +239,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
         .join(classes.select(F.col("node").alias("text"), F.col("root").alias("class")), "text", "left") \
         .join(links.groupBy("text").agg(F.sum("linked").alias("linked")), "text", "left") \
         .withColumn("class", F.coalesce("class", "text"))
+    return rows, per_text
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
+         target: float = TARGET, block_texts: int = BLOCK_TEXTS) -> DataFrame:
+    """(key, class_id, n_links, n_copies) of every row: the smallest id of the texts
+    connected by links, the number of other rows with a similarity of ``threshold``
+    or more (copies included), and the rows with an equal text."""
+    rows, per_text = _classes(docs, key, text, threshold, target, block_texts)
     names = per_text.groupBy("class").agg(F.min("rep").alias("class_id"))
     per_text = per_text.join(names, "class").select(
         "text", "class_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
@@ -251,8 +260,13 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: fl
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The row of each class whose id names the class; every column stays."""
-    chosen = join(docs.select(key, text), key, text).where(F.col(key).eqNullSafe(F.col("class_id"))) \
-        .select(F.col(key).alias("_id")).distinct()
-    kept = docs.join(chosen, F.col(key).eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates([key])
+    """One row of each class, that of the smallest id and then text digest (a null id
+    comes last); every column stays.  Rows are told apart by (id, text), so neither null
+    nor repeated ids drop another text.  A null text is like no other: all its rows stay."""
+    _, per_text = _classes(docs.select(key, text), key, text, THRESHOLD, TARGET, BLOCK_TEXTS)
+    first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "text")).alias("first")
+    chosen = per_text.groupBy("class").agg(first).select(F.col("first.rep").alias("_id"), F.col("first.text").alias("_t"))
+    digest = F.md5(F.encode(F.col(text).cast("string"), "UTF-8"))
+    kept = docs.where(F.col(text).isNotNull()).withColumn("_digest", digest).join(
+        chosen, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_t")), "left_semi")
+    return kept.dropDuplicates(["_digest"]).drop("_digest").unionByName(docs.where(F.col(text).isNull()))

@@ -225,6 +225,23 @@ def test_forest_join_is_exact(spark, block):
     assert lsh_forest.join(frame(spark, [])).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    rng = random.Random(12)
+    base = [words(rng, 60, 5000) for _ in range(20)]
+    texts = base + [t + " end" for t in base] + base[:5] + [None, None, ""]
+    ids = [None if i % 3 == 0 else i % 7 for i in range(len(texts))]
+    rows = [(i, t, n) for n, (i, t) in enumerate(zip(ids, texts))]
+    kept = lsh_forest.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n int")).collect()
+    family = {n: t if t is None else t.removesuffix(" end") for _, t, n in rows}
+    want = defaultdict(list)
+    for i, t, n in rows:
+        if t is not None:
+            want[family[n]].append((i is None, i or 0))
+    got = {family[r.n]: (r.doc_id is None, r.doc_id or 0) for r in kept if r.text is not None}
+    assert got == {f: min(v) for f, v in want.items()}
+    assert len(kept) == len(want) + 2
+
+
 # ---- 8 line blocks ----
 
 def test_main_text(spark):

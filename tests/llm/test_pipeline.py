@@ -26,3 +26,15 @@ def test_pipeline_keeps_documents_columns(spark):
     ids = {r.doc_id for r in docs.collect()}
     assert len({r.doc_id for r in out}) == len(out) and {r.doc_id for r in out} <= ids
     assert len(out) > 0.6 * len(ids)
+
+
+def test_decontamination_with_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    item = "tom wrote that the old bridge over the river was built by seven men in one cold winter long ago"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"so {item}"), (None, "clean one"), (None, "clean two"), (7, f"and {item}"), (7, "clean three"),
+            (8, item), (9, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted(map(str, kept)) == sorted(str(r) for r in docs.collect() if item not in (r.text or ""))
