@@ -5,10 +5,11 @@ sentence) and units after a number are typed placeholders; all other words are
 lower-cased.  Windows of ``WIDTH`` canonical tokens are hash-joined between
 documents and benchmark items.  For each alignment of an item with a document the
 values behind the placeholders are compared: one benchmark value must always meet
-the same document value and the other way round, which holds for a copy and for a
-question with other names and numbers, but not for chance meetings of templates.
-An item leaks into a document if the windows of consistent alignments cover at
-least ``COVER`` of its tokens.
+the same document value, which holds for a copy and for a question with other names
+and numbers, but not for chance meetings of templates (two benchmark values may meet
+one document value).  Windows with a benchmark value that meets several are no
+evidence; the other windows of the alignment are.  An item leaks into a document if
+such windows cover at least ``COVER`` of its tokens.
 
 Defined results.  Null or empty text, on either side: no match.  Items of fewer
 than ``MIN_TOKENS`` tokens carry no evidence and match nothing; items shorter than
@@ -115,13 +116,17 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     pairs = F.filter(F.zip_with(F.split("islots", "\x01", -1), F.split("dslots", "\x01", -1),
                                 lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"] != "")
     alignment = ["doc", "_text", "item", "n_tokens", "width", "shift"]
-    lined = hits.groupBy(*alignment).agg(
-        F.collect_set("ipos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("slots"))
-    values = F.size("slots")
-    consistent = (F.size(F.array_distinct(F.transform("slots", lambda p: p["a"]))) == values) & (
-        F.size(F.array_distinct(F.transform("slots", lambda p: p["b"]))) == values)
-    found = lined.where(consistent).select("doc", "_text", "item", "n_tokens", "width", values.alias("n_slots"),
-                                           F.explode("at").alias("ipos"))
+    lined = hits.withColumn("pairs", pairs).groupBy(*alignment).agg(F.collect_set(F.struct("ipos", "pairs")).alias("at")) \
+        .withColumn("slots", F.array_distinct(F.flatten("at.pairs")))
+    # A benchmark value that is left twice among the different pairs meets several values.
+    broken = F.array_distinct(F.transform(F.filter("slots", lambda p: F.size(F.filter(
+        "slots", lambda o: o["a"] == p["a"])) > 1), lambda p: p["a"]))
+    lined = lined.withColumn("broken", F.when(
+        F.size(F.array_distinct("slots.a")) < F.size("slots"), broken).otherwise(F.array().cast("array<string>")))
+    whole = F.filter("at", lambda w: ~F.arrays_overlap(w["pairs"]["a"], F.col("broken")))
+    found = lined.withColumn("at", whole).select(
+        "doc", "_text", "item", "n_tokens", "width", F.size(F.array_distinct(F.flatten("at.pairs"))).alias("n_slots"),
+        F.explode("at.ipos").alias("ipos"))
     found = found.groupBy("doc", "_text", "item", "n_tokens", "width").agg(
         F.collect_set("ipos").alias("at"), F.count(F.lit(1)).alias("n_windows"), F.max("n_slots").alias("n_slots"))
     covered = F.size(F.array_distinct(F.flatten(F.transform(

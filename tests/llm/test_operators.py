@@ -132,6 +132,19 @@ def test_templates_catch_copies_and_new_numbers(spark):
     assert templates.leaks(frame(spark, []), items).count() == 0
 
 
+def test_templates_keep_windows_that_agree(spark):
+    long = ("the first of the boats that left the harbour carried 3 crates of fish and the people who waited on the shore "
+            "cheered until all of them were out of sight while 3 gulls followed them far over the open and quiet sea")
+    short = "a train that runs for 30 km in 2 h and then for another 45 km in 3 h has what mean speed"
+    texts = [long.replace("3 gulls", "8 gulls"), short.replace("30", "60").replace("45", "80").replace("2 h", "3 h"),
+             short.replace("30 km", "60 m")]
+    items = spark.createDataFrame([(1, long), (2, short)], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.coverage) for r in templates.leaks(frame(spark, texts), items).collect()}
+    assert got[0][0] == 1 and 0.5 <= got[0][1] < 1 and got[1] == (2, 1.0)
+    # km meets m and km: only windows with km fall out.
+    assert got.get(2, (2, 0.0))[1] < 1
+
+
 # ---- 5 line frequency ----
 
 def brute_base(text):
