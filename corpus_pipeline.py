@@ -5,8 +5,9 @@ which is written as Parquet into the shared folder and read again.
 1. toxicity: documents with a toxicity score of 0.3 or more go.
 2. near_duplicates: one document of each group of near copies stays.
 3. decontamination: documents that hold a benchmark item go.
-4. mixing: every document stays; rows are written in the order of the mixture.
-5. sharding: every document gets a shard and a slot along the Hilbert curve.
+4. mixing: every document stays and gets ``mix_pos``, its place in the mixture.
+5. sharding: every document gets a shard along the Hilbert curve, and a slot in the
+   shard in the order of the mixture.
 """
 
 from __future__ import annotations
@@ -40,11 +41,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pfair.mix(docs).orderBy("mix_pos").select(docs.columns)
+    kept = [c for c in docs.columns if c != "mix_pos"]
+    return pfair.mix(docs).orderBy("mix_pos").select(*kept, "mix_pos")
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return hilbert.shard(docs, DIMS).select("doc_id", "size", "shard", "slot")
+    return hilbert.shard(docs, DIMS, within="mix_pos").select("doc_id", "size", "shard", "slot", "mix_pos")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

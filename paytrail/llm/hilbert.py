@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import cut
+from paytrail.llm.common import cut, number_in_group
 
 BITS = 6
 #: Rows of one curve position are dealt over so many hash ranges, so that a
@@ -114,16 +114,23 @@ def positions(rows: DataFrame, key: str, tie: list[str], coarse_bits: int = 12)
 
 
 def shard(df: DataFrame, dims: list[str], shards: int = 16, key: str = "doc_id",
-          text: str = "text", bits: int = BITS) -> DataFrame:
+          text: str = "text", bits: int = BITS, within: str | None = None) -> DataFrame:
     """(key, size, text_crc32, h, shard, slot) of every row, cut into ``shards``
-    runs of the curve; ``slot`` counts from 0 inside a shard."""
+    runs of the curve; ``slot`` counts from 0 inside a shard, along the curve or in
+    the order of ``within``: a column of places from 0 below the row count, none of them
+    null, which is then returned too."""
     utf8 = F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
     keep = [F.col(key).alias("_key"), (F.octet_length(utf8) + 1).cast("long").alias("size"),
-            F.crc32(utf8).alias("text_crc32")]
+            F.crc32(utf8).alias("text_crc32"), *([F.col(within).alias("_within")] if within else [])]
     rows = positions(cut(curve(df, dims, keep, bits)), "_key", ["text_crc32", "size"])
     total = rows.count()
     # Shard s takes the positions [ceil(s * total / shards), ceil((s + 1) * total / shards)).
     at = F.expr(f"cast(pos * {shards}L div {max(total, 1)}L as int)")
+    if within:
+        # Places spread over the numbers of 62 bits, so that a shard is numbered by many tasks.
+        spread = rows.withColumn("shard", at).withColumn("_place", F.col("_within") * F.lit((1 << 62) // max(total, 1)))
+        return number_in_group(spread, ["shard"], "_place", ["_key", "text_crc32"], "slot") \
+            .select(F.col("_key").alias(key), "size", "text_crc32", "h", "shard", "slot", F.col("_within").alias(within))
     first = F.ceil(F.col("shard").cast("decimal(20,0)") * total / F.lit(shards)).cast("long")
     return rows.withColumn("shard", at).withColumn("slot", F.col("pos") - first) \
         .select(F.col("_key").alias(key), "size", "text_crc32", "h", "shard", "slot")

@@ -38,3 +38,22 @@ def test_decontamination_with_null_and_repeated_ids(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path)).collect()
     assert sorted(map(str, kept)) == sorted(str(r) for r in docs.collect() if item not in (r.text or ""))
+
+
+def test_pipeline_follows_the_mixture(spark, monkeypatch):
+    import corpus_pipeline
+
+    def rows():
+        return [tuple(r) for r in corpus_pipeline.run(spark, SF).select("doc_id", "shard", "slot", "mix_pos").collect()]
+
+    first = rows()
+    monkeypatch.setattr(corpus_pipeline.pfair, "tempered", lambda counts: {s: 1 + 9 * (s == min(counts)) for s in counts})
+    second = rows()
+    for got in (first, second):
+        by = {}
+        for _, shard, slot, place in got:
+            by.setdefault(shard, []).append((slot, place))
+        assert all([s for s, _ in sorted(v)] == list(range(len(v))) and sorted(v) == sorted(v, key=lambda x: x[1])
+                   for v in by.values())
+    assert {r[:2] for r in first} == {r[:2] for r in second}
+    assert {r[:3] for r in first} != {r[:3] for r in second}
