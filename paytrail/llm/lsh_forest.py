@@ -4,8 +4,8 @@ A text is the set of its ``WORDS``-word shingles (words are runs without ASCII
 white space; a shorter text is one shingle).  ``TREES`` prefix tries hold
 ``START`` hashes of each signature.  Texts that share a prefix of ``depth`` hashes
 in some trie are neighbours; the depth starts at ``START`` and is shortened until
-the recall predicted for pairs over the threshold reaches ``TARGET``.  The
-prediction weighs the similarities of matched pairs by their chance to match.
+a pair just at the threshold, the hardest to find, is met with a chance of ``TARGET``,
+whatever the corpus holds.
 
 Neighbours are linked as stars around the smallest text of a trie node, so a node
 of any size gives as many links as members.  Connected neighbours form a family.
@@ -40,7 +40,6 @@ THRESHOLD = 0.8
 TREES = 24
 START = 8
 TARGET = 0.9985
-PILOT = 32            # one trie node of so many is looked at for the prediction
 BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 1 << 18
 
@@ -95,37 +94,16 @@ def nodes(texts: DataFrame, depth: int) -> DataFrame:
     return texts.where("sig is not null").select("text", trees.alias("tree", "prefix"))
 
 
-def stars(texts: DataFrame, depth: int, only: int | None = None) -> DataFrame:
+def stars(texts: DataFrame, depth: int) -> DataFrame:
     """(a, b): smallest text of each shared trie node, and each other text of it."""
     rows = nodes(texts, depth).withColumn("node", F.xxhash64("tree", "prefix")).drop("tree", "prefix")
-    if only:
-        rows = rows.where(F.pmod("node", F.lit(only)) == 0)
     shared = rows.groupBy("node").agg(F.min("text").alias("a"), F.max("text").alias("z")).where("a < z")
     return rows.join(shared.select("node", "a"), "node").where("text > a").select("a", F.col("text").alias("b"))
 
 
-def choose_depth(texts: DataFrame, threshold: float, target: float) -> int:
-    """Longest prefix whose predicted recall reaches ``target``."""
-    pairs = stars(texts, START, PILOT)
-    sig = texts.select(F.col("text"), "sig")
-    rows = pairs.join(sig.select(F.col("text").alias("a"), F.col("sig").alias("x")), "a") \
-        .join(sig.select(F.col("text").alias("b"), F.col("sig").alias("y")), "b").select("x", "y")
-
-    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                x, y = (np.frombuffer(b"".join(b[c]), dtype=">u2").reshape(len(b), -1) for c in "xy")
-                yield pd.DataFrame({"s": (x == y).mean(axis=1).round(2)})
-
-    seen = rows.mapInPandas(similar, "s double").where(F.col("s") >= threshold).groupBy("s").count().collect()
-    s = np.array([r["s"] for r in seen])
-    # A pair is met once per trie whose whole prefix agrees: s ** START of TREES tries.
-    pairs_at = np.array([r["count"] for r in seen]) / (TREES * s ** START)
-    for depth in range(START, 1, -1):
-        found = 1 - (1 - s ** depth) ** TREES
-        if not len(s) or (pairs_at * found).sum() >= target * pairs_at.sum():
-            return depth
-    return 1
+def choose_depth(threshold: float, target: float) -> int:
+    """Longest prefix with which a pair at ``threshold`` shares a node with a chance of ``target``."""
+    return next((d for d in range(START, 1, -1) if 1 - (1 - threshold ** d) ** TREES >= target), 1)
 
 
 def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -215,7 +193,7 @@ def _classes(docs: DataFrame, key: str, text: str, threshold: float, target: flo
     rows = cut(signed(docs, key, text))
     texts = cut(rows.groupBy("text").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.max("n").alias("n"), F.max("sig").alias("sig")))
-    depth = choose_depth(texts, threshold, target)
+    depth = choose_depth(threshold, target)
     families = components(stars(texts, depth))
 
     sized = families.join(texts.select(F.col("text").alias("node"), "rep", "copies", "n"), "node")

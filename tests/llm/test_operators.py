@@ -255,6 +255,22 @@ def test_keep_one_with_null_and_repeated_ids(spark):
     assert len(kept) == len(want) + 2
 
 
+def test_forest_finds_pairs_at_the_threshold(spark):
+    rng = random.Random(21)
+    texts = []
+    for i in range(400):  # pairs of 36 + 36 shingles, 32 of them shared
+        t = words(rng, 36, 10**6).split()
+        texts += [" ".join(t + [f"a{i}" for _ in range(4)]), " ".join(t + [f"b{i}", f"c{i}", f"d{i}", f"e{i}"])]
+    base = words(rng, 120, 5000).split()
+    for i in range(150):  # and one family of close copies
+        texts.append(" ".join([*base, f"z{i}"]))
+    want = brute_links(texts)
+    assert all(want[t] == 1 for t in texts[:800])
+    got = {r.doc_id: r.n_links for r in lsh_forest.join(frame(spark, texts)).collect()}
+    assert sum(got[i] != want[t] for i, t in enumerate(texts)) == 0
+    assert lsh_forest.choose_depth(0.8, 0.9985) == 6
+
+
 # ---- 8 line blocks ----
 
 def test_main_text(spark):
