@@ -284,6 +284,17 @@ def test_main_text(spark):
     assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0), 4: ("cut", 3)}
 
 
+def test_main_text_keeps_links_of_an_article():
+    body = "".join(f"<p>Paragraph {i} with quite some words to read in it.</p>" for i in range(20))
+    refs = "".join(f"<li><a href=r{i}>Reference {i}</a></li>" for i in range(5))
+    page = (f"<nav><a href=x>Menu</a></nav><article><h1><a href=h>Linked headline</a></h1>{body}<ul>{refs}</ul><p>Closing.</p>"
+            "<article class='comment'><p><a href=c>me</a></p></article></article><p><a href=y>Elsewhere</a></p><footer>x</footer>")
+    got = html_text.main_text(page).split("\n")
+    assert got[0] == "Linked headline" and got[-1] != "x" and "Menu" not in got
+    assert [x for x in got if x.startswith("Reference")] == [f"Reference {i}" for i in range(5)]
+    assert "Closing." in got and len([x for x in got if x.startswith("Paragraph")]) == 20
+
+
 # ---- 9 toxicity ----
 
 def test_toxicity(spark):
