@@ -5,8 +5,8 @@ and hashed; per host the distinct documents that hold it are counted.  Lines abo
 the limit of their host are boilerplate and are removed; a document that keeps too
 little is depleted and rejected.
 
-The limit of a host is the larger of ``MIN_DOCS`` and ``MAX_SHARE`` of its distinct
-texts.  Equal texts count as one document here, so that many copies of a clean
+The limit of a host is ``MAX_SHARE`` of its distinct texts, but ``MIN_DOCS`` at least
+and ``MAX_DOCS`` at most, so that it does not loosen without end in a large host.  Equal texts count as one document here, so that many copies of a clean
 document do not make its lines boilerplate; removing copies is the work of the
 near-duplicate operator.
 
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from paytrail.llm.common import cut
 
 MIN_DOCS = 20
+MAX_DOCS = 1000
 MAX_SHARE = 0.005
 MIN_WORDS = 10
 MIN_LEFT = 0.2
@@ -91,14 +92,16 @@ def line_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", host:
         .select("_host", "_id", "_id2", "l.line", "l.words")
 
 
-def boilerplate(lines: DataFrame, texts: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def boilerplate(lines: DataFrame, texts: DataFrame, min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, line, n_docs) of the lines above the limit of their host; ``texts``
     has a row (host, text) for each document."""
     once = lines.groupBy("_host", "line", "_id", "_id2").agg(F.sum("words").alias("words"))
     counts = once.groupBy("_host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > min_docs)
     hosts = texts.groupBy("_host", "_id", "_id2").agg(F.lit(1).alias("one")).groupBy("_host").agg(
         F.count(F.lit(1)).alias("n_texts"))
-    return counts.join(hosts, "_host").where(F.col("n_docs") > F.col("n_texts") * max_share) \
+    return counts.join(hosts, "_host").where(
+        F.col("n_docs") > F.least(F.col("n_texts") * max_share, F.lit(float(max_docs)))) \
         .select("_host", "line", "n_docs")
 
 
@@ -112,11 +115,11 @@ def removed_words(lines: DataFrame, bad: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-          min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+          min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, max_docs: int = MAX_DOCS) -> DataFrame:
     """(key, base metrics, base_failed, removed_words, depleted, kept) of every row."""
     lines = line_counts(docs, key, text, host)
     texts = _rows(docs, key, text, host).where(F.col("_text").isNotNull())
-    bad = cut(boilerplate(lines, texts, min_docs, max_share))
+    bad = cut(boilerplate(lines, texts, min_docs, max_share, max_docs))
     rows = _rows(docs, key, text, host).withColumn("b", _base("_text")).select("_key", "_host", "_id", "_id2", "b.*")
     gone = removed_words(lines, bad)
     copies = rows.groupBy("_host", "_id", "_id2").agg(F.count(F.lit(1)).alias("_copies"))

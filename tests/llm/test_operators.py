@@ -179,6 +179,14 @@ def test_line_frequency(spark):
     assert cleaned[0] == texts[0].split("\n")[0] and cleaned[41] is None
 
 
+def test_line_frequency_limit_has_an_upper_bound(spark):
+    rng = random.Random(22)
+    texts = [words(rng, 15) + ("\nread more of this" if i < 60 else "") for i in range(200)]
+    docs = frame(spark, texts)
+    assert line_frequency.judge(docs, max_share=0.5).where("removed_words > 0").count() == 0
+    assert line_frequency.judge(docs, max_share=0.5, max_docs=50).where("removed_words = 4").count() == 60
+
+
 # ---- 6 suffix tree ----
 
 def test_suffix_tree(spark):
