@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +53,24 @@ def components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+SALTS = 1024
+
+
+def salted(rows: DataFrame, keys: list[str], by: str, salts: int = SALTS) -> DataFrame:
+    """``rows`` shuffled on (keys, ``salt``), the salt being a hash of column ``by``."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).repartition(*keys, "salt")
+
+
+def total_by_salt(parts: DataFrame, keys: list[str], totals: dict[str, Callable[[str], Column]]) -> DataFrame:
+    """Totals of whole groups, given back to every (keys, ``salt``) of ``parts``.
+
+    ``parts`` holds one row for each (keys, salt), so at most a row for each salt meets
+    per group, and a join of :func:`salted` rows on (keys, salt) needs no hot task.
+    """
+    w = Window.partitionBy(*keys)
+    return parts.select(*keys, "salt", *[f(c).over(w).alias(c) for c, f in totals.items()])
+
+
 def number_in_group(df: DataFrame, group: list[str], key: str, tie: list[str],
                     out: str, bits: int = 10) -> DataFrame:
     """Gapless row numbers from 0 within ``group`` in the order of the hash ``key``.
