@@ -78,6 +78,15 @@ def ordered_sequence(
         _by_slices(cut, df.columns, order, lags, leads, number, number_desc, number_desc_max))
 
 
+def heavy_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], heavy: DataFrame, *,
+                   lags: Mapping[str, str] | None = None, leads: Mapping[str, str] | None = None,
+                   number: str | None = None, number_desc: str | None = None,
+                   number_desc_max: int | None = None) -> DataFrame:
+    """:func:`ordered_sequence` of rows whose keys are all ``heavy``."""
+    cut = df.withColumn(_KEY, key_struct(keys)).join(heavy, _KEY)
+    return _by_slices(cut, df.columns, list(order), dict(lags or {}), dict(leads or {}), number, number_desc, number_desc_max)
+
+
 def _plain(df: DataFrame, keys: list[str], order: list[str], lags: dict[str, str], leads: dict[str, str],
            number: str | None, number_desc: str | None, number_desc_max: int | None) -> DataFrame:
     up = Window.partitionBy(*keys).orderBy(*_sort(order))

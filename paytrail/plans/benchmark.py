@@ -47,6 +47,11 @@ def stored_benchmarks(snapshot: DataFrame) -> dict[str, DataFrame]:
     return _split(materialize_once(all_benchmarks(snapshot), "benchmarks"))
 
 
+def stored_benchmark(snapshot: DataFrame, name: str) -> DataFrame:
+    """One benchmark, stored once for each version of its tables."""
+    return materialize_once(benchmark(snapshot, name), f"benchmark-{name}")
+
+
 def benchmarks(snapshot: DataFrame) -> dict[str, DataFrame]:
     """Four benchmark frames of one grouping-sets aggregation (lazy)."""
     return _split(all_benchmarks(snapshot))

@@ -17,11 +17,12 @@ from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change
 from paytrail.operators import profile
+from paytrail.operators.joins import beside
 from paytrail.operators.scd import current
+from paytrail.operators.tables import Tables, unite
 from paytrail.plans import dashboard, history, requirements
-from paytrail.plans.benchmark import benchmark, stored_benchmarks
-from paytrail.plans.snapshot import (current_snapshot, manager_periods,
-                                     previous_salary_current, salary_with_previous)
+from paytrail.plans.benchmark import benchmark, stored_benchmark
+from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_steps
 from paytrail.sources.schemas import PERSON_KEYS, UNIQUE_KEYS
 from paytrail.sources.staging import stage_table, warehouse
 
@@ -29,7 +30,7 @@ AS_OF: dt.date = AS_OF_DEFAULT
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def staged(spark: SparkSession, sf_dir: str) -> Tables:
     return warehouse(spark, sf_dir).staged()
 
 
@@ -168,11 +169,12 @@ def current_records(spark, sf_dir):
 
 
 def q_previous_salary_current(spark, sf_dir):
-    return previous_salary_current(staged(spark, sf_dir)["salary"])
+    t = staged(spark, sf_dir)
+    return unite([current(salary_steps(part)) for part in t.parts]).select("employee_id", "to_date", "previous_salary")
 
 
 def previous_salary_latest(spark, sf_dir):
-    return history.previous_latest_salary(staged(spark, sf_dir)["salary"])
+    return history.previous_latest_salary(staged(spark, sf_dir))
 
 
 def _employees(t):
@@ -182,14 +184,14 @@ def _employees(t):
 def join_employee_title(spark, sf_dir):
     t = staged(spark, sf_dir)
     return _employees(t).join(
-        current(t["title"]).select("employee_id", "title", F.col("from_date").alias("title_from_date")),
+        t.open_rows("title").select("employee_id", "title", F.col("from_date").alias("title_from_date")),
         "employee_id")
 
 
 def join_employee_salary(spark, sf_dir):
     t = staged(spark, sf_dir)
     return _employees(t).select("employee_id", "gender").join(
-        current(t["salary"]).select("employee_id", F.col("amount").alias("salary")), "employee_id")
+        t.open_rows("salary").select("employee_id", F.col("amount").alias("salary")), "employee_id")
 
 
 def join_employee_department(spark, sf_dir):
@@ -197,10 +199,10 @@ def join_employee_department(spark, sf_dir):
     dept = t["department"].select(F.col("id").alias("department_id"),
                                   F.col("dept_name").alias("department"))
     return (_employees(t).select("employee_id", "gender")
-            .join(current(t["department_employee"]).select(
+            .join(t.open_rows("department_employee").select(
                 "employee_id", "department_id", F.col("from_date").alias("department_from_date")),
                 "employee_id")
-            .join(dept, "department_id")
+            .join(beside(dept), "department_id")
             .select("employee_id", "gender", "department_id", "department", "department_from_date"))
 
 
@@ -238,7 +240,7 @@ def employee_names(spark, sf_dir):
 
 
 def salary_change(spark, sf_dir):
-    s = salary_with_previous(staged(spark, sf_dir)["salary"])
+    s = unite([salary_steps(part) for part in staged(spark, sf_dir).parts])
     return s.select("employee_id", "from_date", "to_date", F.col("amount").alias("salary"),
                     "previous_salary",
                     (F.col("amount") - F.col("previous_salary")).cast("double")
@@ -294,8 +296,7 @@ def history_periods_half_open(spark, sf_dir):
 
 
 def history_lags(spark, sf_dir):
-    t = staged(spark, sf_dir)
-    lagged = history.history_lags(history.history_periods(t), history.heavy_employees(t))
+    lagged = history.lagged_periods(staged(spark, sf_dir))
     return lagged.select("employee_id", "effective_date", "expiry_date", "title",
                          "previous_title", "salary", "previous_salary", "department",
                          "previous_department", "manager", "previous_manager", "event_order")
@@ -316,8 +317,8 @@ _VS_KEY = {"tenure": "company_tenure_years", "title": "title", "department": "de
 
 def _vs(name):
     def q(spark, sf_dir):
-        bms = stored_benchmarks(_snap(spark, sf_dir))
-        rows = history.compare_to(_events(spark, sf_dir), bms[name], name)
+        bench = stored_benchmark(_snap(spark, sf_dir), name)
+        rows = history.compare_to(_events(spark, sf_dir), bench, name)
         return rows.select("employee_id", "event_order", _VS_KEY[name], "salary",
                            f"{history.BENCHMARKS[name][1]}", f"{name}_comparison")
     return q

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.functions.numeric import exact_mean, round_half_even, round_half_up, share_pct
+from paytrail.functions.numeric import round_half_even, round_half_up, share_pct
+from paytrail.operators.quantiles import exact_quantiles, value_counts
 
 LEVELS = {
     # level -> (extra grouping column, tenure column, output tenure name)
@@ -15,35 +16,43 @@ LEVELS = {
 }
 
 
-def salary_stats() -> list:
-    """Salary statistics of one group.  One exact percentile aggregate keeps a
-    value->count map per group, merged after map-side combining, so its size is
-    bounded by the distinct salaries, not the rows."""
-    quartiles = F.percentile(F.col("salary").cast("double"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return [
-        round_half_up(F.avg("salary")).alias("avg_salary"),
-        round_half_up(exact_mean("salary_percentage_change")).alias("avg_salary_percentage_change"),
-        F.min("salary").cast("double").alias("min_salary"),
-        F.max("salary").cast("double").alias("max_salary"),
-        round_half_even(quartiles[1]).alias("median_salary"),
-        round_half_even(quartiles[2] - quartiles[0]).alias("inter_quartile_range"),
-        round_half_up(F.stddev_samp("salary")).alias("stddev_salary"),
-    ]
+QUARTILES = {"p25_salary": 0.25, "median_salary": 0.5, "p75_salary": 0.75}
 
 
 def level_dashboard(snapshot: DataFrame, level: str) -> DataFrame:
+    """One row per gender (and department or title).  Rows are first combined per
+    (group, salary), which spreads a large group over its salaries; statistics and
+    quartiles both come from these counts."""
     extra, tenure_col, tenure_name = LEVELS[level]
     keys = ["gender"] + ([extra] if extra else [])
-    agg = snapshot.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("employee_count"),
-        round_half_even(F.avg(tenure_col)).alias(tenure_name),
-        *salary_stats())
+    pct = F.col("salary_percentage_change").cast("decimal(18,2)")
+    counts = value_counts(snapshot, keys, "salary", {
+        "tenure": F.sum(tenure_col), "tenure_n": F.count(tenure_col), "pct": F.sum(pct), "pct_n": F.count(pct)})
+    s, n = F.col("salary").cast("decimal(19,0)"), F.col("__n")
+    known = F.when(F.col("salary").isNotNull(), n)
+    agg = exact_quantiles(counts, keys, "salary", QUARTILES, [
+        F.sum("__n").alias("employee_count"), F.sum(known).alias("salary_n"),
+        F.sum("tenure").alias("tenure"), F.sum("tenure_n").alias("tenure_n"),
+        F.sum("pct").alias("pct"), F.sum("pct_n").alias("pct_n"), F.min("salary").alias("low"), F.max("salary").alias("high"),
+        F.sum((s * known).cast("decimal(38,0)")).alias("total"),
+        F.sum((s * s * known).cast("decimal(38,0)")).alias("squares")])
+    # Exact sums of integers: the order of rows cannot change a rounding.
+    size = F.nullif(F.col("salary_n"), F.lit(0)).cast("double")
+    mean = F.col("total").cast("double") / size
+    spread = (F.col("squares") * F.col("salary_n") - F.col("total") * F.col("total")).cast("double")
+    deviation = F.when(F.col("salary_n") > 1, F.sqrt(spread / (size * (size - 1))))
     # The share window runs over the aggregated rows only (a handful per group).
     w = Window.partitionBy(*([extra] if extra else []))
     share = share_pct(F.col("employee_count"), F.sum("employee_count").over(w))
-    return agg.select(*keys, "employee_count", share.alias("employee_percentage"), tenure_name,
-                      "avg_salary", "avg_salary_percentage_change", "min_salary", "max_salary",
-                      "median_salary", "inter_quartile_range", "stddev_salary")
+    return agg.select(
+        *keys, "employee_count", share.alias("employee_percentage"),
+        round_half_even(F.col("tenure") / F.nullif(F.col("tenure_n"), F.lit(0))).alias(tenure_name),
+        round_half_up(mean).alias("avg_salary"),
+        round_half_up(F.col("pct").cast("double") / F.nullif(F.col("pct_n"), F.lit(0))).alias("avg_salary_percentage_change"),
+        F.col("low").cast("double").alias("min_salary"), F.col("high").cast("double").alias("max_salary"),
+        round_half_even(F.col("median_salary")).alias("median_salary"),
+        round_half_even(F.col("p75_salary") - F.col("p25_salary")).alias("inter_quartile_range"),
+        round_half_up(deviation).alias("stddev_salary"))
 
 
 def gender_share(snapshot: DataFrame, level: str) -> DataFrame:
@@ -58,9 +67,6 @@ def gender_share(snapshot: DataFrame, level: str) -> DataFrame:
 
 def salary_percentiles(snapshot: DataFrame) -> DataFrame:
     """Unrounded exact median and interquartile range of salary per gender."""
-    s = F.col("salary").cast("double")
-    return snapshot.groupBy("gender").agg(
-        F.percentile(s, F.lit(0.5)).alias("median_salary"),
-        F.percentile(s, F.lit(0.25)).alias("p25_salary"),
-        F.percentile(s, F.lit(0.75)).alias("p75_salary"),
-        (F.percentile(s, F.lit(0.75)) - F.percentile(s, F.lit(0.25))).alias("inter_quartile_range"))
+    q = exact_quantiles(value_counts(snapshot, ["gender"], "salary"), ["gender"], "salary", QUARTILES)
+    return q.select("gender", "median_salary", "p25_salary", "p75_salary",
+                    (F.col("p75_salary") - F.col("p25_salary")).alias("inter_quartile_range"))

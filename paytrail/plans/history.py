@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT, HEAVY_ROWS
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change, round_half_up
+from paytrail.operators.joins import beside
 from paytrail.operators.scd import Period, overlap_join
-from paytrail.operators.sequence import latest_per_key, ordered_sequence
+from paytrail.operators.sequence import heavy_sequence, latest_per_key, ordered_sequence
 from paytrail.operators.slices import heavy_keys
+from paytrail.operators.tables import Tables, unite
 from paytrail.plans.benchmark import BENCHMARKS, stored_benchmarks
-from paytrail.plans.snapshot import (current_snapshot, salary_with_previous,
-                                     stored_manager_periods)
+from paytrail.plans.snapshot import current_snapshot, salary_steps, stored_manager_periods
 
 # Event labels, checked in this order (first match wins).
 SALARY_INCREASE = "Salary Increase"
@@ -53,15 +54,8 @@ PERIOD_COLUMNS = [
     "effective_date", "expiry_date"]
 
 
-def heavy_employees(t: dict[str, DataFrame], rows: int | None = HEAVY_ROWS) -> DataFrame | None:
-    """Employees with more than ``rows`` title, salary and department periods."""
-    return heavy_keys([(t[name], ["employee_id"], "from_date")
-                       for name in ("title", "salary", "department_employee")], rows)
-
-
-def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
-                    rows: int | None = HEAVY_ROWS) -> DataFrame:
-    """Valid (title x salary x department x manager) combinations per employee."""
+def _periods(t: Tables, managers: DataFrame, bounds: str, rows: int | None) -> DataFrame:
+    """The combinations of one part of the tables."""
     title = t["title"].select("employee_id", "title",
                               F.col("from_date").alias("title_from_date"),
                               F.col("to_date").alias("title_to_date"))
@@ -71,32 +65,47 @@ def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
     dept = t["department_employee"].select("employee_id", "department_id",
                                            F.col("from_date").alias("department_from_date"),
                                            F.col("to_date").alias("department_to_date"))
-    mgr = stored_manager_periods(t).select(F.col("department_id").alias("manager_department_id"), "manager_id",
-                         "manager", "manager_from_date", "manager_to_date")
+    mgr = managers.select(F.col("department_id").alias("manager_department_id"), "manager_id",
+                          "manager", "manager_from_date", "manager_to_date")
     joined = overlap_join([
         Period(title, "title_from_date", "title_to_date"),
         Period(salary, "salary_from_date", "salary_to_date"),
         Period(dept, "department_from_date", "department_to_date"),
-        Period(mgr, "manager_from_date", "manager_to_date",
-               on=("department_id", "manager_department_id"),
+        Period(beside(mgr), "manager_from_date", "manager_to_date", on=("department_id", "manager_department_id"),
                heavy=heavy_keys([(mgr, ["manager_department_id"], "manager_from_date")], rows)),
-    ], key="employee_id", bounds=bounds, heavy=heavy_employees(t, rows))
-    # A stored dimension scan: Spark's own size check (file size against the
-    # broadcast threshold) decides the strategy.
+    ], key="employee_id", bounds=bounds, sweep=t.heavy is not None)
     names = t["department"].select(F.col("id").alias("department_id"),
                                    F.col("dept_name").alias("department"))
-    return joined.join(names, "department_id").select(*PERIOD_COLUMNS)
+    return joined.join(beside(names), "department_id").select(*PERIOD_COLUMNS)
+
+
+def history_periods(t: dict[str, DataFrame], bounds: str = "closed",
+                    rows: int | None = HEAVY_ROWS) -> DataFrame:
+    """Valid (title x salary x department x manager) combinations per employee."""
+    managers = stored_manager_periods(t)
+    return unite([_periods(part, managers, bounds, rows) for part in Tables.of(t, rows).parts])
 
 
 def history_lags(periods: DataFrame, heavy: DataFrame | None = None,
                  max_events: int | None = None) -> DataFrame:
     """Previous title / salary / department / manager and the reverse event
-    order (only the latest ``max_events`` periods per employee if given)."""
-    return ordered_sequence(
-        periods, ["employee_id"], EVENT_ORDER,
-        lags={"previous_title": "title", "previous_salary": "salary",
-              "previous_department": "department", "previous_manager": "manager"},
-        number_desc="event_order", number_desc_max=max_events, heavy=heavy)
+    order (only the latest ``max_events`` periods per employee if given);
+    ``heavy`` if all employees of ``periods`` are heavy."""
+    columns = dict(lags={"previous_title": "title", "previous_salary": "salary",
+                         "previous_department": "department", "previous_manager": "manager"},
+                   number_desc="event_order", number_desc_max=max_events)
+    if heavy is None:
+        return ordered_sequence(periods, ["employee_id"], EVENT_ORDER, **columns)
+    return heavy_sequence(periods, ["employee_id"], EVENT_ORDER, heavy, **columns)
+
+
+def lagged_periods(t: dict[str, DataFrame], bounds: str = "closed", max_events: int | None = None,
+                   rows: int | None = HEAVY_ROWS) -> DataFrame:
+    """:func:`history_lags` of :func:`history_periods`; the ordinary employees' periods
+    stay in the clusters of the stored tables."""
+    managers = stored_manager_periods(t)
+    return unite([history_lags(_periods(part, managers, bounds, rows), part.heavy, max_events)
+                  for part in Tables.of(t, rows).parts])
 
 
 def event_name() -> F.Column:
@@ -108,12 +117,15 @@ def event_name() -> F.Column:
             .when(c("previous_title") != c("title"), F.lit(TITLE_CHANGE)))
 
 
-def previous_latest_salary(salary: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
+def _latest(steps: DataFrame) -> DataFrame:
+    return latest_per_key(steps, ["employee_id"], ["to_date", "from_date"], ["previous_salary"]) \
+        .withColumnRenamed("previous_salary", "previous_latest_salary")
+
+
+def previous_latest_salary(t: dict[str, DataFrame]) -> DataFrame:
     """Per employee, the previous amount of the salary record with the latest
     ``to_date`` (``ROW_NUMBER() OVER (ORDER BY to_date DESC) = 1``)."""
-    return latest_per_key(salary_with_previous(salary, heavy), ["employee_id"],
-                          ["to_date", "from_date"], ["previous_salary"]) \
-        .withColumnRenamed("previous_salary", "previous_latest_salary")
+    return unite([_latest(salary_steps(part)) for part in Tables.of(t).parts])
 
 
 def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
@@ -125,13 +137,16 @@ def history_base(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
     Employee attributes and the latest previous salary are per-employee
     constants, joined after the windows, on the key by which the rows are partitioned already.
     """
-    emp = t["employee"].select(F.col("id").alias("employee_id"), "birth_date", "gender",
-                               "hire_date", full_name("first_name", "last_name")
-                               .alias("employee_name"))
-    heavy = heavy_employees(t, rows)
-    attributes = emp.join(previous_latest_salary(t["salary"], heavy), "employee_id")
-    base = history_lags(history_periods(t, bounds, rows), heavy, max_events).join(attributes, "employee_id")
-    return base.select(
+    managers = stored_manager_periods(t)
+
+    def base(part: Tables) -> DataFrame:
+        emp = part["employee"].select(F.col("id").alias("employee_id"), "birth_date", "gender",
+                                      "hire_date", full_name("first_name", "last_name")
+                                      .alias("employee_name"))
+        attributes = emp.join(_latest(salary_steps(part)), "employee_id")
+        return history_lags(_periods(part, managers, bounds, rows), part.heavy, max_events).join(attributes, "employee_id")
+
+    return unite([base(part) for part in Tables.of(t, rows).parts]).select(
         "*",
         year_diff(as_of, "birth_date").alias("employee_age"),
         year_diff(as_of, "hire_date").alias("company_tenure_years"),
@@ -155,7 +170,7 @@ def compare_to(base: DataFrame, bench: DataFrame, name: str) -> DataFrame:
     percentage difference of the period's salary from it."""
     col, out = BENCHMARKS[name]
     cmp_name = f"{name}_comparison"
-    b = bench.select(col, F.col(out).alias("__bench"))
+    b = beside(bench.select(col, F.col(out).alias("__bench")))
     return base.join(b, col).select(
         *base.columns,
         round_half_up(F.col("__bench")).alias(out),

@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from paytrail.config import AS_OF_DEFAULT
 from paytrail.functions.dates import year_diff
 from paytrail.functions.numeric import full_name, pct_change
-from paytrail.operators.joins import materialize_once
+from paytrail.operators.joins import beside, materialize_once
 from paytrail.operators.scd import current
-from paytrail.operators.sequence import ordered_sequence
+from paytrail.operators.sequence import heavy_sequence, ordered_sequence
 from paytrail.operators.slices import heavy_keys
+from paytrail.operators.tables import Tables, unite
+
+
+_SALARY_ORDER = ["from_date", "to_date", "amount"]
 
 
 def salary_with_previous(salary: DataFrame, heavy: DataFrame | None = None) -> DataFrame:
@@ -24,10 +28,17 @@ def salary_with_previous(salary: DataFrame, heavy: DataFrame | None = None) -> D
     counted here if not given."""
     if heavy is None:
         heavy = heavy_keys([(salary, ["employee_id"], "from_date")])
-    return ordered_sequence(salary, ["employee_id"], ["from_date", "to_date", "amount"],
+    return ordered_sequence(salary, ["employee_id"], _SALARY_ORDER,
                             lags={"previous_salary": "amount"}, heavy=heavy)
 
 
+def salary_steps(t: Tables) -> DataFrame:
+    """:func:`salary_with_previous` of one part of the tables."""
+    if t.heavy is None:
+        return ordered_sequence(t["salary"], ["employee_id"], _SALARY_ORDER, lags={"previous_salary": "amount"})
+    return heavy_sequence(t["salary"], ["employee_id"], _SALARY_ORDER, t.heavy, lags={"previous_salary": "amount"})
+
+
 def previous_salary_current(salary: DataFrame) -> DataFrame:
     """Previous amount of every open salary record (LAG before the filter)."""
     return current(salary_with_previous(salary)).select("employee_id", "to_date", "previous_salary")
@@ -46,28 +57,27 @@ def manager_periods(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def stored_manager_periods(t: dict[str, DataFrame]) -> DataFrame:
-    """Manager periods with names, stored once under the checkpoint folder; Spark
-    chooses how to join them by their stored size."""
+    """Manager periods with names, stored once for each version of their tables."""
     return materialize_once(manager_periods(t), "managers")
 
 
-def _joined(t: dict[str, DataFrame], with_manager: bool) -> DataFrame:
+def _joined(t: Tables, with_manager: bool, managers: DataFrame | None) -> DataFrame:
     emp = t["employee"].select(F.col("id").alias("employee_id"), "gender", "hire_date",
                                "first_name", "last_name")
-    title = current(t["title"]).select("employee_id", "title",
-                                       F.col("from_date").alias("title_from_date"))
-    sal = current(t["salary"]).select("employee_id", F.col("amount").alias("salary"))
-    prev = previous_salary_current(t["salary"]).select("employee_id", "previous_salary")
-    dept_emp = current(t["department_employee"]).select(
+    title = t.open_rows("title").select("employee_id", "title",
+                                        F.col("from_date").alias("title_from_date"))
+    sal = t.open_rows("salary").select("employee_id", F.col("amount").alias("salary"))
+    prev = current(salary_steps(t)).select("employee_id", "previous_salary")
+    dept_emp = t.open_rows("department_employee").select(
         "employee_id", "department_id", F.col("from_date").alias("department_from_date"))
-    # A stored dimension scan: Spark's own size check picks the join strategy.
     dept = t["department"].select(F.col("id").alias("department_id"),
                                   F.col("dept_name").alias("department"))
+    # Clustered tables meet on employee_id; the others are set beside them.
     j = (emp.join(title, "employee_id").join(sal, "employee_id").join(prev, "employee_id")
-         .join(dept_emp, "employee_id").join(dept, "department_id"))
+         .join(dept_emp, "employee_id").join(beside(dept), "department_id"))
     if with_manager:
-        mgr = current(stored_manager_periods(t), "manager_to_date").select("department_id", "manager")
-        j = j.join(mgr, "department_id")
+        mgr = current(managers, "manager_to_date").select("department_id", "manager")
+        j = j.join(beside(mgr), "department_id")
     return j
 
 
@@ -76,7 +86,8 @@ def current_snapshot(t: dict[str, DataFrame], as_of: dt.date = AS_OF_DEFAULT,
     """``with_manager=True`` is the effective definition (with employee and
     manager names, inner join on the current manager); ``False`` the first.
     ``keep_previous`` appends the previous salary amount."""
-    j = _joined(t, with_manager)
+    managers = stored_manager_periods(t) if with_manager else None
+    j = unite([_joined(part, with_manager, managers) for part in Tables.of(t).parts])
     cols = [
         "employee_id", "gender", "title", "salary", "department",
         pct_change("salary", "previous_salary").alias("salary_percentage_change"),

@@ -6,22 +6,25 @@ from __future__ import annotations
 
 import hashlib
 import inspect
-import os
 import threading
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytrail.config import SHIFT_YEARS, checkpoint_root
+from paytrail.config import OPEN_END, SHIFT_YEARS, checkpoint_root
 from paytrail.functions.dates import add_years, shift_date
-from paytrail.operators.joins import materialize
 from paytrail.operators import sequence, slices
+from paytrail.operators.joins import materialize
+from paytrail.operators.tables import FACTS, Tables, heavy_employees, split_heavy
+from paytrail.operators.versions import folder_files, folder_version, frame_version
 from paytrail.sources import fixtures, schemas
 
 _LOCK = threading.RLock()
 
+OPEN = "open"  # partition of the facts: true for rows still valid
+BUCKET_BYTES = 1 << 30
+
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
 
 
@@ -67,44 +70,56 @@ def _version() -> str:
     h = hashlib.sha1()
     for mod in (fixtures, schemas, sequence, slices):
         h.update(inspect.getsource(mod).encode())
-    h.update(inspect.getsource(stage_table).encode())
+    h.update(inspect.getsource(stage_table).encode() + inspect.getsource(Warehouse).encode())
     return h.hexdigest()[:12]
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.text(path)
-        return True
-    except AnalysisException:
-        return False
+    return next(folder_files(spark, path), None) is not None
 
 
 class Warehouse:
-    """Raw and staged tables of one input folder, written once as parquet.
+    """Raw and staged tables of one input, written once as parquet for each version of it.
 
     Reading the stored copies instead of re-deriving them keeps the lineage
-    short (a lost executor recomputes from parquet, not from the orders table)
-    and lets ``to_date = open end`` reach the parquet scan as a pushed filter.
-    SCD tables are sorted by ``to_date`` inside each file, so current rows sit
-    in few row groups and the rest are skipped by their statistics.
+    short (a lost executor recomputes from parquet, not from the orders table).
+    The staged employee table and the three facts are clustered (bucketed) by employee,
+    so that joins and windows on that key read them without a shuffle; the facts have
+    a partition of open rows, which the snapshot reads alone.  Employees with more than
+    ``HEAVY_ROWS`` rows would make a bucket that one task must read: their facts are
+    stored apart, dealt by (employee, start date).
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None,
+    def __init__(self, spark: SparkSession, source: str, root: str | None = None,
                  tables: dict[str, DataFrame] | None = None):
         self.spark = spark
-        self.tables = tables
-        self.sf_dir = sf_dir.rstrip("/")
-        tag = hashlib.sha1(os.path.abspath(self.sf_dir).encode()).hexdigest()[:10]
+        self.source = source.rstrip("/")
+        self.given = tables
+        self.version = self.input_version()
         if root is None:
+            tag = hashlib.sha1(self.source.encode()).hexdigest()[:10]
             # One warehouse per application: concurrent jobs never write into
             # each other's folders.
             app = spark.sparkContext.applicationId
-            root = f"{checkpoint_root(spark)}/paytrail-warehouse/{app}/{tag}-{_version()}"
-            if tables is not None:  # given tables may differ at every call
+            root = f"{checkpoint_root(spark)}/paytrail-warehouse/{app}/{tag}-{_version()}-{self.version}"
+            if tables is not None:  # given frames may have no files to tell them apart
                 root = f"{root}-{uuid.uuid4().hex[:8]}"
         self.root = root
         self._built = False
 
+    def _tables(self) -> dict[str, DataFrame] | None:
+        """The six raw tables, where the source names them."""
+        if self.given is not None:
+            return self.given
+        return read_tables(self.spark, self.source.removeprefix("tables:")) if self.source.startswith("tables:") else None
+
+    def input_version(self) -> str:
+        """Version of the files that the tables are made from, as they are now."""
+        tables = self._tables()
+        if tables is None:
+            return folder_version(self.spark, [f"{self.source}/{t}.parquet" for t in fixtures.DRIVER_TABLES])
+        return hashlib.sha1("".join(frame_version(tables[n]) for n in TABLES).encode()).hexdigest()[:16]
+
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
 
@@ -119,32 +134,73 @@ class Warehouse:
         if _exists(self.spark, f"{self.root}/_COMPLETE"):
             # A finished build is never written over: a forced one gets a folder of its own.
             self.root = f"{self.root}-{uuid.uuid4().hex[:8]}"
-        raw = self.tables or fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.sf_dir),
-                                  materialize=lambda df: materialize(df, "fixture"))
+        raw = self._tables() or fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.source),
+                                                    materialize=lambda df: materialize(df, "fixture"))
         for name in TABLES:
-            self._write(raw[name], self._path("raw", name), name)
-        raw_stored = {n: self._read("raw", n) for n in TABLES}
-        for name, df in stage(raw_stored).items():
-            self._write(df, self._path("staged", name), name)
+            df = raw[name].sortWithinPartitions("to_date", "employee_id") if name in schemas.SCD_TABLES else raw[name]
+            df.write.mode("overwrite").parquet(self._path("raw", name))
+        staged = stage(self._raw())
+        heavy = heavy_employees(staged)
+        if heavy is not None:
+            heavy.write.mode("overwrite").parquet(self._path("heavy", "keys"))
+        buckets = self._buckets()
+        for name, df in staged.items():
+            if name in FACTS and heavy is not None:
+                df, apart = split_heavy(df, heavy)
+                apart.repartitionByRange("employee_id", "from_date").write.mode("overwrite").parquet(self._path("heavy", name))
+            if name in FACTS or name == "employee":
+                self._cluster(df, name, buckets)
+            else:
+                df.write.mode("overwrite").parquet(self._path("staged", name))
         self.spark.createDataFrame([("ok",)], "s string").coalesce(1) \
             .write.mode("overwrite").text(f"{self.root}/_COMPLETE")
         self._built = True
 
-    def _write(self, df: DataFrame, path: str, name: str) -> None:
-        if name in schemas.SCD_TABLES:
-            df = df.sortWithinPartitions("to_date", "employee_id")
-        df.write.mode("overwrite").parquet(path)
-
-    def _read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.schema(schemas.SCHEMAS[name]).parquet(self._path(layer, name))
+    def _buckets(self) -> int:
+        """Buckets of about ``BUCKET_BYTES``; at least one for each core."""
+        size = sum(f[1] for f in folder_files(self.spark, f"{self.root}/raw"))
+        most = int(self.spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+        return min(most, max(self.spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES)))
+
+    def _table_name(self, name: str) -> str:
+        return f"paytrail_{hashlib.sha1(self.root.encode()).hexdigest()[:12]}_{name}"
+
+    def _cluster(self, df: DataFrame, name: str, buckets: int) -> None:
+        """Write one file for each bucket (and each partition of a fact)."""
+        key, order = ("id", ["id"]) if name == "employee" else ("employee_id", ["employee_id", "from_date"])
+        if name in FACTS:
+            df = df.withColumn(OPEN, F.coalesce(F.col("to_date") == F.lit(OPEN_END), F.lit(False)))
+        w = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(*order)
+        w = w.partitionBy(OPEN) if name in FACTS else w
+        w.option("path", self._path("staged", name)).saveAsTable(self._table_name(name))
+
+    def _clustered(self, name: str) -> DataFrame:
+        """The stored table by its catalog entry; one built by another application is read by path."""
+        if self.spark.catalog.tableExists(self._table_name(name)):
+            return self.spark.table(self._table_name(name))
+        return self.spark.read.parquet(self._path("staged", name))
+
+    def _raw(self) -> dict[str, DataFrame]:
+        return {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("raw", n)) for n in TABLES}
 
     def raw(self) -> dict[str, DataFrame]:
         self.build()
-        return {n: self._read("raw", n) for n in TABLES}
+        return self._raw()
 
-    def staged(self) -> dict[str, DataFrame]:
+    def staged(self) -> Tables:
         self.build()
-        return {n: self._read("staged", n) for n in TABLES}
+        columns = {n: schemas.SCHEMAS[n].fieldNames() for n in TABLES}
+        frames = {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("staged", n))
+                  for n in TABLES if n not in FACTS and n != "employee"}
+        whole = {n: self._clustered(n) for n in (*FACTS, "employee")}
+        frames |= {n: df.select(columns[n]) for n, df in whole.items()}
+        ordinary = Tables(frames, {n: whole[n].where(OPEN).select(columns[n]) for n in FACTS})
+        if not _exists(self.spark, self._path("heavy", "keys")):
+            return ordinary
+        keys = self.spark.read.parquet(self._path("heavy", "keys"))
+        apart = {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("heavy", n)) for n in FACTS}
+        united = {n: df.unionByName(apart[n]) if n in FACTS else df for n, df in frames.items()}
+        return Tables.united(united, [ordinary, Tables({**frames, **apart}, heavy=keys)])
 
 
 _CACHE: dict[tuple[str, str], Warehouse] = {}
@@ -155,9 +211,13 @@ def warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
     """The warehouse of ``sf_dir`` for this session; ``root`` replaces it with
     one stored elsewhere (e.g. a fresh folder per benchmark run), ``tables``
     (see :func:`read_tables`) with one of the given raw tables; ``sf_dir`` is then
-    only the name under which queries find it."""
+    only the name under which queries find it.  ``tables:SOURCE`` names six tables
+    that are read from SOURCE.  A source whose files have changed gets a new warehouse."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         if root is not None or tables is not None or key not in _CACHE:
             _CACHE[key] = Warehouse(spark, sf_dir, root, tables)
+        elif _CACHE[key].input_version() != _CACHE[key].version:
+            known = None if sf_dir.startswith("tables:") else _CACHE[key].given
+            _CACHE[key] = Warehouse(spark, sf_dir, tables=known)
         return _CACHE[key]
