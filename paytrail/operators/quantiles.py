@@ -4,40 +4,61 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytrail.operators.joins import materialize
 from paytrail.operators.spread import PART, TIE, dealt, running
+from paytrail.operators.versions import stored_bytes
 
+WINDOW_BYTES = 32 << 20
 _N, _UPTO, _ALL = "__n", "__upto", "__all"
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column] | None = None) -> DataFrame:
-    """One stored row for each (keys, value): its rows in ``__n`` and the ``sums``.  Combined
-    before the shuffle, which deals a group over its values."""
-    return materialize(df.groupBy(*keys, value).agg(
-        F.count(F.lit(1)).alias(_N), *[c.alias(n) for n, c in (sums or {}).items()]), "counts")
+def _small(df: DataFrame, window_bytes: int) -> bool:
+    size = stored_bytes(df)
+    return size is not None and size <= window_bytes
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, sums: Mapping[str, Column] | None = None,
+                 window_bytes: int = WINDOW_BYTES) -> DataFrame:
+    """One row for each (keys, value): its rows in ``__n`` and the ``sums``.  Combined
+    before the shuffle, which deals a group over its values.  Stored, unless the input
+    itself is small."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(_N), *[c.alias(n) for n, c in (sums or {}).items()])
+    return counts if _small(df, window_bytes) else materialize(counts, "counts")
+
+
+def _with_totals(ranked: DataFrame, counts: DataFrame, keys: Sequence[str], rows: Column, few: bool) -> DataFrame:
+    """``ranked`` with the rows of its whole group."""
+    if few:
+        return ranked.withColumn(_ALL, F.sum(rows).over(Window.partitionBy(*keys)))
+    whole = counts.groupBy(*keys).agg(F.sum(rows).alias(_ALL))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}"))
+    return ranked.alias("r").join(whole.alias("g"), same).select(*[F.col(f"r.{c}") for c in ranked.columns], _ALL)
 
 
 def exact_quantiles(counts: DataFrame, keys: Sequence[str], value: str, probabilities: Mapping[str, float],
-                    more: Sequence[Column] = ()) -> DataFrame:
+                    more: Sequence[Column] = (), window_bytes: int = WINDOW_BYTES) -> DataFrame:
     """Per group the continuous quantiles (linear between the two neighbouring ranks)
     of ``value``, by name, and the ``more`` aggregates, from :func:`value_counts`.
 
-    The counts are dealt along (keys, value) and totalled from range to range, so every
-    row knows the ranks that its value takes; the two ranks of a quantile are picked by
-    a partial aggregate.  No task holds all values of a group.  NULL values are skipped.
+    The counts are totalled along the values, so every row knows the ranks that its
+    value takes; the two ranks of a quantile are picked by a partial aggregate.  Counts
+    from more than ``WINDOW_BYTES`` of files are dealt along (keys, value) and totalled from
+    range to range, so that no task holds all values of a group; fewer take one window.
+    NULL values are skipped.
     """
     order = [F.col(k) for k in keys] + [F.col(value)]
     rows = F.when(F.col(value).isNotNull(), F.col(_N)).otherwise(F.lit(0))
-    ranked = running(dealt(counts, order), keys, order, rows, _UPTO).drop(PART, TIE)
-    whole = counts.groupBy(*keys).agg(F.sum(rows).alias(_ALL))
-    same = F.lit(True)
-    for k in keys:
-        same = same & F.col(f"r.{k}").eqNullSafe(F.col(f"g.{k}"))
-    ranked = ranked.alias("r").join(F.broadcast(whole.alias("g")) if not keys else whole.alias("g"), same).select(
-        *[F.col(f"r.{c}") for c in ranked.columns], _ALL)
+    few = _small(counts, window_bytes)
+    if few:
+        ranked = counts.withColumn(_UPTO, F.sum(rows).over(Window.partitionBy(*keys).orderBy(value)))
+    else:
+        ranked = running(dealt(counts, order), keys, order, rows, _UPTO).drop(PART, TIE)
+    ranked = _with_totals(ranked, counts, keys, rows, few)
     first, last = F.col(_UPTO) - rows, F.col(_UPTO) - 1  # ranks from 0
 
     def at(rank: Column) -> Column:

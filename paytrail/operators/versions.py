@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,14 @@ from pyspark.sql import functions as F
 LISTED_FILES = 2000
 
 File = tuple[str, int, int]
+_PATH: dict = {}
 
 
 def _file_system(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path)) if "%" in path \
-        else spark._jvm.org.apache.hadoop.fs.Path(path)
+    # One look-up of the class for each gateway: every package of the name is a round trip.
+    if _PATH.get("jvm") is not spark._jvm:
+        _PATH.update(jvm=spark._jvm, cls=spark._jvm.org.apache.hadoop.fs.Path)
+    p = _PATH["cls"](path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
@@ -49,8 +53,8 @@ def frame_files(df: DataFrame) -> list[File] | None:
         return None
     wanted: dict[str, set[str]] = {}
     for path in paths:
-        p, _ = _file_system(spark, path)
-        wanted.setdefault(p.getParent().toString(), set()).add(p.getName())
+        folder, name = unquote(path).rsplit("/", 1)
+        wanted.setdefault(folder, set()).add(name)
     out = []
     for folder, names in wanted.items():
         p, fs = _file_system(spark, folder)
