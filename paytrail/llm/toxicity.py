@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-Terms are words and their first four and five letters.
+A term is the first ``STEM`` letters of a word, which inflected and compound forms share.
 
 Fitting.  At most about ``MAX_EXAMPLES`` labelled texts (a documented bound; chosen
 by hash of the text, equal texts once) become examples.  All terms of the examples
@@ -11,7 +11,11 @@ Scoring.  A text is the TF-IDF vector of its vocabulary terms.  The examples are
 kept in an inverted index whose postings are cut into blocks of ``BLOCK`` examples
 with the largest weight of each term in the block.  Blocks are read in the order of
 their upper bound, in rounds that double, until the bound falls under the K-th best
-cosine, so the K neighbours are exact (weights are stored as single precision).  The
+cosine, so the K neighbours are exact (weights are stored as single precision).  Terms
+in more than ``DENSE`` of the examples have no postings but a row of a matrix: a batch of
+texts is multiplied with it at once, and the bound of a block is then the largest of these
+products in it and the bounds of its other terms.  Products serve to find the candidates;
+the cosines of those within ``MARGIN`` of the K-th are summed again in double precision.  The
 votes of the neighbours, weighted by cosine and drawn to the base rate by ``PRIOR``
 votes, give the score; the neighbours are the evidence.  A text with words of which
 none is known gets the base rate.
@@ -49,17 +53,19 @@ MAX_EXAMPLES = 20_000
 BLOCK = 128
 FOLD = 128
 PARTS = 8             # the examples reach the driver in so many parts
+STEM = 4
+DENSE = 0.05
+BATCH = 64            # texts multiplied with the matrix at once
+MARGIN = 1e-4         # far above the error of a single-precision sum of cosines
 K = 11
 PRIOR = 1.0
 CUTOFF = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
+_STEM = re.compile(rf"([^\W\d_]{{1,{STEM}}})[^\W\d_]*")
 
 
 def terms(text: str | None) -> list[str]:
-    """Words and, marked by ``^``, their beginnings of 4 and 5 letters (inflected
-    and compound forms of one word share them)."""
-    words = _WORD.findall(text.lower()) if text else []
-    return words + [f"^{w[:n]}" for w in words if len(w) > 3 for n in ((4, 5) if len(w) > 4 else (4,))]
+    return _STEM.findall(text.lower()) if text else []
 
 
 def hashed(term: str) -> int:
@@ -74,8 +80,8 @@ def spans(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 class Vocabulary:
-    """Numbers of the known terms of a text.  What a word gives is remembered, as
-    most words of a corpus are repeated."""
+    """Numbers of the known terms of a text.  What a term gives is remembered, as
+    most terms of a corpus are repeated."""
 
     def __init__(self, hashes: np.ndarray):
         self.hashes, self.seen = hashes, {}  # sorted
@@ -86,34 +92,23 @@ class Vocabulary:
     def __reduce__(self):
         return Vocabulary, (self.hashes,)
 
-    def _learn(self, words: list[str]) -> None:
-        if not len(self.hashes):
-            self.seen.update(dict.fromkeys(words, ()))
-            return
-        parts = [terms(w) for w in words]
-        h = np.array([hashed(t) for p in parts for t in p], dtype=np.uint64)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        found = np.where(self.hashes[at] == h, at, -1).tolist()
-        i = 0
-        for w, p in zip(words, parts):
-            self.seen[w] = tuple(x for x in found[i:i + len(p)] if x >= 0)
-            i += len(p)
+    def _learn(self, new: list[str]) -> None:
+        h = np.array([hashed(t) for t in new], dtype=np.uint64)
+        at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), dtype=bool)
+        self.seen.update(zip(new, np.where(known, at, -1).tolist()))
 
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers, occurrences) of the known terms, by number."""
-        words = Counter(_WORD.findall(text.lower()) if text else ())
-        if len(self.seen) > 200_000:
+        found = Counter(terms(text))
+        if len(self.seen) > 500_000:
             self.seen.clear()
-        new = [w for w in words if w not in self.seen]
+        new = [t for t in found if t not in self.seen]
         if new:
             self._learn(new)
-        seen, out = self.seen, {}
-        for w, n in words.items():
-            for i in seen[w]:
-                out[i] = out.get(i, 0) + n
-        at = np.fromiter(out, dtype=np.int64, count=len(out))
-        n = np.fromiter(out.values(), dtype=np.int64, count=len(out))
-        order = np.argsort(at)
+        at = np.fromiter(map(self.seen.__getitem__, found), dtype=np.int64, count=len(found))
+        n = np.fromiter(found.values(), dtype=np.int64, count=len(found))
+        order = np.argsort(at)[int((at < 0).sum()):]
         return at[order], n[order]
 
 
@@ -136,33 +131,45 @@ class Index:
     empty: float               # score of a text without terms
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k != "tables"}
+        return {k: v for k, v in self.__dict__.items() if k not in ("tables", "frequent")}
+
+    @cached_property
+    def frequent(self) -> np.ndarray:
+        """Rows of the matrix: the terms in many examples."""
+        return np.flatnonzero(self.size > DENSE * len(self.ids))
 
     @cached_property
     def tables(self) -> tuple[np.ndarray, ...]:
-        """Not sent, made where it is used: examples and weights of the postings; per
-        term its first entry (the postings of a term in a block); per entry block,
-        largest weight and first posting."""
+        """Not sent, made where it is used: the matrix (frequent terms by examples, whole
+        blocks) and the row of each term in it (-1: none); of the other terms, examples and
+        weights of the postings; per term its first entry (the postings of a term in a
+        block); per entry block, largest weight and first posting."""
         term = np.repeat(np.arange(len(self.size), dtype=np.int32), self.size)
         weight = (1 + np.log(np.arange(1, int(self.times.max()) + 1))).astype(np.float32)[self.times - 1] if len(term) else \
             np.empty(0, np.float32)
         weight *= self.idf.astype(np.float32)[term]
         weight /= self.norm.astype(np.float32)[self.example]
-        block = (self.example // BLOCK).astype(np.int32)
+        example = self.example.astype(np.int32)
+        row = np.full(len(self.size), -1, np.int32)
+        row[self.frequent] = np.arange(len(self.frequent))
+        matrix = np.zeros((len(self.frequent), -(-len(self.ids) // BLOCK) * BLOCK), np.float32)
+        here = row[term]
+        matrix[here[here >= 0], example[here >= 0]] = weight[here >= 0]
+        term, weight, example = term[here < 0], weight[here < 0], example[here < 0]
+        block = example // BLOCK
         new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
         top = np.maximum.reduceat(weight, new) if len(new) else weight
-        return (self.example.astype(np.int32), weight, np.searchsorted(term[new], np.arange(len(self.size) + 1)), block[new],
+        return (matrix, row, example, weight, np.searchsorted(term[new], np.arange(len(self.size) + 1)), block[new],
                 top, np.append(new, len(term)).astype(np.int32))
 
     @property
-    def postings(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Per term: examples, weights, starts of its blocks."""
-        example, weight, entry_at, _, _, post_at = self.tables
+    def postings(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per term: examples and weights."""
+        matrix, row, example, weight, entry_at, _, _, post_at = self.tables
         out = []
-        for lo, hi in zip(entry_at[:-1], entry_at[1:]):
-            starts = post_at[lo:hi + 1]
-            part = slice(starts[0], starts[-1])
-            out.append((example[part], weight[part], starts - starts[0]))
+        for r, lo, hi in zip(row, entry_at[:-1], entry_at[1:]):
+            part = np.flatnonzero(matrix[r]) if r >= 0 else slice(post_at[lo], post_at[hi])
+            out.append((part, matrix[r][part]) if r >= 0 else (example[part], weight[part]))
         return out
 
     def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -175,45 +182,70 @@ class Index:
 
     def nearest(self, vector: tuple[np.ndarray, np.ndarray], k: int = K) -> tuple[np.ndarray, np.ndarray]:
         """Index positions and cosines of the ``k`` nearest examples with a cosine over 0."""
-        at, w = self.weights(vector)
-        example, weight, entry_at, entry_block, top, post_at = self.tables
-        lo, hi = entry_at[at], entry_at[at + 1]
-        entry, q = spans(lo, hi), np.repeat(w, hi - lo)
+        return next(self.nearest_of([vector], k))
+
+    def nearest_of(self, vectors: list, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        matrix, row = self.tables[:2]
+        for start in range(0, len(vectors), BATCH):
+            batch = [self.weights(v) for v in vectors[start:start + BATCH]]
+            asked = np.zeros((len(batch), len(matrix)), np.float32)
+            for i, (at, w) in enumerate(batch):
+                r = row[at]
+                asked[i, r[r >= 0]] = w[r >= 0]
+            for (at, w), common in zip(batch, asked @ matrix):
+                yield self._search(at, w, common, k)
+
+    def _search(self, at: np.ndarray, w: np.ndarray, common: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``common``: the sums over the frequent terms, in single precision."""
+        matrix, row, example, weight, entry_at, entry_block, top, post_at = self.tables
+        r = row[at]
+        rare = r < 0
+        lo, hi = entry_at[at[rare]], entry_at[at[rare] + 1]
+        entry, q = spans(lo, hi), np.repeat(w[rare], hi - lo)
         block = entry_block[entry]
-        bounds = np.bincount(block, q * top[entry], -(-len(self.ids) // BLOCK))
+        blocks = len(common) // BLOCK
+        bounds = common.reshape(blocks, BLOCK).max(axis=1) + np.bincount(block, q * top[entry], blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
-        best_at, best = np.empty(0, dtype=np.int64), np.empty(0)
-        done, step = 0, 2
+        others = np.zeros(len(common))
+        near_at, near, done, step = np.empty(0, dtype=np.int64), np.empty(0), 0, 16
+        floor = 0.0  # the K-th best so far, less the margin
         while done < len(order):
             now = order[done:done + step]
-            if len(best) >= k:
-                now = now[bounds[now] >= best[-1] - 1e-12]
-                if not len(now):
-                    break
-            wanted = np.zeros(len(bounds), dtype=bool)
+            now = now[bounds[now] >= floor]
+            if not len(now):
+                break
+            wanted = np.zeros(blocks, dtype=bool)
             wanted[now] = True
             part = np.flatnonzero(wanted[block])
             first, last = post_at[entry[part]], post_at[entry[part] + 1]
             post = spans(first, last)
-            scores = np.bincount(example[post], np.repeat(q[part], last - first) * weight[post], len(self.ids))
-            hit = np.flatnonzero(scores > 0)
-            best_at, best = np.concatenate([best_at, hit]), np.concatenate([best, scores[hit]])
-            near = best.round(12)
+            others += np.bincount(example[post], np.repeat(q[part], last - first) * weight[post], len(common))
+            here = (now[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            found = others[here] + common[here]
+            hit = found > max(floor, 0.0)
+            near_at, near = np.concatenate([near_at, here[hit]]), np.concatenate([near, found[hit]])
             if len(near) > k:
-                ahead = np.flatnonzero(near >= np.partition(near, len(near) - k)[len(near) - k])
-                best_at, best, near = best_at[ahead], best[ahead], near[ahead]
-            pick = np.lexsort((best_at, -near))[:k]
-            best_at, best = best_at[pick], best[pick]
+                floor = max(floor, np.partition(near, len(near) - k)[len(near) - k] - MARGIN)
+                near_at, near = near_at[near >= floor], near[near >= floor]
             done, step = done + step, step * 2
-        return best_at, best
-
-    def score(self, vector: tuple[np.ndarray, np.ndarray]) -> tuple[float, list[int]]:
-        if not len(vector[0]):
-            return self.base, []
-        at, cosine = self.nearest(vector)
-        votes = float(cosine @ self.toxic[at]) + PRIOR * self.base
-        return votes / (float(cosine.sum()) + PRIOR), [int(x) for x in self.ids[at]]
+        exact = (others[near_at] + w[~rare] @ matrix[np.ix_(r[~rare], near_at)].astype(np.float64)).round(12)
+        pick = np.lexsort((near_at, -exact))[:k]
+        pick = pick[exact[pick] > 0]
+        return near_at[pick], exact[pick]
+
+    def scores(self, vectors: list) -> list[tuple[float, list[int]]]:
+        known = [v for v in vectors if len(v[0])]
+        found = self.nearest_of(known)
+        out = []
+        for v in vectors:
+            if not len(v[0]):
+                out.append((self.base, []))
+                continue
+            at, cosine = next(found)
+            votes = float(cosine @ self.toxic[at]) + PRIOR * self.base
+            out.append((votes / (float(cosine.sum()) + PRIOR), [int(x) for x in self.ids[at]]))
+        return out
 
 
 def folded(term: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -293,8 +325,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                  .select("_k", "text", "toxic").dropDuplicates(["_k"]))
 
     def known(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = {w for b in batches for t in b["text"] for w in _WORD.findall(t.lower())}
-        hashes = np.array(list({hashed(t) for w in words for t in terms(w)}), dtype=np.uint64)
+        hashes = np.array([hashed(t) for t in {t for b in batches for text in b["text"] for t in terms(text)}], dtype=np.uint64)
         yield pd.DataFrame({"h": hashes.astype(np.int64)})
 
     hashes = chosen.select("text").mapInPandas(known, "h long").distinct().toArrow()["h"].to_numpy()
@@ -340,15 +371,14 @@ def score(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("score double, evidence array<long>")
     def nearest(texts: pd.Series) -> pd.DataFrame:
-        index, known, out = sent.value, {}, []
-        for t in texts:
-            v = index.vector(t)
-            bare = not len(v[0]) and not (t and _WORD.search(t))
-            name = None if bare else (v[0].tobytes(), v[1].tobytes())
-            if name not in known:
-                known[name] = (index.empty, []) if bare else index.score(v)
-            out.append(known[name])
-        return pd.DataFrame(out, columns=["score", "evidence"])
+        index = sent.value
+        vectors = [index.vector(t) for t in texts]
+        names = [None if not len(v[0]) and not (t and _WORD.search(t)) else (v[0].tobytes(), v[1].tobytes())
+                 for t, v in zip(texts, vectors)]
+        distinct = {n: v for n, v in zip(names, vectors) if n is not None}
+        known = dict(zip(distinct, index.scores(list(distinct.values()))))
+        known[None] = (index.empty, [])
+        return pd.DataFrame([known[n] for n in names], columns=["score", "evidence"])
 
     scored = docs.withColumn("_scored", nearest(F.col(text).cast("string")))
     return scored.withColumn("score", F.col("_scored.score")).withColumn("evidence", F.col("_scored.evidence")) \

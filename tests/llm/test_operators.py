@@ -319,7 +319,7 @@ def test_toxicity(spark):
     q = np.zeros(len(index.vocabulary))
     q[index.weights(v)[0]] = index.weights(v)[1]
     full = np.zeros(len(index.ids))
-    for t, (ex, w, _) in enumerate(index.postings):
+    for t, (ex, w) in enumerate(index.postings):
         full[ex] += q[t] * w
     order = np.lexsort((np.arange(len(full)), -full.round(12)))[:toxicity.K]
     assert list(order) == list(at) and np.allclose(full[order], cosine)
