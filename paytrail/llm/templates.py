@@ -1,22 +1,26 @@
 """Benchmark decontamination by template canonicalisation (native operations only).
 
-Texts become token arrays in which numbers, names (capitalised words inside a
-sentence) and units after a number are typed placeholders; all other words are
-lower-cased.  Windows of ``WIDTH`` canonical tokens are hash-joined between
-documents and benchmark items.  For each alignment of an item with a document the
-values behind the placeholders are compared: one benchmark value must always meet
-the same document value, which holds for a copy and for a question with other names
-and numbers, but not for chance meetings of templates (two benchmark values may meet
-one document value).  Windows with a benchmark value that meets several are no
-evidence; the other windows of the alignment are.  An item leaks into a document if
-such windows cover at least ``COVER`` of its tokens.
-
-Defined results.  Null or empty text, on either side: no match.  Items of fewer
-than ``MIN_TOKENS`` tokens carry no evidence and match nothing; items shorter than
-a window match as a whole.  Windows with fewer than half literal words are no
-evidence.  Equal items: reported once under the smallest id, ``n_items`` tells how
-many.  Repeated document rows: one result row per (id, item).  Null doc ids: kept as
-null.  Empty tables: empty result.  Extra columns are ignored.
+Texts become token arrays in which numbers, names (capitalised words, at every place) and
+units after a number are typed placeholders; all other words are lower-cased.  Windows of
+``WIDTH`` canonical tokens are hash-joined between documents and benchmark items.  For each
+alignment of an item with a document the values behind the placeholders are compared: one
+benchmark value must always meet the same document value, which holds for a copy and for a
+question with other names and numbers, but not for chance meetings of templates (two
+benchmark values may meet one document value).  Windows with a benchmark value that meets
+several are no evidence; the other windows of the alignment are.  A window with fewer than
+half literal words tells little as a template: it is joined by its very values, so it
+counts in a verbatim copy only.  An item leaks into a document if such windows cover at
+least ``COVER`` of its tokens.
+
+Items of one template (the same canonical tokens and the same places of equal values) are
+one class, joined once and reported under its smallest id; ``n_items`` tells how many.  Items
+with windows that need their values form classes with equal values only.
+
+Defined results.  Null or empty text, on either side: no match.  Items shorter than a window
+match as a whole; those of fewer than ``MIN_TOKENS`` tokens match only a document that has no
+other tokens.  Repeated document rows: one result row per (id, text, class), so different
+texts under one id, or without id, each have their own.  Empty tables: empty result.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,96 +28,109 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import cut
+from paytrail.operators.joins import materialize
 
 WIDTH = 8
 MIN_TOKENS = 4
 COVER = 0.5
-#: The benchmark windows are broadcast up to this size (24 bytes of keys and at
-#: most 200 of slot values a row); beyond it the join shuffles.
-BROADCAST_BYTES = 64 << 20
-ROW_BYTES = 224
-
 # Unit words recognised after a number.
 UNITS = ("mm cm m km inch inches ft foot feet yd yard yards mi mile miles mg g kg t gram grams ton tons tonne tonnes oz lb "
          "lbs ml l liter liters litre litres gallon gallons s sec second seconds min minute minutes h hr hour hours day "
          "days week weeks month months year years usd eur gbp dollar dollars euro euros pound pounds cent cents percent "
          "degree degrees kph mph").split()
-# Placeholders: single digits, as every number of a text becomes NUMBER first.
+# Placeholders: digits, as every number of a text becomes NUMBER.
 NUMBER, NAME, UNIT = "0", "1", "2"
+_SEP = "\x01"
 
 
-def _plain(text: Column) -> Column:
-    """One number is one token: no separators inside, a space before a unit."""
+def _tokens(text: Column) -> Column:
+    """Runs of letters and digits; no separators inside a number, and a number apart from its unit."""
     joined = F.regexp_replace(text, r"[.,](?<=\d[.,])(?=\d)", "")
-    return F.regexp_replace(joined, r"(\d)(?=\p{L})", "$1 ")
+    apart = F.regexp_replace(joined, r"(\d)(?=\p{L})", "$1 ")
+    return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+", -1), "")
 
 
-def _canonical(plain: Column) -> Column:
-    # Each pattern begins with what is rare, so that most positions fail at once.
-    c = F.regexp_replace(plain, r"\d+", NUMBER)
-    c = F.regexp_replace(c, r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})\p{L}*", NAME)
-    return F.regexp_replace(F.lower(c), rf"{NUMBER} (?:{'|'.join(UNITS)})(?![\p{{L}}\p{{N}}])", f"{NUMBER} {UNIT}")
+def _is_number(token: Column) -> Column:
+    return F.substring(token, 1, 1).between("0", "9")
 
 
-def _tokens(text: Column) -> Column:
-    """Runs of letters and digits; a text without any gives one empty token."""
-    return F.split(F.regexp_replace(text, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""), r"[^\p{L}\p{N}]+")
+def _typed(tokens: Column) -> Column:
+    """(low, kind) of each token: lower-cased, and its placeholder ('' for a literal word)."""
+    def one(token: Column, i: Column) -> Column:
+        low, first = F.lower(token), F.substring(token, 1, 1)
+        return F.struct(low.alias("low"), F.when(_is_number(token), NUMBER).when(F.lower(first) != first, NAME).when(
+            low.isin(*UNITS) & F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False)), UNIT).otherwise("").alias("kind"))
+    return F.transform(tokens, one)
 
 
 def templates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, _text, canon array, slots array): canonical tokens, and the value at
-    each placeholder ('' at a literal word); slots is null without placeholders."""
-    plain = df.select(F.col(key).alias("_key"), _plain(F.col(text).cast("string")).alias("_p")).where("_p is not null")
-    both = plain.withColumn("_c", _canonical(F.col("_p")))
-    raw = _tokens(F.lower("_p"))
-    # Both arrays have the same length: every replacement keeps a token a token.
-    canon = _tokens(F.col("_c"))
-    slots = F.zip_with(canon, raw, lambda c, r: F.when(c.isin(NUMBER, NAME, UNIT), r).otherwise(""))
-    return both.select("_key", F.xxhash64("_p").alias("_text"), canon.alias("canon"),
-                       F.when(F.col("_c").rlike(f"[{NUMBER}{NAME}{UNIT}]"), slots).alias("slots"))
-
-
-def windows(rows: DataFrame, width: int) -> DataFrame:
-    """(_key, _text, pos, hash, slots): every window of ``width`` tokens; slots is
-    null in texts without placeholders."""
-    hashed = rows.where(F.size("canon") >= width).select(
-        "_key", "_text", F.transform("canon", lambda x: F.xxhash64(x)).alias("h"), "slots")
-    made = F.transform(F.sequence(F.lit(1), F.size("h") - (width - 1)), lambda i: F.struct(
-        F.xxhash64(F.lit(width), F.slice("h", i, width)).alias("hash"),
-        F.when(F.col("slots").isNotNull(), F.array_join(F.slice("slots", i, width), "\x01")).alias("slots")))
-    return hashed.select("_key", "_text", F.posexplode(made).alias("pos", "w")).select(
-        "_key", "_text", "pos", "w.hash", "w.slots")
+    """(_key, _text, n, canon, h, v, slots): canonical tokens, their hashes, the hashes of
+    the values, and the value at each placeholder ('' at a literal word)."""
+    rows = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_t")).where("_t is not null") \
+        .withColumn("_tokens", _tokens(F.col("_t"))).withColumn("x", _typed(F.col("_tokens")))
+    word = lambda x: F.when(x["kind"] == "", x["low"]).otherwise(x["kind"])
+    return rows.select("_key", F.xxhash64("_t").alias("_text"), F.size("x").alias("n"), F.transform("x", word).alias("canon"),
+                       F.transform("x", lambda x: F.xxhash64(word(x))).alias("h"),
+                       F.transform("x", lambda x: F.xxhash64(x["low"])).alias("v"),
+                       F.transform("x", lambda x: F.when(x["kind"] == "", "").otherwise(x["low"])).alias("slots"))
+
+
+def _weak(slots: Column, at: Column, width: int) -> Column:
+    """Does the window at ``at`` have fewer than half literal words?"""
+    return F.size(F.array_remove(F.slice(slots, at, width), "")) * 2 > width
+
+
+def windows(rows: DataFrame, widths: list[int]) -> DataFrame:
+    """(_key, _text, n, width, pos, hash, slots): every window of the ``widths``."""
+    def of(width: int) -> Column:
+        at = F.when(F.size("h") >= width, F.sequence(F.lit(1), F.size("h") - (width - 1))).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(
+            F.lit(width).alias("width"), i.alias("pos"),
+            F.when(_weak(F.col("slots"), i, width), F.xxhash64(F.lit(-width), F.slice("v", i, width)))
+            .otherwise(F.xxhash64(F.lit(width), F.slice("h", i, width))).alias("hash"),
+            F.array_join(F.slice("slots", i, width), _SEP).alias("slots")))
+    made = of(widths[0]) if len(widths) == 1 else F.flatten(F.array(*[of(w) for w in widths]))
+    return rows.select("_key", "_text", "n", "h", "v", "slots").select("_key", "_text", "n", F.explode(made).alias("w")) \
+        .select("_key", "_text", "n", "w.*")
+
+
+def item_classes(items: DataFrame, item: str, item_text: str, width: int) -> DataFrame:
+    """One row per class of items: templates with ``pattern`` (place of the first equal
+    value), ``_key`` (smallest id, n_items) and the window width."""
+    unique = items.where(F.col(item_text).isNotNull()).groupBy(F.col(item_text).alias("_t")).agg(
+        F.min(item).alias("_i"), F.countDistinct(item).alias("n_items"))
+    rows = templates(unique.withColumn("_s", F.struct("_i", "n_items")), "_s", "_t").where("n > 0") \
+        .withColumn("width", F.least("n", F.lit(width))).withColumn("pattern", F.transform("slots", lambda x: F.when(
+            x == "", "").otherwise(F.array_position("slots", x).cast("string"))))
+    bound = F.exists(F.sequence(F.lit(1), F.col("n") - F.col("width") + 1), lambda i: F.size(F.array_remove(
+        F.slice("slots", i, F.col("width")), "")) * 2 > F.col("width"))
+    return rows.withColumn("same", F.when(bound, F.col("slots")).otherwise(F.col("pattern"))) \
+        .groupBy("canon", "same", "n", "width").agg(
+            F.struct(F.min("_key._i").alias("_i"), F.sum("_key.n_items").alias("n_items")).alias("_key"), F.min("_text").alias("_text"),
+            *[F.min(c).alias(c) for c in ("h", "v", "slots", "pattern")])
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
           item: str = "item_id", item_text: str = "text", width: int = WIDTH, cover: float = COVER) -> DataFrame:
     """(key, item, n_items, n_windows, n_slots, coverage) of each leaked pair."""
-    unique = items.where(F.col(item_text).isNotNull()).groupBy(F.col(item_text).alias("_t")).agg(
-        F.min(item).alias("_i"), F.countDistinct(item).alias("n_items"))
-    bench = cut(templates(unique.withColumn("_s", F.struct("_i", "n_items")), "_s", "_t")
-                .where(F.size("canon") >= MIN_TOKENS)
-                .withColumn("n_tokens", F.size("canon")).withColumn("width", F.least("n_tokens", F.lit(width))))
-    doc_rows = templates(docs, key, text)
-    hits = None
-    for w in sorted(r[0] for r in bench.select("width").distinct().collect()):  # at most WIDTH values
-        part = bench.where(F.col("width") == w)
-        sizes = part.select(F.col("_key").alias("_k2"), "n_tokens")
-        blank = F.lit("\x01" * (w - 1))
-        literal = F.size(F.filter(F.split(F.coalesce("slots", blank), "\x01", -1), lambda x: x == ""))
-        mine = cut(windows(part, w).where(literal * 2 >= w).select(
-            "hash", F.col("_key").alias("item"), F.col("pos").alias("ipos"), F.coalesce("slots", blank).alias("islots"))
-            .join(sizes, F.col("item") == F.col("_k2")).drop("_k2"))
-        small = mine.count() * ROW_BYTES <= BROADCAST_BYTES
-        met = windows(doc_rows, w).join(F.broadcast(mine) if small else mine, "hash").select(
-            F.col("_key").alias("doc"), "_text", "item", "n_tokens", F.lit(w).alias("width"), "ipos",
-            (F.col("pos") - F.col("ipos")).alias("shift"), "islots", F.coalesce("slots", blank).alias("dslots"))
-        hits = met if hits is None else hits.union(met)
-    if hits is None:
+    bench = materialize(item_classes(items, item, item_text, width), "classes")
+    widths = sorted(r[0] for r in bench.select("width").distinct().collect())  # at most WIDTH values
+    if not widths:
         return docs.select(F.col(key)).where("false").select(
             key, F.lit(None).cast(dict(items.dtypes)[item]).alias(item), F.lit(0).cast("long").alias("n_items"),
             F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("n_slots"), F.lit(0.0).alias("coverage"))
-    pairs = F.filter(F.zip_with(F.split("islots", "\x01", -1), F.split("dslots", "\x01", -1),
+    # The windows of the classes are stored, so that their bytes tell Spark how to join them.
+    own = windows(bench.withColumn("_key", F.struct("_key", "width", "pattern")), widths).where("width = _key.width")
+    mine = materialize(own.select(
+        F.col("hash").alias("i_hash"), F.col("_key._key").alias("item"), F.col("n").alias("n_tokens"), "width",
+        F.col("pos").alias("ipos"), F.array_join(F.slice("_key.pattern", F.col("pos"), F.col("width")), _SEP).alias("islots")), "windows")
+    theirs = windows(templates(docs, key, text), widths).select(
+        F.col("_key").alias("doc"), "_text", "n", "pos", "hash", F.col("width").alias("d_width"), F.col("slots").alias("dslots"))
+    hits = theirs.join(mine, (F.col("hash") == F.col("i_hash")) & (F.col("d_width") == F.col("width"))
+                       & ((F.col("n_tokens") >= MIN_TOKENS) | (F.col("n") == F.col("n_tokens")))).select(
+        "doc", "_text", "item", "n_tokens", "width", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "islots", "dslots")
+    pairs = F.filter(F.zip_with(F.split("islots", _SEP, -1), F.split("dslots", _SEP, -1),
                                 lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"] != "")
     alignment = ["doc", "_text", "item", "n_tokens", "width", "shift"]
     lined = hits.withColumn("pairs", pairs).groupBy(*alignment).agg(F.collect_set(F.struct("ipos", "pairs")).alias("at")) \
@@ -132,7 +149,5 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
     covered = F.size(F.array_distinct(F.flatten(F.transform(
         "at", lambda p: F.sequence(p, p + F.col("width") - 1)))))
     found = found.withColumn("coverage", covered / F.col("n_tokens")).where(F.col("coverage") >= cover)
-    best = found.groupBy("doc", "item").agg(F.sum("n_windows").alias("n_windows"), F.max("n_slots").alias("n_slots"),
-                                            F.max("coverage").alias("coverage"))
-    return best.select(F.col("doc").alias(key), F.col("item._i").alias(item), F.col("item.n_items").alias("n_items"),
-                       "n_windows", "n_slots", "coverage")
+    return found.select(F.col("doc").alias(key), F.col("item._i").alias(item), F.col("item.n_items").alias("n_items"),
+                        "n_windows", "n_slots", "coverage")

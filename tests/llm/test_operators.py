@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -145,6 +146,52 @@ def test_templates_keep_windows_that_agree(spark):
     assert got.get(2, (2, 0.0))[1] < 1
 
 
+def leaked(spark, texts, items):
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(i, t) for i, t in texts], "doc_id long, text string")
+    return sorted(((r.doc_id, r.item_id, r.n_items) for r in templates.leaks(docs, items).collect()), key=str)
+
+
+def test_templates_find_verbatim_copies_of_any_item(spark):
+    other = "some words that share nothing with the benchmark"
+    items = [(1, "Compute 12 + 35 - 7 * 3"), (2, "What is 12 * 7 + 3 ?"), (3, "Mary has 3 apples and 4 pears"), (4, "2 + 2"),
+             (5, "Wie viele Kilometer fuhr Anna Meyer am Montag nach Bad Homburg und am Dienstag nach Berlin Mitte")]
+    texts = [(0, f"{other} compute 12 + 35 - 7 * 3 {other}"), (1, "So: What is 12 * 7 + 3 ? yes"), (2, "so we say: Mary has 3 apples and 4 pears."),
+             (3, "Susan has 9 apples and 2 pears"), (4, "2 + 2"), (5, f"{other} 2 + 2 {other}"), (6, f"{other} {items[4][1]} {other}"),
+             (7, "Compute 13 + 36 - 8 * 4"), (8, "what is 12 * 7 + 4 ?"), (9, "Susan has 9 apples and 9 pears"), (10, f"{other} 12 35 7 3")]
+    got = {(d, i) for d, i, _ in leaked(spark, texts, items)}
+    assert got == {(0, 1), (1, 2), (2, 3), (3, 3), (4, 4), (6, 5), (9, 3)}
+
+
+def test_templates_join_classes_of_items_and_keep_texts_apart(spark):
+    items = [(i, f"a train that runs for {i + 30} km in {i + 2} h and then stops has what mean speed") for i in range(40)]
+    texts = [(None, f"{'x ' * i}{items[i][1]}") for i in range(30)] + [(7, items[3][1]), (7, "b " + items[4][1]), (8, "nothing here")]
+    got = leaked(spark, texts, items)
+    assert len(got) == 32 and {(i, n) for _, i, n in got} == {(0, 40)}
+    assert [d for d, _, _ in got].count(None) == 30 and [d for d, _, _ in got].count(7) == 2
+
+
+def test_templates_equal_a_search_for_whole_items(spark):
+    """Random items of words, names, numbers and units, placed verbatim or with other values."""
+    rng = random.Random(12)
+
+    def sentence(n):
+        return " ".join(rng.choice([f"w{'abcdefgh'[rng.randrange(8)]}{'ijkl'[rng.randrange(4)]}"] * 6 + ["Tom", "Ann", "17", "3.5", "20 km"]) for _ in range(n))
+
+    items = [(i, sentence(rng.randrange(4, 30))) for i in range(40)]
+    texts, want = [], set()
+    for d in range(150):
+        i, t = rng.choice(items)
+        kind = rng.randrange(3)
+        filler = " ".join(f"z{rng.randrange(10 ** 6)}q" for _ in range(20))
+        body = t if kind == 1 else t.upper().lower() if kind == 2 and not re.search("Tom|Ann", t) else ""
+        texts.append((d, f"{filler}. {body}, {filler}" if body else filler))
+        if body:
+            want.add((d, i))
+    got = {(d, i) for d, i, _ in leaked(spark, texts, items)}
+    assert want <= got and {d for d, _ in got} == {d for d, _ in want}
+
+
 # ---- 5 line frequency ----
 
 def brute_base(text):
