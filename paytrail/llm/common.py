@@ -14,6 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packed(df: DataFrame, **named: Column) -> DataFrame:
+    """The whole row of ``df`` as the struct ``row`` and the ``named`` columns beside it,
+    so that no column of the input can clash with a working name."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(n) for n, c in named.items()])
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The given columns of ``row``."""
+    return [F.col("row")[c].alias(c) for c in columns]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there."""
     checkpoint_root(df.sparkSession)

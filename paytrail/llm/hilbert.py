@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import cut, number_in_group
+from paytrail.llm.common import cut, number_in_group, packed, unpacked
 
 BITS = 6
 #: Rows of one curve position are dealt over so many hash ranges, so that a
@@ -136,9 +136,12 @@ def shard(df: DataFrame, dims: list[str], shards: int = 16, key: str = "doc_id",
         .select(F.col("_key").alias(key), "size", "text_crc32", "h", "shard", "slot")
 
 
-def write_shards(df: DataFrame, placed: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write the rows of ``df`` as one folder a shard, ordered along the curve."""
-    where = placed.select(key, "shard", "h", "slot").dropDuplicates([key])
-    df.join(where, key).repartition("shard", F.floor(F.col("slot") / 100_000)) \
-        .sortWithinPartitions("shard", "slot").drop("slot", "h") \
+def write_shards(df: DataFrame, placed: DataFrame, path: str, place: str) -> None:
+    """Write the rows of ``df`` as one folder a shard, ordered along the curve.  ``place``
+    numbers the rows of both frames, each once (``mix_pos``), so that neither null nor
+    repeated ids lose a row."""
+    where = placed.select(F.col(place).alias("_place"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"), F.col("h").alias("_h"))
+    rows = packed(df, _at=F.col(place)).join(where, F.col("_at") == F.col("_place"))
+    rows.repartition("_shard", F.floor(F.col("_slot") / 100_000)).sortWithinPartitions("_shard", "_h", "_slot") \
+        .select(*unpacked(rows, [c for c in df.columns if c != "shard"]), F.col("_shard").alias("shard")) \
         .write.partitionBy("shard").parquet(path)

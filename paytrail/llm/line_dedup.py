@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import cut, salted, total_by_salt
+from paytrail.llm.common import cut, packed, salted, total_by_salt, unpacked
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -69,17 +69,17 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text",
            min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """``docs`` with the shared lines taken out of ``text``, and ``n_lines`` (before) and ``n_dropped``."""
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")).select(
-        "row", F.col("row")[key].alias("id"), F.coalesce(F.col("row")[text].cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    lost = dropped_lines(rows.select("id", "text_hash", "text"), min_chars, min_docs).select(
+    # The text travels once, inside the row.
+    whole = F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
+    rows = packed(docs.select(*[F.col(f"`{c}`") for c in kept])).withColumn("id", F.col("row")[key]).withColumn("text_hash", F.xxhash64(whole))
+    lost = dropped_lines(rows.select("id", "text_hash", whole.alias("text")), min_chars, min_docs).select(
         F.col("id").alias("lost_id"), F.col("text_hash").alias("lost_hash"), "gone")
     both = rows.join(lost, F.col("id").eqNullSafe(F.col("lost_id")) & (F.col("text_hash") == F.col("lost_hash")), "left") \
-        .withColumn("lines", F.split("text", "\n", -1))
+        .withColumn("text", whole).withColumn("lines", F.split("text", "\n", -1))
     # array_except is linear in the number of lines, however many go.
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
     joined = F.when(F.col("gone").isNull(), F.col("text")).when(F.size("gone") == F.size("lines"), F.lit("")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
-    return both.select(*[(joined if c == text else F.col("row")[c]).alias(c) for c in kept],
+    return both.select(*[joined.alias(c) if c == text else unpacked(both, [c])[0] for c in kept],
                        F.size("lines").cast("long").alias("n_lines"),
                        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import components, cut
+from paytrail.llm.common import components, cut, packed, unpacked
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -245,6 +245,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     first = F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "text")).alias("first")
     chosen = per_text.groupBy("class").agg(first).select(F.col("first.rep").alias("_id"), F.col("first.text").alias("_t"))
     digest = F.md5(F.encode(F.col(text).cast("string"), "UTF-8"))
-    kept = docs.where(F.col(text).isNotNull()).withColumn("_digest", digest).join(
-        chosen, F.col(key).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_t")), "left_semi")
-    return kept.dropDuplicates(["_digest"]).drop("_digest").unionByName(docs.where(F.col(text).isNull()))
+    kept = packed(docs.where(F.col(text).isNotNull()), own_id=F.col(key), digest=digest).join(
+        chosen, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_t")), "left_semi")
+    one = kept.dropDuplicates(["digest"])
+    return one.select(*unpacked(one, docs.columns)).unionByName(docs.where(F.col(text).isNull()))

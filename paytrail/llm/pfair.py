@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytrail.llm.common import cut, number_in_group
+from paytrail.llm.common import number_in_group, packed, unpacked
 
 BLOCK_ROWS = 32
 MAX_ENTRIES = 2_000_000
@@ -107,7 +107,7 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", text: str =
     gapless place of the row in the mixture.  Columns of these names are replaced."""
     spark = df.sparkSession
     name = F.coalesce(F.col(source).cast("string"), F.lit("\0null"))
-    rows = df.withColumn("_s", name).withColumn("_k", F.xxhash64(F.lit(13), key, F.coalesce(F.col(text), F.lit(""))))
+    rows = packed(df, _s=name, _id=F.col(key), _k=F.xxhash64(F.lit(13), F.col(key), F.coalesce(F.col(text), F.lit(""))))
     counts = {r["_s"]: r["count"] for r in rows.groupBy("_s").count().collect()}
     weights = {"\0null" if s is None else s: a for s, a in (weights or tempered(counts)).items()}
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
@@ -126,7 +126,7 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", text: str =
     spans_df = F.broadcast(_table(spark, spans, "_s string, _p int, _b0 long, _b1 long, _a long, _q long, _t0 long"))
     places_df = F.broadcast(_table(spark, places, "_s string, _p int, _i long, _slot long"))
 
-    n = number_in_group(rows, ["_s"], "_k", [F.col(key).asc_nulls_first()], "_n")
+    n = number_in_group(rows, ["_s"], "_k", [F.col("_id").asc_nulls_first()], "_n")
     n = n.withColumn("mix_block", F.expr(f"_n div {block_rows}"))
     # Few spans a source (one a phase) and one place a block: both tables are bounded by MAX_ENTRIES.
     n = n.join(spans_df, ["_s"]).where("mix_block >= _b0 and mix_block < _b1")
@@ -139,5 +139,6 @@ def mix(df: DataFrame, source: str = "source", key: str = "doc_id", text: str =
         gaps = F.aggregate(F.filter(lost, lambda x: x["s"] < F.col("mix_slot")), F.lit(0).cast("long"),
                            lambda a, x: a + x["g"])
     n = n.withColumn("mix_pos", F.col("mix_slot") * block_rows + F.expr(f"_n % {block_rows}") - gaps)
-    return n.withColumn("mix_source", F.when(F.col("_s") != "\0null", F.col("_s"))) \
-        .drop("_s", "_k", "_n", "_p", "_b0", "_b1", "_a", "_q", "_t0", "_i", "_slot")
+    kept = [c for c in df.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_pos")]
+    return n.select(*unpacked(n, kept), F.when(F.col("_s") != "\0null", F.col("_s")).alias("mix_source"),
+                    "mix_block", "mix_slot", "mix_pos")

@@ -57,3 +57,31 @@ def test_pipeline_follows_the_mixture(spark, monkeypatch):
                    for v in by.values())
     assert {r[:2] for r in first} == {r[:2] for r in second}
     assert {r[:3] for r in first} != {r[:3] for r in second}
+
+
+CLASHING = "_a int, _n int, _k int, _id int, _digest int, score int, evidence int, row int, digest int, place int, shard int"
+
+
+def test_stages_keep_clashing_columns_and_every_row(spark, tmp_path):
+    import corpus_pipeline
+    from paytrail.llm import hilbert
+
+    spark.createDataFrame([(1, "zz yy xx ww vv uu")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = [(i if i % 4 else None, f"text number {chr(97 + i % 26)} {chr(97 + i // 26)} of many words", "en", "s" if i % 3 else None, 9) for i in range(60)]
+    rows += [(5, "another text of this id", "de", "s", 1), (5, None, None, None, None), (5, None, None, None, None)]
+    docs = spark.createDataFrame([(*r, *range(11)) for r in rows],
+                                 f"doc_id long, text string, lang string, source string, n_chars long, {CLASHING}")
+    sf, out = str(tmp_path), docs
+    for name, stage in corpus_pipeline.STAGES:
+        before = out
+        out = stage(spark, out, sf)
+        assert out.count() == len(rows), name
+        assert set(docs.columns) <= set(out.columns), name
+        same = [c for c in before.columns if name != "sharding" or c != "shard"]
+        assert sorted(map(repr, out.select(same).collect())) == sorted(map(repr, before.select(same).collect())), name
+    placed = hilbert.shard(out, ["lang", "doc_id"], within="mix_pos")
+    hilbert.write_shards(out, placed, f"{tmp_path}/shards", "mix_pos")
+    back = spark.read.parquet(f"{tmp_path}/shards")
+    assert back.count() == len(rows)
+    assert sorted(r.mix_pos for r in back.collect()) == list(range(len(rows)))
