@@ -20,13 +20,14 @@ from pyspark.sql import functions as F
 
 from paytrail.config import checkpoint_root
 from paytrail.llm import hilbert, lsh_forest, pfair, templates, toxicity
-from paytrail.llm.common import table
+from paytrail.llm.common import packed, table, unpacked
 from paytrail.llm.queries import DIMS
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     index = toxicity.fit(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, index).where(F.col("score") < toxicity.CUTOFF).select(docs.columns)
+    scored = toxicity.score(packed(docs, text=F.col("text")), index).where(F.col("score") < toxicity.CUTOFF)
+    return scored.select(*unpacked(scored, docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +36,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # A leak is a property of the text: ids may be null or repeated.
-    named = docs.withColumn("_digest", F.md5(F.encode("text", "UTF-8")))
-    found = templates.leaks(named, table(spark, sf_dir, "benchmark"), key="_digest").select("_digest").distinct()
-    return named.join(found, "_digest", "left_anti").select(docs.columns)
+    named = packed(docs, digest=F.md5(F.encode("text", "UTF-8")), text=F.col("text"))
+    found = templates.leaks(named, table(spark, sf_dir, "benchmark"), key="digest").select(F.col("digest").alias("leaked")).distinct()
+    kept = named.join(found, F.col("digest") == F.col("leaked"), "left_anti")
+    return kept.select(*unpacked(kept, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +48,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return hilbert.shard(docs, DIMS, within="mix_pos").select("doc_id", "size", "shard", "slot", "mix_pos")
+    """All columns, and size, shard and slot; ``mix_pos`` numbers the rows, each once."""
+    placed = hilbert.shard(docs.select("doc_id", "text", "lang", "source", "n_chars", "mix_pos"), DIMS, within="mix_pos").select(
+        F.col("mix_pos").alias("at"), "size", "shard", "slot")
+    both = packed(docs, place=F.col("mix_pos")).join(placed, F.col("place") == F.col("at"))
+    kept = [c for c in docs.columns if c not in ("size", "shard", "slot")]
+    return both.select(*unpacked(both, kept), "size", "shard", "slot")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
