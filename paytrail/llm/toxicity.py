@@ -55,7 +55,7 @@ FOLD = 128
 PARTS = 8             # the examples reach the driver in so many parts
 STEM = 4
 DENSE = 0.05
-BATCH = 64            # texts multiplied with the matrix at once
+BATCH = 128           # texts multiplied with the matrix at once
 MARGIN = 1e-4         # far above the error of a single-precision sum of cosines
 K = 11
 PRIOR = 1.0
@@ -93,20 +93,29 @@ class Vocabulary:
         return Vocabulary, (self.hashes,)
 
     def _learn(self, new: list[str]) -> None:
+        # Unknown terms are forgotten now and then; what is not remembered is unknown.
+        if len(self.seen) > len(self.hashes) + 500_000:
+            self.seen = {t: i for t, i in self.seen.items() if i >= 0}
         h = np.array([hashed(t) for t in new], dtype=np.uint64)
         at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
         known = self.hashes[at] == h if len(self.hashes) else np.zeros(len(h), dtype=bool)
         self.seen.update(zip(new, np.where(known, at, -1).tolist()))
 
+    def known(self, text: str | None) -> list[int]:
+        """The numbers of the known terms, in any order."""
+        found = set(terms(text))
+        new = found.difference(self.seen)
+        if new:
+            self._learn(list(new))
+        return [i for t in found if (i := self.seen.get(t, -1)) >= 0]
+
     def count(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers, occurrences) of the known terms, by number."""
         found = Counter(terms(text))
-        if len(self.seen) > 500_000:
-            self.seen.clear()
         new = [t for t in found if t not in self.seen]
         if new:
             self._learn(new)
-        at = np.fromiter(map(self.seen.__getitem__, found), dtype=np.int64, count=len(found))
+        at = np.fromiter((self.seen.get(t, -1) for t in found), dtype=np.int64, count=len(found))
         n = np.fromiter(found.values(), dtype=np.int64, count=len(found))
         order = np.argsort(at)[int((at < 0).sum()):]
         return at[order], n[order]
@@ -131,7 +140,7 @@ class Index:
     empty: float               # score of a text without terms
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("tables", "frequent")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("tables", "frequent", "tops")}
 
     @cached_property
     def frequent(self) -> np.ndarray:
@@ -185,18 +194,38 @@ class Index:
         return next(self.nearest_of([vector], k))
 
     def nearest_of(self, vectors: list, k: int = K) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        matrix, row = self.tables[:2]
-        for start in range(0, len(vectors), BATCH):
-            batch = [self.weights(v) for v in vectors[start:start + BATCH]]
-            asked = np.zeros((len(batch), len(matrix)), np.float32)
-            for i, (at, w) in enumerate(batch):
-                r = row[at]
-                asked[i, r[r >= 0]] = w[r >= 0]
-            for (at, w), common in zip(batch, asked @ matrix):
-                yield self._search(at, w, common, k)
-
-    def _search(self, at: np.ndarray, w: np.ndarray, common: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """``common``: the sums over the frequent terms, in single precision."""
+        """In the order of ``vectors``.  Like texts are multiplied together, those of one
+        language above all, so that a batch needs part of the matrix only."""
+        matrix, row, *_ = self.tables
+        tops = self.tops
+        weighed = [self.weights(v) for v in vectors]
+        rows = [row[at] for at, _ in weighed]
+        alike = [int(np.argmax(w[r >= 0] @ tops[r[r >= 0]])) if (r >= 0).any() else -1 for (_, w), r in zip(weighed, rows)]
+        order = np.argsort(alike, kind="stable").tolist()
+        found: list = [None] * len(vectors)
+        for start in range(0, len(order), BATCH):
+            now = order[start:start + BATCH]
+            used = np.unique(np.concatenate([rows[i][rows[i] >= 0] for i in now]))
+            place = np.zeros(len(matrix) + 1, np.int64)
+            place[used] = np.arange(len(used))
+            asked = np.zeros((len(now), len(used)), np.float32)
+            for j, i in enumerate(now):
+                here = rows[i] >= 0
+                asked[j, place[rows[i][here]]] = weighed[i][1][here]
+            products = asked @ matrix[used]
+            best = products.reshape(len(now), -1, BLOCK).max(axis=2)
+            for j, i in enumerate(now):
+                found[i] = self._search(*weighed[i], products[j], best[j], k)
+        yield from found
+
+    @cached_property
+    def tops(self) -> np.ndarray:
+        """Largest weight of each frequent term in each block."""
+        matrix = self.tables[0]
+        return matrix.reshape(len(matrix), -1, BLOCK).max(axis=2)
+
+    def _search(self, at: np.ndarray, w: np.ndarray, common: np.ndarray, best: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """``common``: the sums over the frequent terms, in single precision; ``best``: the largest of each block."""
         matrix, row, example, weight, entry_at, entry_block, top, post_at = self.tables
         r = row[at]
         rare = r < 0
@@ -204,7 +233,7 @@ class Index:
         entry, q = spans(lo, hi), np.repeat(w[rare], hi - lo)
         block = entry_block[entry]
         blocks = len(common) // BLOCK
-        bounds = common.reshape(blocks, BLOCK).max(axis=1) + np.bincount(block, q * top[entry], blocks)
+        bounds = best + np.bincount(block, q * top[entry], blocks)
         order = np.argsort(-bounds, kind="stable")
         order = order[bounds[order] > 0]
         others = np.zeros(len(common))
@@ -337,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for b in batches:
             for t in b["text"]:
                 n += 1
-                df[sent.value.count(t)[0]] += 1
+                df[sent.value.known(t)] += 1
         some = np.flatnonzero(df)
         yield pd.DataFrame({"term": np.append(some, -1), "n": np.append(df[some], n)})
 
