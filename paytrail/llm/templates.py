@@ -54,45 +54,56 @@ def _is_number(token: Column) -> Column:
     return F.substring(token, 1, 1).between("0", "9")
 
 
-def _typed(tokens: Column) -> Column:
-    """(low, kind) of each token: lower-cased, and its placeholder ('' for a literal word)."""
-    def one(token: Column, i: Column) -> Column:
-        low, first = F.lower(token), F.substring(token, 1, 1)
-        return F.struct(low.alias("low"), F.when(_is_number(token), NUMBER).when(F.lower(first) != first, NAME).when(
-            low.isin(*UNITS) & F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False)), UNIT).otherwise("").alias("kind"))
-    return F.transform(tokens, one)
+def _is_name(token: Column) -> Column:
+    first = F.substring(token, 1, 1)
+    return F.lower(first) != first
+
+
+def _is_unit(tokens: Column, token: Column, i: Column) -> Column:
+    return F.lower(token).isin(*UNITS) & F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False))
+
+
+def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_t")).where("_t is not null") \
+        .select("_key", F.xxhash64("_t").alias("_text"), _tokens(F.col("_t")).alias("tokens"))
+
+
+def _hashes(tokens: Column) -> Column:
+    """The hash of each canonical token."""
+    marks = {m: F.xxhash64(F.lit(m)) for m in (NUMBER, NAME, UNIT)}
+    return F.transform(tokens, lambda t, i: F.when(_is_number(t), marks[NUMBER]).when(_is_name(t), marks[NAME]).when(
+        _is_unit(tokens, t, i), marks[UNIT]).otherwise(F.xxhash64(F.lower(t))))
+
+
+def _slots(tokens: Column) -> Column:
+    """The lower-cased value at each placeholder, '' at a literal word."""
+    return F.transform(tokens, lambda t, i: F.when(
+        _is_number(t) | _is_name(t) | _is_unit(tokens, t, i), F.lower(t)).otherwise(""))
 
 
 def templates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(_key, _text, n, canon, h, v, slots): canonical tokens, their hashes, the hashes of
-    the values, and the value at each placeholder ('' at a literal word)."""
-    rows = df.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_t")).where("_t is not null") \
-        .withColumn("_tokens", _tokens(F.col("_t"))).withColumn("x", _typed(F.col("_tokens")))
-    word = lambda x: F.when(x["kind"] == "", x["low"]).otherwise(x["kind"])
-    return rows.select("_key", F.xxhash64("_t").alias("_text"), F.size("x").alias("n"), F.transform("x", word).alias("canon"),
-                       F.transform("x", lambda x: F.xxhash64(word(x))).alias("h"),
-                       F.transform("x", lambda x: F.xxhash64(x["low"])).alias("v"),
-                       F.transform("x", lambda x: F.when(x["kind"] == "", "").otherwise(x["low"])).alias("slots"))
-
-
-def _weak(slots: Column, at: Column, width: int) -> Column:
+    """(_key, _text, n, h, v, slots): hashes of the canonical tokens, hashes of the
+    values, and the value at each placeholder."""
+    t = F.col("tokens")
+    return _rows(df, key, text).select("_key", "_text", F.size(t).alias("n"), _hashes(t).alias("h"),
+                                       F.transform(t, lambda x: F.xxhash64(F.lower(x))).alias("v"), _slots(t).alias("slots"))
+
+
+def _weak(slots: Column, at: Column, width: Column) -> Column:
     """Does the window at ``at`` have fewer than half literal words?"""
     return F.size(F.array_remove(F.slice(slots, at, width), "")) * 2 > width
 
 
-def windows(rows: DataFrame, widths: list[int]) -> DataFrame:
-    """(_key, _text, n, width, pos, hash, slots): every window of the ``widths``."""
-    def of(width: int) -> Column:
-        at = F.when(F.size("h") >= width, F.sequence(F.lit(1), F.size("h") - (width - 1))).otherwise(
+def windows(rows: DataFrame, widths: list[tuple[int, str]]) -> DataFrame:
+    """(_key, _text, n, width, values, pos, hash): windows of token hashes; for each of
+    ``widths``, of the width and over the column (``h`` or ``v``) that it names."""
+    def of(width: int, over: str) -> Column:
+        at = F.when(F.size(over) >= width, F.sequence(F.lit(1), F.size(over) - (width - 1))).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(
-            F.lit(width).alias("width"), i.alias("pos"),
-            F.when(_weak(F.col("slots"), i, width), F.xxhash64(F.lit(-width), F.slice("v", i, width)))
-            .otherwise(F.xxhash64(F.lit(width), F.slice("h", i, width))).alias("hash"),
-            F.array_join(F.slice("slots", i, width), _SEP).alias("slots")))
-    made = of(widths[0]) if len(widths) == 1 else F.flatten(F.array(*[of(w) for w in widths]))
-    return rows.select("_key", "_text", "n", "h", "v", "slots").select("_key", "_text", "n", F.explode(made).alias("w")) \
-        .select("_key", "_text", "n", "w.*")
+        return F.transform(at, lambda i: F.struct(F.lit(width).alias("width"), F.lit(over == "v").alias("values"), i.alias("pos"),
+                                                  F.xxhash64(F.lit(width), F.slice(over, i, width)).alias("hash")))
+    made = of(*widths[0]) if len(widths) == 1 else F.flatten(F.array(*[of(*w) for w in widths]))
+    return rows.select("_key", "_text", "n", F.explode(made).alias("w")).select("_key", "_text", "n", "w.*")
 
 
 def item_classes(items: DataFrame, item: str, item_text: str, width: int) -> DataFrame:
@@ -103,12 +114,11 @@ def item_classes(items: DataFrame, item: str, item_text: str, width: int) -> Dat
     rows = templates(unique.withColumn("_s", F.struct("_i", "n_items")), "_s", "_t").where("n > 0") \
         .withColumn("width", F.least("n", F.lit(width))).withColumn("pattern", F.transform("slots", lambda x: F.when(
             x == "", "").otherwise(F.array_position("slots", x).cast("string"))))
-    bound = F.exists(F.sequence(F.lit(1), F.col("n") - F.col("width") + 1), lambda i: F.size(F.array_remove(
-        F.slice("slots", i, F.col("width")), "")) * 2 > F.col("width"))
+    bound = F.exists(F.sequence(F.lit(1), F.col("n") - F.col("width") + 1), lambda i: _weak(F.col("slots"), i, F.col("width")))
     return rows.withColumn("same", F.when(bound, F.col("slots")).otherwise(F.col("pattern"))) \
-        .groupBy("canon", "same", "n", "width").agg(
+        .groupBy("h", "same", "n", "width").agg(
             F.struct(F.min("_key._i").alias("_i"), F.sum("_key.n_items").alias("n_items")).alias("_key"), F.min("_text").alias("_text"),
-            *[F.min(c).alias(c) for c in ("h", "v", "slots", "pattern")])
+            *[F.min(c).alias(c) for c in ("v", "slots", "pattern")])
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
@@ -121,15 +131,30 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             key, F.lit(None).cast(dict(items.dtypes)[item]).alias(item), F.lit(0).cast("long").alias("n_items"),
             F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("n_slots"), F.lit(0.0).alias("coverage"))
     # The windows of the classes are stored, so that their bytes tell Spark how to join them.
-    own = windows(bench.withColumn("_key", F.struct("_key", "width", "pattern")), widths).where("width = _key.width")
+    named = bench.withColumn("_key", F.struct("_key", "width", "pattern", "slots"))
+    own = windows(named, [(w, over) for w in widths for over in "hv"]).where("width = _key.width").where(
+        F.col("values") == _weak(F.col("_key.slots"), F.col("pos"), F.col("width")))
     mine = materialize(own.select(
         F.col("hash").alias("i_hash"), F.col("_key._key").alias("item"), F.col("n").alias("n_tokens"), "width",
-        F.col("pos").alias("ipos"), F.array_join(F.slice("_key.pattern", F.col("pos"), F.col("width")), _SEP).alias("islots")), "windows")
-    theirs = windows(templates(docs, key, text), widths).select(
-        F.col("_key").alias("doc"), "_text", "n", "pos", "hash", F.col("width").alias("d_width"), F.col("slots").alias("dslots"))
-    hits = theirs.join(mine, (F.col("hash") == F.col("i_hash")) & (F.col("d_width") == F.col("width"))
-                       & ((F.col("n_tokens") >= MIN_TOKENS) | (F.col("n") == F.col("n_tokens")))).select(
-        "doc", "_text", "item", "n_tokens", "width", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "islots", "dslots")
+        F.col("values").alias("i_values"), F.col("pos").alias("ipos"),
+        F.array_join(F.slice("_key.pattern", F.col("pos"), F.col("width")), _SEP).alias("islots")), "windows")
+    # Texts are hashed by their values only for widths at which some item needs that.
+    kinds = [(r[0], "v" if r[1] else "h") for r in mine.select("width", "i_values").distinct().orderBy("width", "i_values").collect()]
+    rows = _rows(docs, key, text).select("_key", "_text", F.size("tokens").alias("n"), _hashes(F.col("tokens")).alias("h"), *[
+        F.transform("tokens", lambda x: F.xxhash64(F.lower(x))).alias("v") for _ in range(any(k == "v" for _, k in kinds))])
+    met = materialize(windows(rows, kinds).select(
+        F.col("_key").alias("doc"), "_text", "n", "pos", "hash", F.col("width").alias("d_width"), "values").join(
+        mine, (F.col("hash") == F.col("i_hash")) & (F.col("d_width") == F.col("width")) & (F.col("values") == F.col("i_values"))
+        & ((F.col("n_tokens") >= MIN_TOKENS) | (F.col("n") == F.col("n_tokens")))).select(
+        "doc", "_text", "item", "n_tokens", "width", "ipos", "pos", "islots"), "met")
+    # Values are taken from the texts with a hit alone.
+    hit = met.select(F.col("doc").alias("h_doc"), F.col("_text").alias("h_text")).distinct()
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_t")).where("_t is not null")
+    values = texts.join(hit, F.col("_key").eqNullSafe(F.col("h_doc")) & (F.xxhash64("_t") == F.col("h_text")), "left_semi").distinct()
+    values = _rows(values, "_key", "_t").select(F.col("_key").alias("h_doc"), F.col("_text").alias("h_text"), _slots(F.col("tokens")).alias("all"))
+    hits = met.join(values, F.col("doc").eqNullSafe(F.col("h_doc")) & (F.col("_text") == F.col("h_text"))).select(
+        "doc", "_text", "item", "n_tokens", "width", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "islots",
+        F.array_join(F.slice("all", F.col("pos"), F.col("width")), _SEP).alias("dslots"))
     pairs = F.filter(F.zip_with(F.split("islots", _SEP, -1), F.split("dslots", _SEP, -1),
                                 lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda p: p["a"] != "")
     alignment = ["doc", "_text", "item", "n_tokens", "width", "shift"]
