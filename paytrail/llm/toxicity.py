@@ -94,7 +94,7 @@ class Vocabulary:
 
     def _learn(self, new: list[str]) -> None:
         # Unknown terms are forgotten now and then; what is not remembered is unknown.
-        if len(self.seen) > len(self.hashes) + 500_000:
+        if len(self.seen) > len(self.hashes) + 50_000:
             self.seen = {t: i for t, i in self.seen.items() if i >= 0}
         h = np.array([hashed(t) for t in new], dtype=np.uint64)
         at = np.minimum(np.searchsorted(self.hashes, h), max(0, len(self.hashes) - 1))
@@ -162,9 +162,10 @@ class Index:
         row = np.full(len(self.size), -1, np.int32)
         row[self.frequent] = np.arange(len(self.frequent))
         matrix = np.zeros((len(self.frequent), -(-len(self.ids) // BLOCK) * BLOCK), np.float32)
-        here = row[term]
-        matrix[here[here >= 0], example[here >= 0]] = weight[here >= 0]
-        term, weight, example = term[here < 0], weight[here < 0], example[here < 0]
+        common = row[term] >= 0
+        matrix[row[term[common]], example[common]] = weight[common]
+        common = ~common
+        term, weight, example = term[common], weight[common], example[common]
         block = example // BLOCK
         new = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
         top = np.maximum.reduceat(weight, new) if len(new) else weight
@@ -400,14 +401,17 @@ def score(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
 
     @F.pandas_udf("score double, evidence array<long>")
     def nearest(texts: pd.Series) -> pd.DataFrame:
-        index = sent.value
-        vectors = [index.vector(t) for t in texts]
-        names = [None if not len(v[0]) and not (t and _WORD.search(t)) else (v[0].tobytes(), v[1].tobytes())
-                 for t, v in zip(texts, vectors)]
-        distinct = {n: v for n, v in zip(names, vectors) if n is not None}
-        known = dict(zip(distinct, index.scores(list(distinct.values()))))
-        known[None] = (index.empty, [])
-        return pd.DataFrame([known[n] for n in names], columns=["score", "evidence"])
+        index, out = sent.value, []
+        for start in range(0, len(texts), BATCH * 4):  # the vectors of so many texts are held at once
+            part = texts.iloc[start:start + BATCH * 4]
+            vectors = [index.vector(t) for t in part]
+            names = [None if not len(v[0]) and not (t and _WORD.search(t)) else (v[0].tobytes(), v[1].tobytes())
+                     for t, v in zip(part, vectors)]
+            distinct = {n: v for n, v in zip(names, vectors) if n is not None}
+            known = dict(zip(distinct, index.scores(list(distinct.values()))))
+            known[None] = (index.empty, [])
+            out += [known[n] for n in names]
+        return pd.DataFrame(out, columns=["score", "evidence"])
 
     scored = docs.withColumn("_scored", nearest(F.col(text).cast("string")))
     return scored.withColumn("score", F.col("_scored.score")).withColumn("evidence", F.col("_scored.evidence")) \
