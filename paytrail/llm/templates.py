@@ -60,7 +60,8 @@ def _is_name(token: Column) -> Column:
 
 
 def _is_unit(tokens: Column, token: Column, i: Column) -> Column:
-    return F.lower(token).isin(*UNITS) & F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False))
+    # The token before decides for most tokens already.
+    return F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False)) & F.lower(token).isin(*UNITS)
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
