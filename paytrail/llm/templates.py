@@ -25,6 +25,9 @@ columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,7 @@ UNITS = ("mm cm m km inch inches ft foot feet yd yard yards mi mile miles mg g k
 # Placeholders: digits, as every number of a text becomes NUMBER.
 NUMBER, NAME, UNIT = "0", "1", "2"
 _SEP = "\x01"
+Of = Callable[[Column], Column]
 
 
 def _tokens(text: Column) -> Column:
@@ -50,18 +54,16 @@ def _tokens(text: Column) -> Column:
     return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+", -1), "")
 
 
-def _is_number(token: Column) -> Column:
-    return F.substring(token, 1, 1).between("0", "9")
-
-
-def _is_name(token: Column) -> Column:
-    first = F.substring(token, 1, 1)
-    return F.lower(first) != first
-
-
-def _is_unit(tokens: Column, token: Column, i: Column) -> Column:
-    # The token before decides for most tokens already.
-    return F.coalesce(_is_number(F.get(tokens, i - 1)), F.lit(False)) & F.lower(token).isin(*UNITS)
+def _marked(tokens: Column, number: Of, name: Of, unit: Of, word: Of) -> Column:
+    """Each token as its placeholder, or as ``word`` of it.  Tokens hold letters and digits alone, so
+    plain comparisons tell their first character: digits, capitals, small letters, all others."""
+    def one(t: Column, i: Column) -> Column:
+        # The token before decides for most tokens already.
+        is_unit = F.coalesce(F.get(tokens, i - 1) < ":", F.lit(False)) & F.lower(t).isin(*UNITS)
+        first = F.substring(t, 1, 1)
+        return F.when(t < ":", number(t)).when(t < "[", name(t)).when(
+            (t >= "{") & (F.lower(first) != first), name(t)).when(is_unit, unit(t)).otherwise(word(t))
+    return F.transform(tokens, one)
 
 
 def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -71,15 +73,13 @@ def _rows(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def _hashes(tokens: Column) -> Column:
     """The hash of each canonical token."""
-    marks = {m: F.xxhash64(F.lit(m)) for m in (NUMBER, NAME, UNIT)}
-    return F.transform(tokens, lambda t, i: F.when(_is_number(t), marks[NUMBER]).when(_is_name(t), marks[NAME]).when(
-        _is_unit(tokens, t, i), marks[UNIT]).otherwise(F.xxhash64(F.lower(t))))
+    mark = [lambda _, m=m: F.xxhash64(F.lit(m)) for m in (NUMBER, NAME, UNIT)]
+    return _marked(tokens, *mark, lambda t: F.xxhash64(F.lower(t)))
 
 
 def _slots(tokens: Column) -> Column:
     """The lower-cased value at each placeholder, '' at a literal word."""
-    return F.transform(tokens, lambda t, i: F.when(
-        _is_number(t) | _is_name(t) | _is_unit(tokens, t, i), F.lower(t)).otherwise(""))
+    return _marked(tokens, F.lower, F.lower, F.lower, lambda t: F.lit(""))
 
 
 def templates(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -95,16 +95,22 @@ def _weak(slots: Column, at: Column, width: Column) -> Column:
     return F.size(F.array_remove(F.slice(slots, at, width), "")) * 2 > width
 
 
-def windows(rows: DataFrame, widths: list[tuple[int, str]]) -> DataFrame:
-    """(_key, _text, n, width, values, pos, hash): windows of token hashes; for each of
-    ``widths``, of the width and over the column (``h`` or ``v``) that it names."""
+def windows(rows: DataFrame, kinds: list[tuple[int, str]]) -> DataFrame:
+    """(_key, _text, n, at, hash): windows of token hashes, for each of ``kinds`` of its width
+    over the column (``h`` or ``v``) that it names.  The kind is part of the hash; ``at``
+    counts through the kinds one after the other (see :func:`place`)."""
     def of(width: int, over: str) -> Column:
-        at = F.when(F.size(over) >= width, F.sequence(F.lit(1), F.size(over) - (width - 1))).otherwise(
+        starts = F.when(F.size(over) >= width, F.sequence(F.lit(1), F.size(over) - (width - 1))).otherwise(
             F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(F.lit(width).alias("width"), F.lit(over == "v").alias("values"), i.alias("pos"),
-                                                  F.xxhash64(F.lit(width), F.slice(over, i, width)).alias("hash")))
-    made = of(*widths[0]) if len(widths) == 1 else F.flatten(F.array(*[of(*w) for w in widths]))
-    return rows.select("_key", "_text", "n", F.explode(made).alias("w")).select("_key", "_text", "n", "w.*")
+        return F.transform(starts, lambda i: F.xxhash64(F.lit(f"{over}{width}"), F.slice(over, i, width)))
+    made = of(*kinds[0]) if len(kinds) == 1 else F.concat(*[of(*k) for k in kinds])
+    return rows.select("_key", "_text", "n", F.posexplode(made).alias("at", "hash"))
+
+
+def place(kinds: list[tuple[int, str]], kind: tuple[int, str], n: Column, at: Column) -> Column:
+    """The first token (from 1) of the window that :func:`windows` counts as ``at``, if it is of ``kind``."""
+    before = [F.greatest(n - (width - 1), F.lit(0)) for width, _ in kinds[:kinds.index(kind)]]
+    return at + 1 - sum(before, F.lit(0))
 
 
 def item_classes(items: DataFrame, item: str, item_text: str, width: int) -> DataFrame:
@@ -133,25 +139,27 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
             F.lit(0).cast("long").alias("n_windows"), F.lit(0).alias("n_slots"), F.lit(0.0).alias("coverage"))
     # The windows of the classes are stored, so that their bytes tell Spark how to join them.
     named = bench.withColumn("_key", F.struct("_key", "width", "pattern", "slots"))
-    own = windows(named, [(w, over) for w in widths for over in "hv"]).where("width = _key.width").where(
-        F.col("values") == _weak(F.col("_key.slots"), F.col("pos"), F.col("width")))
-    mine = materialize(own.select(
-        F.col("hash").alias("i_hash"), F.col("_key._key").alias("item"), F.col("n").alias("n_tokens"), "width",
-        F.col("values").alias("i_values"), F.col("pos").alias("ipos"),
-        F.array_join(F.slice("_key.pattern", F.col("pos"), F.col("width")), _SEP).alias("islots")), "windows")
+    made = []
+    for width, over in [(w, over) for w in widths for over in "hv"]:
+        own = windows(named.where(F.col("width") == width), [(width, over)]).withColumn("ipos", F.col("at") + 1)
+        made.append(own.where(_weak(F.col("_key.slots"), F.col("ipos"), F.lit(width)) == F.lit(over == "v")).select(
+            F.col("hash").alias("i_hash"), F.col("_key._key").alias("item"), F.col("n").alias("n_tokens"),
+            F.lit(width).alias("width"), F.lit(over).alias("over"), "ipos",
+            F.array_join(F.slice("_key.pattern", F.col("ipos"), F.lit(width)), _SEP).alias("islots")))
+    mine = materialize(reduce(DataFrame.unionByName, made), "windows")
     # Texts are hashed by their values only for widths at which some item needs that.
-    kinds = [(r[0], "v" if r[1] else "h") for r in mine.select("width", "i_values").distinct().orderBy("width", "i_values").collect()]
+    kinds = [tuple(r) for r in mine.select("width", "over").distinct().orderBy("width", "over").collect()]
     rows = _rows(docs, key, text).select("_key", "_text", F.size("tokens").alias("n"), _hashes(F.col("tokens")).alias("h"), *[
         F.transform("tokens", lambda x: F.xxhash64(F.lower(x))).alias("v") for _ in range(any(k == "v" for _, k in kinds))])
-    met = materialize(windows(rows, kinds).select(
-        F.col("_key").alias("doc"), "_text", "n", "pos", "hash", F.col("width").alias("d_width"), "values").join(
-        mine, (F.col("hash") == F.col("i_hash")) & (F.col("d_width") == F.col("width")) & (F.col("values") == F.col("i_values"))
-        & ((F.col("n_tokens") >= MIN_TOKENS) | (F.col("n") == F.col("n_tokens")))).select(
-        "doc", "_text", "item", "n_tokens", "width", "ipos", "pos", "islots"), "met")
-    # Values are taken from the texts with a hit alone.
+    pos = F.coalesce(*[F.when((F.col("width") == k[0]) & (F.col("over") == k[1]), place(kinds, k, F.col("n"), F.col("at")))
+                       for k in kinds])
+    met = materialize(windows(rows, kinds).join(
+        mine, (F.col("hash") == F.col("i_hash")) & ((F.col("n_tokens") >= MIN_TOKENS) | (F.col("n") == F.col("n_tokens")))).select(
+        F.col("_key").alias("doc"), "_text", "item", "n_tokens", "width", "ipos", pos.alias("pos"), "islots"), "met")
+    # Values are taken from the texts with a hit alone.  Hits grow with the documents: never broadcast.
     hit = met.select(F.col("doc").alias("h_doc"), F.col("_text").alias("h_text")).distinct()
     texts = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_t")).where("_t is not null")
-    values = texts.join(hit, F.col("_key").eqNullSafe(F.col("h_doc")) & (F.xxhash64("_t") == F.col("h_text")), "left_semi").distinct()
+    values = texts.join(hit.hint("merge"), F.col("_key").eqNullSafe(F.col("h_doc")) & (F.xxhash64("_t") == F.col("h_text")), "left_semi").distinct()
     values = _rows(values, "_key", "_t").select(F.col("_key").alias("h_doc"), F.col("_text").alias("h_text"), _slots(F.col("tokens")).alias("all"))
     hits = met.join(values, F.col("doc").eqNullSafe(F.col("h_doc")) & (F.col("_text") == F.col("h_text"))).select(
         "doc", "_text", "item", "n_tokens", "width", "ipos", (F.col("pos") - F.col("ipos")).alias("shift"), "islots",
