@@ -56,6 +56,8 @@ def run(spark: SparkSession, sf_dir: str, out: str | None = None,
     times["stage"] = round(time.time() - t0, 3)
     t = wh.staged()
 
+    if own is not None:
+        write("rejected_rows", wh.rejected())
     for name in PROFILE:
         write(name, catalog.QUERIES[name](spark, sf_dir))
 

@@ -1,5 +1,7 @@
 """Schemas of the six workforce tables (raw and staged share them)."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import types as T
 
 EMPLOYEE = T.StructType([
@@ -53,6 +55,24 @@ SCHEMAS = {
     "department": DEPARTMENT,
 }
 
+# Columns that hold the same key.
+KEY_COLUMNS = (
+    (("employee", "id"), *((t, "employee_id") for t in ("title", "salary", "department_employee", "department_manager"))),
+    (("department", "id"), ("department_employee", "department_id"), ("department_manager", "department_id")),
+)
+
+
+def negotiated(found: Mapping[str, T.StructType]) -> dict[str, T.StructType]:
+    """The declared schemas with each key in the type that its ``found`` columns share:
+    LONG if all are integers, else STRING."""
+    types = {}
+    for columns in KEY_COLUMNS:
+        whole = all(isinstance(found[t][c].dataType, T.IntegralType) for t, c in columns)
+        types |= {column: T.LongType() if whole else T.StringType() for column in columns}
+    return {t: T.StructType([T.StructField(f.name, types.get((t, f.name), f.dataType)) for f in schema])
+            for t, schema in SCHEMAS.items()}
+
+
 # Tables whose rows are validity periods.
 SCD_TABLES = ("title", "salary", "department_employee", "department_manager")
 

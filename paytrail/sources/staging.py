@@ -8,9 +8,11 @@ import hashlib
 import inspect
 import threading
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paytrail.config import OPEN_END, SHIFT_YEARS, checkpoint_root
 from paytrail.functions.dates import add_years, shift_date
@@ -28,17 +30,39 @@ BUCKET_BYTES = 1 << 30
 TABLES = ("department", "department_employee", "department_manager", "employee", "salary", "title")
 
 
+def _source_tables(spark: SparkSession, source: str) -> dict[str, DataFrame]:
+    if source.startswith("catalog:"):
+        return {n: spark.table(f"{source.removeprefix('catalog:')}.{n}") for n in TABLES}
+    return {n: spark.read.parquet(f"{source.rstrip('/')}/{n}") for n in TABLES}
+
+
+def _lost(df: DataFrame, schema: T.StructType) -> Column:
+    """The columns whose value does not fit the type of ``schema``."""
+    return F.array_compact(F.array(*[F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), F.lit(f.name))
+                                     for f in schema]))
+
+
 def read_tables(spark: SparkSession, source: str) -> dict[str, DataFrame]:
     """The six raw tables of ``source``: a folder with one parquet table each
     (``<folder>/employee`` ...), or ``catalog:<database>`` for catalog tables.
-    Columns are taken by name and cast to the declared types; others are ignored."""
-    def read(name: str) -> DataFrame:
-        if source.startswith("catalog:"):
-            df = spark.table(f"{source.removeprefix('catalog:')}.{name}")
-        else:
-            df = spark.read.parquet(f"{source.rstrip('/')}/{name}")
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[name]])
-    return {name: read(name) for name in TABLES}
+    Columns are taken by name, others are ignored.  Keys keep the type that the source
+    gives them (see :func:`schemas.negotiated`), other columns get the declared type.  Rows
+    with a value that does not fit its type are left out; :func:`rejected_rows` has them."""
+    found = _source_tables(spark, source)
+    wanted = schemas.negotiated({n: df.schema for n, df in found.items()})
+    return {n: df.where(F.size(_lost(df, wanted[n])) == 0).select(
+        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in wanted[n]]) for n, df in found.items()}
+
+
+def rejected_rows(spark: SparkSession, source: str) -> DataFrame:
+    """(table_name, columns, row): each row that :func:`read_tables` leaves out, as JSON,
+    with the columns whose values do not fit."""
+    found = _source_tables(spark, source)
+    wanted = schemas.negotiated({n: df.schema for n, df in found.items()})
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(n).alias("table_name"), _lost(df, wanted[n]).alias("columns"),
+                  F.to_json(F.struct(*[F.col(f.name) for f in wanted[n]])).alias("row")).where(F.size("columns") > 0)
+        for n, df in found.items()])
 
 
 def stage_table(name: str, df: DataFrame, years: int = SHIFT_YEARS) -> DataFrame:
@@ -95,6 +119,10 @@ class Warehouse:
         self.spark = spark
         self.source = source.rstrip("/")
         self.given = tables
+        own = self._tables()
+        # Keys have the types that the given tables give them.
+        self.schemas = schemas.SCHEMAS if own is None else {
+            n: T.StructType([own[n].schema[c] for c in schemas.SCHEMAS[n].fieldNames()]) for n in TABLES}
         self.version = self.input_version()
         if root is None:
             tag = hashlib.sha1(self.source.encode()).hexdigest()[:10]
@@ -134,6 +162,8 @@ class Warehouse:
         if _exists(self.spark, f"{self.root}/_COMPLETE"):
             # A finished build is never written over: a forced one gets a folder of its own.
             self.root = f"{self.root}-{uuid.uuid4().hex[:8]}"
+        if self.source.startswith("tables:"):
+            rejected_rows(self.spark, self.source.removeprefix("tables:")).write.mode("overwrite").parquet(self._path("quality", "rejected"))
         raw = self._tables() or fixtures.derive_raw(fixtures.read_driver_tables(self.spark, self.source),
                                                     materialize=lambda df: materialize(df, "fixture"))
         for name in TABLES:
@@ -181,7 +211,12 @@ class Warehouse:
         return self.spark.read.parquet(self._path("staged", name))
 
     def _raw(self) -> dict[str, DataFrame]:
-        return {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("raw", n)) for n in TABLES}
+        return {n: self.spark.read.schema(self.schemas[n]).parquet(self._path("raw", n)) for n in TABLES}
+
+    def rejected(self) -> DataFrame:
+        """The rows of ``tables:SOURCE`` that are left out (see :func:`rejected_rows`)."""
+        self.build()
+        return self.spark.read.parquet(self._path("quality", "rejected"))
 
     def raw(self) -> dict[str, DataFrame]:
         self.build()
@@ -189,8 +224,8 @@ class Warehouse:
 
     def staged(self) -> Tables:
         self.build()
-        columns = {n: schemas.SCHEMAS[n].fieldNames() for n in TABLES}
-        frames = {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("staged", n))
+        columns = {n: self.schemas[n].fieldNames() for n in TABLES}
+        frames = {n: self.spark.read.schema(self.schemas[n]).parquet(self._path("staged", n))
                   for n in TABLES if n not in FACTS and n != "employee"}
         whole = {n: self._clustered(n) for n in (*FACTS, "employee")}
         frames |= {n: df.select(columns[n]) for n, df in whole.items()}
@@ -198,7 +233,7 @@ class Warehouse:
         if not _exists(self.spark, self._path("heavy", "keys")):
             return ordinary
         keys = self.spark.read.parquet(self._path("heavy", "keys"))
-        apart = {n: self.spark.read.schema(schemas.SCHEMAS[n]).parquet(self._path("heavy", n)) for n in FACTS}
+        apart = {n: self.spark.read.schema(self.schemas[n]).parquet(self._path("heavy", n)) for n in FACTS}
         united = {n: df.unionByName(apart[n]) if n in FACTS else df for n, df in frames.items()}
         return Tables.united(united, [ordinary, Tables({**frames, **apart}, heavy=keys)])
 
