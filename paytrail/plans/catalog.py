@@ -20,7 +20,7 @@ from paytrail.operators import profile
 from paytrail.operators.joins import beside
 from paytrail.operators.scd import current
 from paytrail.operators.tables import Tables, unite
-from paytrail.plans import dashboard, history, requirements
+from paytrail.plans import dashboard, history, requirements, sketched
 from paytrail.plans.benchmark import benchmark, stored_benchmark
 from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_steps
 from paytrail.sources.schemas import PERSON_KEYS, UNIQUE_KEYS
@@ -347,6 +347,18 @@ def department_history_months(spark, sf_dir):
     return requirements.department_months(staged(spark, sf_dir), AS_OF)
 
 
+# ---- sketches ------------------------------------------------------------
+
+def distinct_sketch_audit(spark, sf_dir):
+    return sketched.distinct_audit(staged(spark, sf_dir))
+
+
+def _quartile_audit(level):
+    def q(spark, sf_dir):
+        return sketched.quartile_audit(_snap(spark, sf_dir), level)
+    return q
+
+
 QUERIES: dict[str, Query] = {
     "preview_employee": preview_employee,
     **{f"preview_{n}": _preview(n) for n in ("title", "salary", "department_employee",
@@ -412,4 +424,6 @@ QUERIES: dict[str, Query] = {
     "average_payrise": average_payrise,
     "title_history_months": title_history_months,
     "department_history_months": department_history_months,
+    "distinct_sketch_audit": distinct_sketch_audit,
+    **{f"quartile_sketch_audit_{level}": _quartile_audit(level) for level in dashboard.LEVELS},
 }
