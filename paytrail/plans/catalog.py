@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +28,13 @@ from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_st
 from paytrail.sources.schemas import PERSON_KEYS, UNIQUE_KEYS
 from paytrail.sources.staging import stage_table, warehouse
 
-AS_OF: dt.date = AS_OF_DEFAULT
 Query = Callable[[SparkSession, str], DataFrame]
+_RUN_DATE: ContextVar[dt.date] = ContextVar("run_date", default=AS_OF_DEFAULT)
+
+
+def as_of() -> dt.date:
+    """The run date of the query that is being built."""
+    return _RUN_DATE.get()
 
 
 def staged(spark: SparkSession, sf_dir: str) -> Tables:
@@ -39,7 +46,7 @@ def raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def _snap(spark, sf_dir, with_manager=True):
-    return current_snapshot(staged(spark, sf_dir), AS_OF, with_manager)
+    return current_snapshot(staged(spark, sf_dir), as_of(), with_manager)
 
 
 # ---- staging -------------------------------------------------------------
@@ -218,19 +225,19 @@ def department_managers(spark, sf_dir):
 def tenure_years(spark, sf_dir):
     e = staged(spark, sf_dir)["employee"]
     return e.select(F.col("id").alias("employee_id"), "hire_date",
-                    year_diff(AS_OF, "hire_date").alias("company_tenure_years"))
+                    year_diff(as_of(), "hire_date").alias("company_tenure_years"))
 
 
 def employee_age(spark, sf_dir):
     e = staged(spark, sf_dir)["employee"]
     return e.select(F.col("id").alias("employee_id"), "birth_date",
-                    year_diff(AS_OF, "birth_date").alias("employee_age"))
+                    year_diff(as_of(), "birth_date").alias("employee_age"))
 
 
 def title_tenure_months(spark, sf_dir):
     t = staged(spark, sf_dir)["title"]
     return t.select("employee_id", "title", "from_date",
-                    age_months_field(AS_OF, "from_date").alias("title_tenure_months"))
+                    age_months_field(as_of(), "from_date").alias("title_tenure_months"))
 
 
 def employee_names(spark, sf_dir):
@@ -303,7 +310,7 @@ def history_lags(spark, sf_dir):
 
 
 def _events(spark, sf_dir):
-    return history.with_events(history.history_base(staged(spark, sf_dir), AS_OF))
+    return history.with_events(history.history_base(staged(spark, sf_dir), as_of()))
 
 
 def employee_events(spark, sf_dir):
@@ -325,26 +332,26 @@ def _vs(name):
 
 
 def historic_employee_records(spark, sf_dir):
-    return history.historic_employee_records(staged(spark, sf_dir), AS_OF)
+    return history.historic_employee_records(staged(spark, sf_dir), as_of())
 
 
 def employee_deep_dive(spark, sf_dir):
-    return history.employee_deep_dive(staged(spark, sf_dir), AS_OF)
+    return history.employee_deep_dive(staged(spark, sf_dir), as_of())
 
 
 # ---- requirements stated but not computed in the original ----------------
 
 def average_payrise(spark, sf_dir):
-    snap = current_snapshot(staged(spark, sf_dir), AS_OF, keep_previous=True)
+    snap = current_snapshot(staged(spark, sf_dir), as_of(), keep_previous=True)
     return requirements.average_payrise(snap)
 
 
 def title_history_months(spark, sf_dir):
-    return requirements.title_months(staged(spark, sf_dir), AS_OF)
+    return requirements.title_months(staged(spark, sf_dir), as_of())
 
 
 def department_history_months(spark, sf_dir):
-    return requirements.department_months(staged(spark, sf_dir), AS_OF)
+    return requirements.department_months(staged(spark, sf_dir), as_of())
 
 
 # ---- sketches ------------------------------------------------------------
@@ -427,3 +434,19 @@ QUERIES: dict[str, Query] = {
     "distinct_sketch_audit": distinct_sketch_audit,
     **{f"quartile_sketch_audit_{level}": _quartile_audit(level) for level in dashboard.LEVELS},
 }
+
+
+def _at(query: Query, day: dt.date) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = _RUN_DATE.set(day)
+        try:
+            return query(spark, sf_dir)
+        finally:
+            _RUN_DATE.reset(token)
+    return run
+
+
+def queries(day: dt.date | None = None) -> dict[str, Query]:
+    """The named queries, all of them at one run date (default ``AS_OF_DEFAULT``)."""
+    return dict(QUERIES) if day is None else {name: _at(query, day) for name, query in QUERIES.items()}
