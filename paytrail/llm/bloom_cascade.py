@@ -210,15 +210,23 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(u, _URL, 2)
 
 
-def candidates(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All host suffixes at label borders joined with the path prefixes of the
-    given lengths: every rule string that could fit the url."""
+def shapes(rules: DataFrame, rule: str) -> list[tuple[int, int]]:
+    """The pairs (labels of the host, length of the path) that rules have."""
+    slash = F.instr(rule, "/")
+    host = F.when(slash == 0, F.col(rule)).otherwise(F.substring(F.col(rule), F.lit(1), slash - 1))
+    length = F.when(slash == 0, 0).otherwise(F.length(rule) - slash + 1)
+    found = rules.where(F.col(rule).isNotNull()).select(F.size(F.split(host, r"\.")).alias("labels"), length.alias("length"))
+    return sorted((r.labels, r.length) for r in found.distinct().collect())
+
+
+def candidates(host: Column, path: Column, shapes: list[tuple[int, int]]) -> Column:
+    """The host suffixes at label borders joined with the path prefixes, of the given
+    shapes: every rule string that could fit the url."""
     labels = F.split(host, r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                           lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    prefixes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(path))
-    return F.array_distinct(F.flatten(F.transform(
-        suffixes, lambda s: F.transform(prefixes, lambda n: F.concat(s, F.substring(path, F.lit(1), n))))))
+    known = F.array(*[F.struct(F.lit(d).alias("labels"), F.lit(n).alias("length")) for d, n in shapes or [(1, 0)]])
+    fitting = F.filter(known, lambda s: (s["labels"] <= F.size(labels)) & (s["length"] <= F.length(path)))
+    return F.array_distinct(F.transform(fitting, lambda s: F.concat(
+        F.array_join(F.slice(labels, -s["labels"], s["labels"]), "."), F.substring(path, F.lit(1), s["length"]))))
 
 
 def _fitting(asked: Column, verdict: str) -> Column:
@@ -242,18 +250,16 @@ def judge(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame | None = N
 
     ``rules``: rows (rule = host followed by path, verdict).  The rules of each
     verdict are the listed keys of one cascade; its universe are the candidate
-    strings of all pages, so each page asks the filters about its own candidates.
+    strings of all pages, so each page asks the filters about its own candidates, of the
+    shapes that rules have only: a host of very many labels asks no more than others.
     No rule fits: "block" for a host (or its parent) among ``listed_hosts``, which
     are the keys of one more cascade over all hosts, else ``default``.  A rule listed with two verdicts counts with the
     alphabetically last one.  Columns of ``pages`` with one of the four names are
     replaced.
     """
-    slash = F.instr("rule", "/")
-    lengths = sorted(r[0] for r in rules.where("rule is not null").select(
-        F.when(slash == 0, 0).otherwise(F.length("rule") - slash + 1).alias("n")).distinct().collect())
     host, path = host_path(F.col(url))
     rows = pages.withColumn("host", host).withColumn("path", path)
-    rows = rows.withColumn("_keys", candidates(F.col("host"), F.col("path"), lengths or [0]))
+    rows = rows.withColumn("_keys", candidates(F.col("host"), F.col("path"), shapes(rules, "rule")))
     universe = cut(rows.select(F.explode(F.array_distinct("_keys")).alias("key")).distinct())
     best = [F.struct(F.lit(-1).alias("n"), F.lit(default).alias("verdict"), F.lit(None).cast("string").alias("rule"))]
     for i, v in enumerate(sorted(r[0] for r in rules.where("verdict is not null").select("verdict").distinct().collect())):
@@ -263,7 +269,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed_hosts: DataFrame | None = N
         best.append(F.array_max(_fitting(asked, v)))
     top = F.greatest(*best) if len(best) > 1 else best[0]
     if listed_hosts is not None:
-        rows = rows.withColumn("_hosts", candidates(F.col("host"), F.lit(""), [0]))
+        rows = rows.withColumn("_hosts", candidates(F.col("host"), F.lit(""), shapes(listed_hosts, "key")))
         hosts = cut(rows.select(F.explode("_hosts").alias("key")).distinct())
         rows = Cascade.build(listed_hosts, hosts).member(rows, "_hosts", "_listed")
         found = F.struct(F.lit(0).alias("n"), F.lit("block").alias("verdict"), F.lit(None).cast("string").alias("rule"))
