@@ -2,14 +2,15 @@
 
 A text is the set of its ``WORDS``-word shingles (words are runs without ASCII
 white space; a shorter text is one shingle).  ``TREES`` prefix tries hold
-``START`` hashes of each signature.  Texts that share a prefix of ``depth`` hashes
-in some trie are neighbours; the depth starts at ``START`` and is shortened until
-a pair just at the threshold, the hardest to find, is met with a chance of ``TARGET``,
-whatever the corpus holds.
-
-Neighbours are linked as stars around the smallest text of a trie node, so a node
-of any size gives as many links as members.  Connected neighbours form a family.
-Within a family every pair is verified exactly on its shingle sets, block against
+``START`` hashes of each signature, sorted.  A text is matched at the longest prefix
+that it shares with another; matched texts leave but for the head of their node, and
+prefixes are shortened for those left, down to the ``depth`` at which a pair just at
+the threshold, the hardest to find, is met with a chance of ``TARGET``, whatever the
+corpus holds.  A node's head stands for all of its texts, as they share every shorter
+prefix too, so no text that leaves takes a neighbour with it.
+
+Every text of a node but its head gives one link, however large the node.  Connected
+neighbours form a family.  Within a family every pair is verified exactly on its shingle sets, block against
 block inside the tasks: no pairs are written, only the number of links of each
 text and a spanning set of links.  A family of many texts is dealt to many tasks.
 
@@ -29,8 +30,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paytrail.llm.common import components, cut, packed, unpacked
@@ -40,6 +42,7 @@ THRESHOLD = 0.8
 TREES = 24
 START = 8
 TARGET = 0.9985
+SALTS = 64
 BLOCK_TEXTS = 512
 BLOCK_SHINGLES = 1 << 18
 
@@ -88,17 +91,91 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
         .select("id", "text", "s.n", "s.sig")
 
 
-def nodes(texts: DataFrame, depth: int) -> DataFrame:
-    """(tree, prefix, text): the trie node of ``depth`` hashes of every text in every trie."""
-    trees = F.posexplode(F.array(*[F.substring("sig", 2 * START * t + 1, 2 * depth) for t in range(TREES)]))
-    return texts.where("sig is not null").select("text", trees.alias("tree", "prefix"))
-
-
-def stars(texts: DataFrame, depth: int) -> DataFrame:
-    """(a, b): smallest text of each shared trie node, and each other text of it."""
-    rows = nodes(texts, depth).withColumn("node", F.xxhash64("tree", "prefix")).drop("tree", "prefix")
-    shared = rows.groupBy("node").agg(F.min("text").alias("a"), F.max("text").alias("z")).where("a < z")
-    return rows.join(shared.select("node", "a"), "node").where("text > a").select("a", F.col("text").alias("b"))
+def _fixed(column: pa.Array, width: int) -> np.ndarray:
+    """The values of a binary column, ``width`` bytes each, one a row."""
+    column = column.cast(pa.binary())
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(-1, width)
+
+
+def _binary(values: np.ndarray) -> pa.Array:
+    n, width = values.shape
+    ends = np.arange(0, (n + 1) * width, width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _descend(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
+    """Links inside one sorted run of (tree, key, text), and its first and last row.
+
+    The longest prefix that a row shares with any row before it is the one shared with
+    its predecessor.  At that level it is linked to the head of the node, and is itself
+    the head of its longer prefixes; rows that are no heads are met by no shorter prefix."""
+    levels = list(range(depth, START + 1))
+    tree = key = text = heads = None
+
+    def border(edge: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([_binary(text), _binary(text), pa.array([edge], pa.int32()),
+                                           pa.array([tree], pa.int32()), _binary(key)], names=_TRIE)
+
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        trees = np.asarray(batch.column(0))
+        keys, texts = _fixed(batch.column(1), 2 * START), _fixed(batch.column(2), 16)
+        first = heads is None
+        if first:
+            tree, key, text = int(trees[0]), keys[:1], texts[:1]
+            heads = {d: text for d in levels}
+            yield border(1)
+        before = np.concatenate([key, keys[:-1]])
+        equal = (keys.reshape(n, START, 2) == before.reshape(n, START, 2)).all(axis=2)
+        shared = np.cumprod(equal, axis=1).sum(axis=1)
+        shared[trees != np.concatenate([[tree], trees[:-1]])] = 0
+        if first:
+            shared[0] = 0
+        out_a, out_b = [], []
+        for d in levels:
+            at = np.maximum.accumulate(np.where(shared < d, np.arange(n), -1))
+            known = np.concatenate([heads[d], texts])  # -1 is the head that the last batch left
+            mine = shared == d
+            out_a.append(known[at[mine] + 1])
+            out_b.append(texts[mine])
+            heads[d] = known[at[-1:] + 1]
+        tree, key, text = int(trees[-1]), keys[-1:], texts[-1:]
+        a, b = np.concatenate(out_a), np.concatenate(out_b)
+        if len(a):
+            yield pa.RecordBatch.from_arrays(
+                [_binary(a), _binary(b), pa.array(np.zeros(len(a), np.int32)),
+                 pa.nulls(len(a), pa.int32()), pa.nulls(len(a), pa.binary())], names=_TRIE)
+    if heads is not None:
+        yield border(2)
+
+
+_TRIE = ["a", "b", "edge", "tree", "key"]
+
+
+def trie_links(texts: DataFrame, depth: int) -> DataFrame:
+    """(a, b): links that connect the texts of every trie node of ``depth`` hashes.
+
+    The signatures of all tries are sorted in ranges of (trie, signature, text), so a
+    node of any size is dealt to as many ranges as it fills.  Each range makes its own
+    links; where a node goes over a border, the last row before and the first row after
+    are linked (two rows a range are looked at for this)."""
+    trees = F.posexplode(F.array(*[F.substring("sig", 2 * START * t + 1, 2 * START) for t in range(TREES)]))
+    rows = texts.where("sig is not null").select(F.unhex("text").alias("text"), trees.alias("tree", "key"))
+    order = ["tree", "key", "text"]
+    ranges = rows.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+    found = cut(ranges.mapInArrow(lambda batches: _descend(batches, depth),
+                                  "a binary, b binary, edge int, tree int, key binary"))
+    inside = found.where("edge = 0").select("a", "b")
+    w = Window.orderBy("tree", "key", "a", "edge")
+    prefix = F.substring("key", 1, 2 * depth)
+    across = found.where("edge > 0").select(
+        F.lag("a").over(w).alias("a"), F.col("a").alias("b"), "edge",
+        ((F.lag("tree").over(w) == F.col("tree")) & (F.lag(prefix).over(w) == prefix)).alias("one")) \
+        .where("edge = 1 and one").select("a", "b")
+    return inside.union(across).select(F.lower(F.hex("a")).alias("a"), F.lower(F.hex("b")).alias("b"))
 
 
 def choose_depth(threshold: float, target: float) -> int:
@@ -194,12 +271,16 @@ def _classes(docs: DataFrame, key: str, text: str, threshold: float, target: flo
     texts = cut(rows.groupBy("text").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                          F.max("n").alias("n"), F.max("sig").alias("sig")))
     depth = choose_depth(threshold, target)
-    families = components(stars(texts, depth))
+    families = components(trie_links(texts, depth))
 
     sized = families.join(texts.select(F.col("text").alias("node"), "rep", "copies", "n"), "node")
+    # Only families of more than one block have a row here; a large one is met in salts.
     blocks = F.greatest(F.ceil(F.sum(F.lit(1)) / block_texts), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    count = families.join(texts.select(F.col("text").alias("node"), "n"), "node").groupBy("root").agg(blocks.alias("nb"))
-    sized = sized.join(count, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    large = sized.groupBy("root").agg(blocks.alias("blocks")).where("blocks > 1").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    sized = sized.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")) \
+        .join(large, ["root", "salt"], "left").withColumn("nb", F.coalesce("blocks", F.lit(1)))
+    sized = sized.withColumn("block", F.pmod(F.xxhash64(F.lit(3), "node"), F.col("nb")).cast("int"))
     sized = cut(sized.select(F.col("root").alias("family"), F.col("node").alias("text"), "rep", "copies", "nb", "block"))
     # Only the row with the smallest id of each text brings its body along.
     bodies = docs.select(F.col(key).alias("rep"), F.col(text).cast("string").alias("body")).where("body is not null")

@@ -326,6 +326,42 @@ def test_forest_finds_pairs_at_the_threshold(spark):
     assert lsh_forest.choose_depth(0.8, 0.9985) == 6
 
 
+def test_sorted_tries_connect_the_texts_of_every_node(spark):
+    rng = random.Random(8)
+    size = 2 * lsh_forest.START * lsh_forest.TREES
+    hot = rng.randbytes(size)
+    rows = []
+    for i in range(3000):  # half share a signature, others a prefix of it in one trie, the rest nothing
+        sig = bytearray(hot if i % 2 else rng.randbytes(size))
+        if i % 6 == 0:
+            at, d = 2 * lsh_forest.START * rng.randrange(lsh_forest.TREES), rng.randrange(2, 9)
+            sig[at:at + 2 * d] = hot[at:at + 2 * d]
+        rows.append((rng.randbytes(16).hex(), bytes(sig)))
+    rows += [("00" * 16, None)]
+    texts = spark.createDataFrame(rows, "text string, sig binary").repartition(5)
+    for depth in (4, 6, 8):
+        parent = {t: t for t, _ in rows}
+
+        def top(t):
+            while parent[t] != t:
+                t = parent[t]
+            return t
+
+        met = {}
+        for t, sig in rows[:-1]:
+            for tree in range(lsh_forest.TREES):
+                node = (tree, sig[2 * lsh_forest.START * tree:][:2 * depth])
+                parent[top(t)] = top(met.setdefault(node, t))
+        want = {t: top(t) for t, _ in rows}
+        links = [(r.a, r.b) for r in lsh_forest.trie_links(texts, depth).collect()]
+        parent = {t: t for t, _ in rows}
+        for a, b in links:
+            assert want[a] == want[b] and a != b
+            parent[top(a)] = top(b)
+        assert len({top(t) for t in want}) == len(set(want.values()))
+    assert lsh_forest.trie_links(texts.limit(0), 6).count() == 0
+
+
 # ---- 8 line blocks ----
 
 def test_main_text(spark):
