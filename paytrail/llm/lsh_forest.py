@@ -83,8 +83,11 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
 
     @F.pandas_udf("n int, sig binary")
     def sign(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingles(t) for t in texts]
-        return pd.DataFrame({"n": [len(s) for s in sets], "sig": [signature(s) if len(s) else None for s in sets]})
+        def one(t: str) -> tuple[int, bytes | None]:  # one shingle set is held at a time
+            s = shingles(t)
+            return len(s), signature(s) if len(s) else None
+
+        return pd.DataFrame([one(t) for t in texts], columns=["n", "sig"])
 
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("t")).where("t is not null")
     return rows.select("id", F.md5(F.encode("t", "UTF-8")).alias("text"), sign("t").alias("s")) \
