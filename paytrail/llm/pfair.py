@@ -1,93 +1,106 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Rows of a source are put into blocks.  A source with weight a of a total Q owns,
-for its block j, the window from slot floor(j Q / a) to slot ceil((j + 1) Q / a);
-in every slot the released block with the earliest deadline runs.  At any slot each
-source is then less than one block away from its exact share.
-
-Integer weights make the schedule repeat after Q slots, so one period is computed
-on the driver and every block looks its slot up: block j of a phase runs in slot
-(j div a) Q + place[j mod a].  When a source ends, a new phase starts with the
-weights of those left; there are at most as many phases as sources.
-
-The driver holds one row per source and Q entries per phase; weights are given by
-the caller, and a table over ``MAX_ENTRIES`` is refused with an error.
+Rows of a source are put into blocks.  While all sources last, a source with weight a
+of a total Q owns, for its block j, the window from slot floor(j Q / a) to slot
+ceil((j + 1) Q / a); in every slot the released block with the earliest deadline runs.
+At any slot each source is then less than one block away from its exact share.  When a
+source ends, the others take its slots in proportion to their weights: the share of the
+time that it would have had goes to them, and the windows follow.
+
+In turns.  In turn k a source gives its blocks k a to (k + 1) a - 1, or what it has
+left.  At the end of a turn every source has exactly its share, so turns are scheduled
+apart from each other, and turns in which the same sources give full shares are alike.
+Only the turns in which some source ends, and one turn of each row of like turns
+between them, are computed, by Spark tasks; the rest are repeats.  Each computed entry
+is a block of the table, so the work never exceeds the number of blocks.
+
+One task holds one turn: for each source as many entries as its weight (less, if it has
+less blocks).  The driver and every task hold three numbers for each source, which is
+the only size that is not divided.  Weights are integers of 1 or more.
 
 Defined results.  Null source: a source named by null.  A source missing in the
 given weights: weight 1.  Equal deadlines: the source that sorts first.  Null ids
 and texts: rows like any other.  Repeated rows: each gets its own place.  Empty
-table: empty result.
+table: empty result.  A weight below 1: ValueError.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from bisect import bisect_right
+from collections.abc import Iterator
+from fractions import Fraction
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paytrail.llm.common import number_in_group, packed, unpacked
 
 BLOCK_ROWS = 32
-MAX_ENTRIES = 2_000_000
 SCALE = 1000
+CELL_ROWS = 50_000
+TURNS = 256
+
+
+def windows(given: list[int], weights: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """(release, deadline, source, block) of the blocks of one turn, in which source s
+    gives ``given[s]`` of its ``weights[s]`` blocks.
+
+    At share v of the turn, source s has had min(weights[s] v, given[s]) blocks, and the
+    slot is the sum of these; a source that ends early leaves the sum's slope."""
+    ends = sorted((Fraction(n, a), n, a) for n, a in zip(given, weights) if n < a)
+    when = [e[0] for e in ends]
+    gone = [0, *accumulate(n for _, n, _ in ends)]
+    slope = [sum(weights)]
+    for _, _, a in ends:
+        slope.append(slope[-1] - a)
+
+    def slot(i: int, a: int, up: bool) -> int:
+        past = bisect_right(when, Fraction(i, a)) if ends else 0
+        return gone[past] + (-(-i * slope[past] // a) if up else i * slope[past] // a)
+
+    for s, (n, a) in enumerate(zip(given, weights)):
+        for i in range(n):
+            yield slot(i, a, False), slot(i + 1, a, True), s, i
+
+
+def turn(given: list[int], weights: list[int]) -> list[tuple[int, int]]:
+    """(source, block) in the slots of one turn: earliest deadline first."""
+    waiting = sorted(windows(given, weights))
+    ready: list[tuple[int, int, int]] = []
+    out, at = [], 0
+    for slot in range(len(waiting)):
+        while at < len(waiting) and waiting[at][0] <= slot:
+            heapq.heappush(ready, waiting[at][1:])
+            at += 1
+        _, s, i = heapq.heappop(ready)
+        out.append((s, i))
+    return out
 
 
-@dataclass
-class Phase:
-    start: int                        # first slot
-    period: int
-    first: dict[str, int]             # blocks that each source has behind it
-    place: dict[str, list[int]]       # slots of a source inside one period
-    end: int = 0
-
-
-def period_places(shares: dict[str, int]) -> dict[str, list[int]]:
-    """Earliest deadline first over one period of sum(shares) slots."""
-    total = sum(shares.values())
-    waiting = [(0, -(-total // a), s, 0) for s, a in sorted(shares.items())]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    place: dict[str, list[int]] = {s: [] for s in shares}
-    for slot in range(total):
-        while waiting and waiting[0][0] <= slot:
-            _, deadline, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (deadline, s, j))
-        _, s, j = heapq.heappop(ready)
-        place[s].append(slot)
-        if j + 1 < shares[s]:
-            a = shares[s]
-            heapq.heappush(waiting, ((j + 1) * total // a, -(-(j + 2) * total // a), s, j + 1))
-    return place
-
-
-def phases(blocks: dict[str, int], weights: dict[str, int]) -> list[Phase]:
-    """The schedule of ``blocks`` (block count per source)."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    out, start, entries = [], 0, 0
-    while left:
-        shares = {s: weights.get(s, 1) for s in left}
-        total = sum(shares.values())
-        entries += total
-        if entries > MAX_ENTRIES:
-            raise ValueError("too many sources for weights this fine: pass coarser integer weights")
-        place = period_places(shares)
-
-        def slot(s: str, j: int) -> int:
-            return j // shares[s] * total + place[s][j % shares[s]]
-
-        length = min(slot(s, n - 1) for s, n in left.items()) + 1
-        out.append(Phase(start, total, dict(done), place, start + length))
-        for s in list(left):
-            whole, rest = divmod(length, total)
-            ran = whole * shares[s] + sum(p < rest for p in place[s])
-            done[s] += ran
-            left[s] -= ran
-            if not left[s]:
-                del left[s]
-        start += length
+def spans(rows: list[int], weights: list[int], block_rows: int) -> list[tuple[int, int, int, int, int]]:
+    """(first turn, last turn, sources, slots, rows): rows of like turns, for sources in
+    falling order of their last turn.  The ``sources`` first ones take part; ``slots``
+    and ``rows`` are those of all turns before."""
+    blocks = [-(-n // block_rows) for n in rows]
+    last = [(n - 1) // a for n, a in zip(blocks, weights)]
+    out, first = [], 0
+    ended_blocks = ended_rows = 0
+    weight = sum(weights)
+    at = len(rows)
+    while at:
+        end = last[at - 1]
+        for lo, hi in ((first, end - 1), (end, end)):
+            if lo <= hi:
+                out.append((lo, hi, at, ended_blocks + weight * lo, ended_rows + weight * lo * block_rows))
+        first = end + 1
+        while at and last[at - 1] == end:
+            at -= 1
+            weight -= weights[at]
+            ended_blocks += blocks[at]
+            ended_rows += rows[at]
     return out
 
 
@@ -97,48 +110,65 @@ def tempered(counts: dict[str, int], power: float = 0.7) -> dict[str, int]:
     return {s: max(1, round(SCALE * n ** power / total)) for s, n in counts.items()}
 
 
-def _table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+def schedule(spark: SparkSession, counts: dict[str, int], weights: dict[str, int],
+             block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(source, block, slot, pos) of every block: its slot and its first row's place."""
+    def turns(s: str) -> int:
+        return (-(-counts[s] // block_rows) - 1) // weights[s]
+
+    names = sorted(counts, key=lambda s: (-turns(s), s))
+    rows, shares = [counts[s] for s in names], [weights[s] for s in names]
+    place = {s: i for i, s in enumerate(sorted(names))}
+    order = [place[s] for s in names]  # ties of deadlines go by name
+    plan = spans(rows, shares, block_rows)
+    held = spark.sparkContext.broadcast((names, rows, shares, order))
+
+    # Blocks shorter than ``block_rows`` are last ones, so they are in turns of which there is one.
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names, rows, shares, order = held.value
+        for batch in batches:
+            for lo, hi, n, slot, pos in batch.itertuples(index=False, name=None):
+                by_name = sorted(range(n), key=order.__getitem__)
+                given = [min(shares[s], -(-rows[s] // block_rows) - lo * shares[s]) for s in by_name]
+                out, before, size = [], 0, sum(given)
+                for k, (j, i) in enumerate(turn(given, [shares[s] for s in by_name])):
+                    s = by_name[j]
+                    out.append((names[s], lo, hi, shares[s], i, slot + k, size, pos + before))
+                    before += min(block_rows, rows[s] - (lo * shares[s] + i) * block_rows)
+                for at in range(0, len(out), 10_000):
+                    yield pd.DataFrame(out[at:at + 10_000], columns=["_s", "lo", "hi", "a", "i", "slot", "size", "pos"])
+
+    spans_df = spark.createDataFrame(plan, "lo long, hi long, n int, slot long, pos long")
+    dealt = spans_df.repartition(max(1, min(len(plan), 2 * spark.sparkContext.defaultParallelism)), "lo")
+    done = dealt.mapInPandas(run, "_s string, lo long, hi long, a long, i long, slot long, size long, pos long")
+    # Long rows of like turns are dealt to many tasks before they are written out.
+    parts = done.withColumn("from", F.explode(F.sequence("lo", "hi", F.lit(TURNS).cast("long")))) \
+        .repartition("_s", "i", "from")
+    each = parts.withColumn("turn", F.explode(F.sequence("from", F.least(F.col("from") + TURNS - 1, "hi"))))
+    past = F.col("turn") - F.col("lo")
+    return each.select("_s", (F.col("turn") * F.col("a") + F.col("i")).alias("mix_block"),
+                       (F.col("slot") + past * F.col("size")).alias("mix_slot"),
+                       (F.col("pos") + past * F.col("size") * block_rows).alias("_pos"))
 
 
 def mix(df: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text",
         weights: dict[str, int] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``df`` plus ``mix_source``, ``mix_block``, ``mix_slot`` and ``mix_pos``, the
     gapless place of the row in the mixture.  Columns of these names are replaced."""
-    spark = df.sparkSession
     name = F.coalesce(F.col(source).cast("string"), F.lit("\0null"))
     rows = packed(df, _s=name, _id=F.col(key), _k=F.xxhash64(F.lit(13), F.col(key), F.coalesce(F.col(text), F.lit(""))))
     counts = {r["_s"]: r["count"] for r in rows.groupBy("_s").count().collect()}
-    weights = {"\0null" if s is None else s: a for s, a in (weights or tempered(counts)).items()}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    plan = phases(blocks, weights)
-
-    spans, places, short = [], [], []
-    for i, p in enumerate(plan):
-        for s, slots in p.place.items():
-            after = next((q.first.get(s, blocks[s]) for q in plan[i + 1:i + 2] if s in q.place), blocks[s])
-            spans.append((s, i, p.first[s], after, len(slots), p.period, p.start))
-            places += [(s, i, k, slot) for k, slot in enumerate(slots)]
-            last = counts[s] - (blocks[s] - 1) * block_rows
-            if after == blocks[s] and last < block_rows:
-                j = blocks[s] - 1 - p.first[s]
-                short.append((p.start + j // len(slots) * p.period + slots[j % len(slots)], block_rows - last))
-    spans_df = F.broadcast(_table(spark, spans, "_s string, _p int, _b0 long, _b1 long, _a long, _q long, _t0 long"))
-    places_df = F.broadcast(_table(spark, places, "_s string, _p int, _i long, _slot long"))
-
-    n = number_in_group(rows, ["_s"], "_k", [F.col("_id").asc_nulls_first()], "_n")
+    given = {"\0null" if s is None else s: a for s, a in (weights or tempered(counts)).items()}
+    shares = {s: given.get(s, 1) for s in counts}
+    if any(a < 1 for a in shares.values()):
+        raise ValueError("weights are integers of 1 or more")
+
+    # Ranges of a source hold about CELL_ROWS rows, however large it is.
+    bits = max(10, (max(counts.values(), default=0) // CELL_ROWS).bit_length())
+    n = number_in_group(rows, ["_s"], "_k", [F.col("_id").asc_nulls_first()], "_n", bits)
     n = n.withColumn("mix_block", F.expr(f"_n div {block_rows}"))
-    # Few spans a source (one a phase) and one place a block: both tables are bounded by MAX_ENTRIES.
-    n = n.join(spans_df, ["_s"]).where("mix_block >= _b0 and mix_block < _b1")
-    n = n.withColumn("_i", (F.col("mix_block") - F.col("_b0")) % F.col("_a")).join(places_df, ["_s", "_p", "_i"])
-    n = n.withColumn("mix_slot", F.expr("_t0 + (mix_block - _b0) div _a * _q + _slot"))
-    # A last block of a source may be short: what is missing before a slot is taken off.
-    gaps = F.lit(0).cast("long")
-    if short:
-        lost = F.array(*[F.struct(F.lit(s).cast("long").alias("s"), F.lit(g).cast("long").alias("g")) for s, g in short])
-        gaps = F.aggregate(F.filter(lost, lambda x: x["s"] < F.col("mix_slot")), F.lit(0).cast("long"),
-                           lambda a, x: a + x["g"])
-    n = n.withColumn("mix_pos", F.col("mix_slot") * block_rows + F.expr(f"_n % {block_rows}") - gaps)
+    n = n.join(schedule(df.sparkSession, counts, shares, block_rows), ["_s", "mix_block"])
+    n = n.withColumn("mix_pos", F.col("_pos") + F.expr(f"_n % {block_rows}"))
     kept = [c for c in df.columns if c not in ("mix_source", "mix_block", "mix_slot", "mix_pos")]
     return n.select(*unpacked(n, kept), F.when(F.col("_s") != "\0null", F.col("_s")).alias("mix_source"),
                     "mix_block", "mix_slot", "mix_pos")

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -440,20 +441,42 @@ def test_toxicity_counts_all_terms_of_few_examples(spark):
 
 # ---- 10 Pfair ----
 
-def test_pfair_deviation():
-    weights, blocks = {"a": 5, "b": 3, "c": 1}, {"a": 50, "b": 11, "c": 40}
-    plan = pfair.phases(blocks, weights)
-    ran = Counter()
-    for p in plan:
-        alive = {s: weights[s] for s in p.place}
-        where = {slot: s for s, slots in p.place.items() for slot in slots}
-        here = Counter()
-        for t in range(p.end - p.start):
-            here[where[t % p.period]] += 1
-            for s, a in alive.items():
-                assert abs(here[s] - a * (t + 1) / p.period) < 1
-        ran += here
-    assert ran == Counter(blocks)
+def test_pfair_deviation(spark):
+    """Replayed against the exact shares, which the sources left divide among them."""
+    rng = random.Random(17)
+    cases = [({"a": 5, "b": 3, "c": 1}, {"a": 50, "b": 11, "c": 40})]
+    cases += [({f"s{i}": rng.randrange(1, 30) for i in range(n)}, {f"s{i}": rng.randrange(1, 90) for i in range(n)})
+              for n in (1, 2, 5, 12)]
+    for weights, blocks in cases:
+        rows = pfair.schedule(spark, {s: 4 * n - n % 3 for s, n in blocks.items()}, weights, 4).collect()
+        rows.sort(key=lambda r: r.mix_slot)
+        assert [r.mix_slot for r in rows] == list(range(sum(blocks.values())))
+        left = {s: Fraction(n) for s, n in blocks.items()}
+        ran, pos = Counter(), 0
+        for r in rows:
+            assert r.mix_block == ran[r._s] and r._pos == pos
+            pos += min(4, 4 * blocks[r._s] - blocks[r._s] % 3 - 4 * r.mix_block)
+            ran[r._s] += 1
+            time = Fraction(1)  # one slot of exact shares
+            while time:
+                alive = {s: weights[s] for s, x in left.items() if x}
+                step = min([time / sum(alive.values())] + [left[s] / a for s, a in alive.items()])
+                for s, a in alive.items():
+                    left[s] -= step * a
+                time -= step * sum(alive.values())
+            assert all(abs(ran[s] - (blocks[s] - left[s])) < 1 for s in blocks)
+
+
+def test_pfair_with_very_many_sources(spark):
+    rng = random.Random(18)
+    counts = {f"host{i}": rng.choice([1, 3, 40, 200]) for i in range(100_000)}
+    got = pfair.schedule(spark, counts, pfair.tempered(counts)).agg(
+        F.count("*").alias("n"), F.countDistinct("mix_slot").alias("slots"), F.max("mix_slot").alias("last"),
+        F.countDistinct("_pos").alias("places")).first()
+    blocks = sum(-(-n // 32) for n in counts.values())
+    assert (got.n, got.slots, got.last, got.places) == (blocks, blocks, blocks - 1, blocks)
+    with pytest.raises(ValueError):
+        pfair.mix(frame(spark, ["a", "b"]), weights={"a": 0})
 
 
 def test_mix_places_every_row(spark):
