@@ -8,6 +8,7 @@ warehouse built from that input folder (raw and staged copies stored once).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from contextvars import ContextVar
 from functools import wraps
@@ -15,15 +16,16 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paytrail.config import AS_OF_DEFAULT
+from paytrail.config import AS_OF_DEFAULT, checkpoint_root
 from paytrail.functions.dates import age_months_field, year_diff
 from paytrail.functions.numeric import full_name, pct_change
 from paytrail.operators import profile
 from paytrail.operators.joins import beside
 from paytrail.operators.scd import current
-from paytrail.operators.tables import Tables, unite
+from paytrail.operators.tables import FACTS, Tables, unite
 from paytrail.plans import dashboard, history, requirements, sketched
 from paytrail.plans.benchmark import benchmark, stored_benchmark
+from paytrail.plans.refresh import StoredHistory
 from paytrail.plans.snapshot import current_snapshot, manager_periods, salary_steps
 from paytrail.sources.schemas import PERSON_KEYS, UNIQUE_KEYS
 from paytrail.sources.staging import stage_table, warehouse
@@ -309,6 +311,19 @@ def history_lags(spark, sf_dir):
                          "previous_department", "manager", "previous_manager", "event_order")
 
 
+def history_lags_refreshed(spark, sf_dir):
+    """The same from a stored history: made from the periods that began over a year
+    before the run date, then refreshed with those that came since."""
+    t = staged(spark, sf_dir)
+    year_ago = F.add_months(F.lit(as_of()), -12)
+    store = StoredHistory(spark, f"{checkpoint_root(spark)}/paytrail-steps/history-{uuid.uuid4().hex}")
+    store.refresh({**t, **{n: t[n].where(F.col("from_date") < year_ago) for n in FACTS}})
+    store.refresh(t)
+    return store.read().select("employee_id", "effective_date", "expiry_date", "title",
+                               "previous_title", "salary", "previous_salary", "department",
+                               "previous_department", "manager", "previous_manager", "event_order")
+
+
 def _events(spark, sf_dir):
     return history.with_events(history.history_base(staged(spark, sf_dir), as_of()))
 
@@ -421,6 +436,7 @@ QUERIES: dict[str, Query] = {
     "history_periods": history_periods,
     "history_periods_half_open": history_periods_half_open,
     "history_lags": history_lags,
+    "history_lags_refreshed": history_lags_refreshed,
     "employee_events": employee_events,
     "history_vs_tenure": _vs("tenure"),
     "history_vs_title": _vs("title"),
