@@ -2,13 +2,17 @@
 
 Markup is stripped into lines: every block element starts a line, white space
 inside it becomes one space.  Navigation, headers outside the article, footers,
-asides, forms, adverts, notices and comments leave one empty line; link text counts
-as length 0 outside article and main elements.  Lengths are summed over windows of ``WINDOW`` lines; text
-surges where a window sum leaves 0 for good measure, and dives where it is 0
-again.  The main text is what lies between surge and dive: the run with the most
-text, and every other run with at least ``SHARE`` of its text.  On pages with text in
-article and main elements (not those marked as comments, related texts and the like)
-every line of these, and no other, is main text.
+asides, forms, adverts, notices and comments leave one empty line.  Link text counts
+as length 0; on pages with text in article and main elements (not those marked as
+comments, related texts and the like) the text of these counts whole, links too, and
+every line elsewhere counts as length 0 and is no main text.
+
+On every page the main text is then read from the distribution of the counted lengths
+over blocks of ``WINDOW`` lines: text surges in the first block of at least ``SURGE``, and
+dives where a block is below it again; the region from the first counted line of the
+surge to the dive is text.  On pages with such elements every region is main text.  On
+others it is the region with the most text, the one with the longest block, and every
+other with at least ``SHARE`` of the text of the one or of the block of the other.
 
 Defined results.  Null html and pages without text: the empty text.  Text outside
 any element counts as a line.  Unclosed elements end with their parent; an unclosed
@@ -123,32 +127,37 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
     return out
 
 
+def regions(lengths: list[int]) -> list[tuple[int, int, int, int]]:
+    """(start, end, text, longest block) of each region between a surge and a dive."""
+    n = len(lengths)
+    blocks, total = [0] * n, 0
+    for i in range(n - 1, -1, -1):  # blocks[i]: length of lines i .. i + WINDOW - 1
+        total += lengths[i] - (lengths[i + WINDOW] if i + WINDOW < n else 0)
+        blocks[i] = total
+    out, i = [], 0
+    while i < n:
+        if blocks[i] < SURGE:
+            i += 1
+            continue
+        while not lengths[i]:                     # surge: the lines before the first text of its block are none
+            i += 1
+        j = i
+        while j < n and blocks[j] >= SURGE:       # dive: a whole block without text
+            j += 1
+        out.append((i, j, sum(lengths[i:j]), max(blocks[i:j])))
+        i = j
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The lines between surge and dive points, joined by line breaks."""
     rows = lines(page or "")
-    n = len(rows)
-    sums, total = [0] * n, 0
-    for i in range(n - 1, -1, -1):  # sums[i]: counted length of lines i .. i + WINDOW - 1
-        total += rows[i][1] - (rows[i + WINDOW][1] if i + WINDOW < n else 0)
-        sums[i] = total
-    runs, i = [], 0
-    while i < n:
-        if rows[i][1] >= SURGE:                       # surge: text begins in this window
-            j = i
-            while j < n and sums[j] >= SURGE:         # dive: a whole window without text
-                j += 1
-            runs.append((sum(r[1] for r in rows[i:j]), i, j))
-            i = j
-        else:
-            i += 1
-    most = max((r[0] for r in runs), default=0)
-    main = [r[3] for r in rows]
-    if any(main):
-        runs = []
-    for mass, i, j in runs:
-        if mass >= SHARE * most:
-            main[i:j] = [True] * (j - i)
-    return "\n".join(r[0] for r, keep in zip(rows, main) if keep and r[2])
+    if marked := any(r[3] for r in rows):
+        rows = [r if r[3] else ("", 0, False, False) for r in rows]
+    found = regions([r[1] for r in rows])
+    most, highest = (max((r[k] for r in found), default=0) for k in (2, 3))
+    return "\n".join(line for i, j, mass, block in found if marked or mass >= SHARE * most or block >= SHARE * highest
+                     for line, _, text, _ in rows[i:j] if text)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -4,6 +4,7 @@ import time
 
 import pytest
 
+from paytrail.llm import html_text
 from paytrail.llm.html_text import main_text
 
 BODY = "A paragraph of the story that is long enough to count as text."
@@ -35,3 +36,19 @@ def test_hostile_pages_take_linear_time():
     assert time.time() - start < 20
     assert main_text(f'<p title="x>{BODY}</p>') == BODY
     assert main_text("") == main_text(None) == ""
+
+
+def test_surge_and_dive_decide_on_every_page(monkeypatch):
+    links = "<p><a href=x>Elsewhere</a></p>" * 4
+    pages = [f"<article><p>{BODY}</p></article>{links}", f"<p>{BODY}</p>{links}",
+             f"<article><p>{BODY}</p></article>{links}<article><p>Second.</p></article>"]
+    assert [main_text(p) for p in pages] == [BODY, BODY, f"{BODY}\nSecond."]
+    assert html_text.regions([0, 0, 0, 5, 0, 9, 0, 0, 0, 2]) == [(3, 6, 14, 14), (9, 10, 2, 2)]
+    monkeypatch.setattr(html_text, "regions", lambda lengths: [])
+    assert [main_text(p) for p in pages] == ["", "", ""]
+
+
+def test_the_region_with_the_longest_block_is_main_text():
+    links = "<p><a href=x>Elsewhere</a></p>" * 4
+    notes = "".join(f"<p>Note number {i}.</p>" for i in range(60))
+    assert main_text(f"<p>{BODY}</p>{links}{notes}").split("\n")[0] == BODY
